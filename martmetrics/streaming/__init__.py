@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source jobs have no streaming construct: the "hourly" report is a full recompute of
+one day per run, and its measures are exact distinct counts, which Structured Streaming
+cannot maintain incrementally without unbounded state. Running the batch report
+(``martmetrics.operators.levels`` / ``categorise``) on a schedule is therefore the right
+Spark shape; nothing lives in this package.
+"""
