@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import month_end
+from . import month_end, reports
 
 QUERIES: dict = {}
-for _mod in (month_end,):
+for _mod in (month_end, reports):
     QUERIES.update(_mod.QUERIES)

@@ -34,6 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = {
         **RUNTIME_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
     }
