@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import month_end, reports
+from . import month_end, reports, snapshot
 
 QUERIES: dict = {}
-for _mod in (month_end, reports):
+for _mod in (month_end, reports, snapshot):
     QUERIES.update(_mod.QUERIES)
