@@ -51,3 +51,52 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
         w = Window.partitionBy(buyer, seg) if seg else Window.partitionBy(buyer)
         flags[name] = _newrep(month, F.min(month).over(w))
     return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()])
+
+
+def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id") -> DataFrame:
+    """The same table computed the long way (lag / rank / collect_set windows per segment),
+    kept to check the closed form and for callers that need the gap and rank columns.
+
+    A cell is New when some row in it is ranked first in its month *and* has no earlier
+    purchase in the segment; the set of per-row markers is concatenated and searched for
+    'NEW', as the source does. All windows partition by the buyer first and the input is
+    exchanged once on the buyer, so they share that partitioning.
+    """
+    d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
+         .join(bounded_broadcast(mapping.select("category", *ATTRS)), "category", "left")
+         .select(buyer, "category", *ATTRS, "order_date", "order_month").distinct()
+         .repartition(buyer))
+    od = F.col("order_date")
+    rank_parts = {"category": ("order_month", "business_unit", "category"),
+                  "cust_cat_phones": ("order_month", "cust_cat_phones"),
+                  "business_unit": ("order_month", "business_unit"),
+                  "mario_tag": ("order_month", "mario_tag"), None: ("order_month",)}
+    set_parts = {"category": ("order_month", "category"), "cust_cat_phones": ("order_month", "cust_cat_phones"),
+                 "business_unit": ("order_month", "business_unit"), "mario_tag": ("order_month", "mario_tag"),
+                 None: ("order_month",)}
+    cols = {}
+    for seg, name in SEGMENTS:
+        lag_w = Window.partitionBy(buyer, *([seg] if seg else [])).orderBy(od)
+        gap = F.datediff(od, F.lag(od, 1).over(lag_w))
+        rk = F.rank().over(Window.partitionBy(buyer, *rank_parts[seg]).orderBy(od))
+        cols[f"_m_{name}"] = F.when((rk == 1) & gap.isNull(), F.lit("NEW")).otherwise(F.lit("REPEAT"))
+    d = d.withColumns(cols)
+    flags = {}
+    for seg, name in SEGMENTS:
+        s = F.concat_ws("+", F.collect_set(f"_m_{name}").over(Window.partitionBy(buyer, *set_parts[seg])))
+        flags[name] = F.when(s.like("%NEW%"), F.lit("New")).otherwise(F.lit("Repeat"))
+    return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()]).distinct()
+
+
+def buyer_gaps(txn: DataFrame, buyer: str = "buyer_org_id", segment: str = "category") -> DataFrame:
+    """Per buyer and segment, each purchase day with the previous one and the gap in days
+    (``lag`` + ``datediff``) and its rank within the month."""
+    d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
+         .select(buyer, segment, "order_date", "order_month").distinct()
+         .repartition(buyer))   # both windows below reuse this buyer partitioning
+    od = F.col("order_date")
+    w = Window.partitionBy(buyer, segment).orderBy(od)
+    prev = F.lag(od, 1).over(w)
+    return d.select(buyer, segment, "order_date", "order_month", prev.alias("prev_order_date"),
+                    F.datediff(od, prev).alias("gap_days"),
+                    F.rank().over(Window.partitionBy(buyer, "order_month").orderBy(od)).alias("month_rank"))

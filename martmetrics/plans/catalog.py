@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import month_end, reports, snapshot
+from . import month_end, primitives, reports, snapshot
 
 QUERIES: dict = {}
-for _mod in (month_end, reports, snapshot):
+for _mod in (month_end, reports, snapshot, primitives):
     QUERIES.update(_mod.QUERIES)
