@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import month_end, primitives, reports, snapshot
+from . import month_end, primitives, reports, sheets, snapshot
 
 QUERIES: dict = {}
-for _mod in (month_end, reports, snapshot, primitives):
+for _mod in (month_end, reports, snapshot, primitives, sheets):
     QUERIES.update(_mod.QUERIES)
