@@ -18,6 +18,8 @@ def tag(h: Hierarchy, category: str | Column = "category", include: str | Column
     With ``h.relabel_label`` set, rows with ``include = '0'`` take that label first.
     A NULL category falls to the default arm, as in SQL ``CASE``.
     """
+    if isinstance(category, str) and isinstance(include, str):
+        return F.expr(sql_tag(h, category, include))   # one JVM call for the whole ladder
     cat = _c(category)
     e = None
     if h.relabel_label is not None:

@@ -52,3 +52,29 @@ def not_buyer_cancelled(order_status: str | Column = "order_status") -> Column:
 def flag(p: Column) -> Column:
     """1 where the predicate holds, else 0 (NULL counts as false)."""
     return F.when(p, F.lit(1)).otherwise(F.lit(0))
+
+
+# ---------------------------------------------------------------------------
+# The same predicates as SQL expression text, for ``F.expr`` / ``selectExpr``: a whole
+# projection then costs one JVM call instead of one per Column node.
+# ---------------------------------------------------------------------------
+
+
+def sql_lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def sql_in(col: str, values) -> str:
+    return f"{col} IN ({', '.join(sql_lit(v) for v in values)})"
+
+
+SHIP_SQL = f"(shipment_status IS NOT NULL AND shipment_status <> {sql_lit(C.SHIPMENT_RTS)})"
+DELIVERED_SQL = f"(shipment_status = {sql_lit(C.SHIPMENT_DELIVERED)})"
+RTO_SQL = f"({sql_in('shipment_status', C.RTO_STATUSES)})"
+CREDIT_SQL = f"({sql_in('payment_mode', C.CREDIT_MODES)})"
+NOT_CANCELLED_SQL = f"(NOT {sql_in('order_status', C.CANCEL_STATUSES)})"
+NOT_BUYER_CANCELLED_SQL = f"(NOT {sql_in('order_status', [C.BUYER_CANCEL])})"
+
+
+def sql_flag(cond: str) -> str:
+    return f"CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS INT)"

@@ -21,44 +21,45 @@ from ..functions.scalars import safe_ratio
 
 @dataclass(frozen=True)
 class Measures:
-    """A measure set: order-distinct counts, buyer-distinct counts, sums, ratios.
+    """A measure set, as Spark SQL expression text over the input columns.
 
-    ``order_flags`` / ``buyer_flags``: name -> predicate; the measure is the number of
-    distinct non-NULL keys on rows where the predicate holds.
-    ``sums``: name -> value Column (money; summed exactly, returned as double).
+    ``order_flags`` / ``buyer_flags``: name -> condition; the measure is the number of
+    distinct non-NULL keys on rows where the condition holds (NULL counts as false).
+    ``sums``: name -> value expression (money; summed exactly, returned as double).
     ``ratios``: name -> (numerator measure, denominator measure).
     ``order``: output column order.
+    Text keeps a whole projection to one JVM call when the plan is built.
     """
 
-    order_flags: Mapping[str, Column]
-    buyer_flags: Mapping[str, Column]
-    sums: Mapping[str, Column]
+    order_flags: Mapping[str, str]
+    buyer_flags: Mapping[str, str]
+    sums: Mapping[str, str]
     ratios: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     order: Sequence[str] = ()
 
 
 def daily_measures() -> Measures:
     return Measures(
-        order_flags={"orders": F.lit(True)},
-        buyer_flags={"buyers": F.lit(True)},
-        sums={"gmv": F.col("gmv")},
+        order_flags={"orders": "true"},
+        buyer_flags={"buyers": "true"},
+        sums={"gmv": "gmv"},
         ratios={"aov": ("gmv", "orders")},
         order=("orders", "buyers", "gmv", "aov"),
     )
 
 
 def period_measures(full: bool = True) -> Measures:
-    nb = P.not_buyer_cancelled()
+    nb = P.NOT_BUYER_CANCELLED_SQL
     order_flags = {"orders": nb}
     sums = {
-        "placed_gmv_excl_buyer_cncl": F.when(nb, F.col("gmv")),
-        "placed_gmv_excl_buyer_seller_cncl_exp": F.when(P.not_cancelled(), F.col("gmv")),
-        "shipped_gmv": F.col("shipped_gmv"),
+        "placed_gmv_excl_buyer_cncl": f"CASE WHEN {nb} THEN gmv END",
+        "placed_gmv_excl_buyer_seller_cncl_exp": f"CASE WHEN {P.NOT_CANCELLED_SQL} THEN gmv END",
+        "shipped_gmv": "shipped_gmv",
     }
     order = ["orders", "buyers", "placed_gmv_excl_buyer_cncl", "aov",
              "placed_gmv_excl_buyer_seller_cncl_exp", "shipped_gmv"]
     if full:
-        order_flags.update({"shipped_orders": P.shipped(), "delivered_orders": P.delivered()})
+        order_flags.update({"shipped_orders": P.SHIP_SQL, "delivered_orders": P.DELIVERED_SQL})
         order += ["shipped_orders", "delivered_orders"]
     return Measures(order_flags=order_flags, buyer_flags={"buyers": nb}, sums=sums,
                     ratios={"aov": ("placed_gmv_excl_buyer_cncl", "orders")}, order=tuple(order))
@@ -70,9 +71,9 @@ def stack_levels(df: DataFrame, levels: Sequence[tuple[str, Column]]) -> DataFra
     The hand-written ``UNION ALL`` of per-level aggregates becomes one scan; ``level``
     keeps a NULL entity apart from a total.
     """
-    arr = F.array(*[F.struct(F.lit(name).alias("level"), c.cast("string").alias("entity"))
-                    for name, c in levels])
-    return df.withColumn("_lv", F.explode(arr)).select("*", "_lv.level", "_lv.entity").drop("_lv")
+    arr = F.array(*[F.struct(F.lit(name).alias("level"), (F.expr(c) if isinstance(c, str) else c)
+                             .cast("string").alias("entity")) for name, c in levels])
+    return df.select("*", F.inline(arr))
 
 
 def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
@@ -80,31 +81,28 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
     """Grouped measures of ``m`` by ``keys`` (two-level distinct; see module doc)."""
     keys = list(keys)
     of, bf, sums = list(m.order_flags), list(m.buyer_flags), list(m.sums)
-    types = df.select(*[m.sums[n].alias(n) for n in sums]).schema if sums else None
-    ok_t, bk_t = df.schema[order_key].dataType, df.schema[buyer_key].dataType
+    types = df.selectExpr(*[f"{m.sums[n]} AS {n}" for n in sums]).schema if sums else None
+    ok_t = df.schema[order_key].dataType.simpleString()
+    bk_t = df.schema[buyer_key].dataType.simpleString()
 
-    def grain(g: str) -> Column:
+    def grain(g: str) -> str:
         mine = m.order_flags if g == "o" else m.buyer_flags
-        return F.struct(
-            F.lit(g).alias("g"),
-            (F.col(order_key) if g == "o" else F.lit(None)).cast(ok_t).alias("ok"),
-            (F.col(buyer_key) if g == "b" else F.lit(None)).cast(bk_t).alias("bk"),
-            *[(P.flag(mine[n]) if n in mine else F.lit(None)).cast("int").alias(f"f_{n}") for n in of + bf],
-            *[(m.sums[n] if g == "o" else F.lit(None)).cast(types[n].dataType).alias(f"s_{n}") for n in sums],
-        )
-
-    x = df.select(*keys, F.explode(F.array(grain("o"), grain("b"))).alias("_r")).select(*keys, "_r.*")
+        fields = [f"'g', '{g}'",
+                  f"'ok', CAST({order_key if g == 'o' else 'NULL'} AS {ok_t})",
+                  f"'bk', CAST({buyer_key if g == 'b' else 'NULL'} AS {bk_t})",
+                  *[f"'f_{n}', " + (P.sql_flag(mine[n]) if n in mine else "CAST(NULL AS INT)") for n in of + bf],
+                  *[f"'s_{n}', CAST({m.sums[n] if g == 'o' else 'NULL'} AS {types[n].dataType.simpleString()})"
+                    for n in sums]]
+        return f"named_struct({', '.join(fields)})"
+
+    x = df.selectExpr(*keys, f"inline(array({grain('o')}, {grain('b')}))")
     lvl1 = x.groupBy(*keys, "g", "ok", "bk").agg(
-        *[F.max(f"f_{n}").alias(f"f_{n}") for n in of + bf],
-        *[F.sum(f"s_{n}").alias(f"s_{n}") for n in sums],
-    )
-    is_o = (F.col("g") == "o") & F.col("ok").isNotNull()
-    is_b = (F.col("g") == "b") & F.col("bk").isNotNull()
+        *[F.expr(f"max(f_{n}) AS f_{n}") for n in of + bf], *[F.expr(f"sum(s_{n}) AS s_{n}") for n in sums])
+    is_o, is_b = "g = 'o' AND ok IS NOT NULL", "g = 'b' AND bk IS NOT NULL"
     lvl2 = lvl1.groupBy(*keys).agg(
-        *[F.count(F.when(is_o & (F.col(f"f_{n}") == 1), 1)).alias(n) for n in of],
-        *[F.count(F.when(is_b & (F.col(f"f_{n}") == 1), 1)).alias(n) for n in bf],
-        *[F.sum(f"s_{n}").alias(n) for n in sums],
-    )
+        *[F.expr(f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}") for n in of],
+        *[F.expr(f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}") for n in bf],
+        *[F.expr(f"sum(s_{n}) AS {n}") for n in sums])
     return _finish(lvl2, keys, m)
 
 
@@ -119,9 +117,9 @@ def _finish(agg: DataFrame, keys: Sequence[str], m: Measures) -> DataFrame:
 def global_measures(df: DataFrame, m: Measures, order_key: str = "order_id",
                     buyer_key: str = "buyer_org_id") -> DataFrame:
     """The same measures with no GROUP BY: exactly one row, also on empty input."""
-    aggs = [F.count_distinct(F.when(c, F.col(order_key))).alias(n) for n, c in m.order_flags.items()]
-    aggs += [F.count_distinct(F.when(c, F.col(buyer_key))).alias(n) for n, c in m.buyer_flags.items()]
-    aggs += [F.sum(c).alias(n) for n, c in m.sums.items()]
+    aggs = [F.expr(f"count(DISTINCT CASE WHEN {c} THEN {order_key} END) AS {n}") for n, c in m.order_flags.items()]
+    aggs += [F.expr(f"count(DISTINCT CASE WHEN {c} THEN {buyer_key} END) AS {n}") for n, c in m.buyer_flags.items()]
+    aggs += [F.expr(f"sum({c}) AS {n}") for n, c in m.sums.items()]
     return _finish(df.agg(*aggs), [], m)
 
 

@@ -47,61 +47,86 @@ def _d(x) -> Column:
     return x if isinstance(x, Column) else F.lit(str(x)).cast("date")
 
 
+def _month(x) -> int:
+    d = str(x)[:10]
+    return int(d[:4]) * 100 + int(d[5:7])
+
+
+def month_prune(lo=None, hi=None) -> Column:
+    """``order_month`` bounds implied by an ``order_date`` range. ``order_month`` is the
+    yyyymm of ``order_date`` and the fact table's partition column, so adding this
+    redundant predicate lets the scan skip whole month partitions."""
+    c = F.lit(True)
+    if lo is not None:
+        c = c & (F.col("order_month") >= _month(lo))
+    if hi is not None:
+        c = c & (F.col("order_month") <= _month(hi))
+    return c
+
+
 def fulfilment_type(codes: C.FulfilmentCodes, col: str = "fulfillment_center") -> Column:
     c = F.col(col)
     return (F.when(c.isin(list(codes.seller)), F.lit("seller"))
             .when(c.isin(list(codes.warehouse)), F.lit("wh")))
 
 
-def period_lines(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, end,
-                 codes: C.FulfilmentCodes) -> DataFrame:
-    """Base lines of the period with mapping attributes, CNC tag, fulfilment type and
-    line-level ``gmv`` / ``shipped_gmv`` (shipped = ``first_shipped`` present)."""
-    t = txn.filter(F.col("include").isNull() & F.col("order_date").between(_d(start), _d(end)))
+def dims(mapping: DataFrame, cnc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mapping (with a ``_mapped`` marker) and the CNC org set, each broadcast only
+    after a bounded size check; the org set is de-duplicated so a repeated org id cannot
+    multiply GMV."""
     mp = bounded_broadcast(mapping.select("category", *ATTRS, F.lit(True).alias("_mapped")))
-    # de-duplicated so a repeated org id cannot multiply GMV
     cn = bounded_broadcast(cnc.select(F.col("org_id").alias("_cnc_org")).distinct())
+    return mp, cn
+
+
+def _fulfilment_sql(codes: C.FulfilmentCodes) -> str:
+    return (f"CASE WHEN {P.sql_in('fulfillment_center', codes.seller)} THEN 'seller' "
+            f"WHEN {P.sql_in('fulfillment_center', codes.warehouse)} THEN 'wh' END")
+
+
+def period_lines(txn: DataFrame, mp: DataFrame, cn: DataFrame, start, end,
+                 codes: C.FulfilmentCodes) -> DataFrame:
+    """Base lines of the period with mapping attributes, CNC tag, fulfilment type and
+    line-level ``gmv`` / ``shipped_gmv`` (shipped = ``first_shipped`` present).
+    ``mp`` / ``cn`` come from ``dims``."""
+    t = txn.filter(F.col("include").isNull() & month_prune(start, end)
+                   & F.col("order_date").between(_d(start), _d(end)))
     j = t.join(mp, "category", "left").join(cn, F.col("seller_org_id") == F.col("_cnc_org"), "left")
-    amt = F.col("total_line_amount")
-    return j.select(
-        BUYER, "category", *ATTRS, F.coalesce(F.col("_mapped"), F.lit(False)).alias("_mapped"),
-        "order_id", "order_status", "shipment_status", "payment_mode", "order_month", "seller_org_id",
-        fulfilment_type(codes).alias("fulfillment_type"),
-        F.when(F.col("_cnc_org").isNotNull(), F.lit("CNC")).alias("cnc_tag"),
-        F.when(F.col("first_shipped").isNotNull(), amt).alias("shipped_gmv"),
-        amt.alias("gmv"),
-    )
-
-
-def first_purchase_cells(txn: DataFrame, mapping: DataFrame, lines: DataFrame, end) -> DataFrame:
+    return j.selectExpr(
+        BUYER, "category", *ATTRS, "coalesce(_mapped, false) AS _mapped", "order_id", "order_status",
+        "shipment_status", "payment_mode", "order_month", "seller_org_id",
+        f"{_fulfilment_sql(codes)} AS fulfillment_type",
+        "CASE WHEN _cnc_org IS NOT NULL THEN 'CNC' END AS cnc_tag",
+        "CASE WHEN first_shipped IS NOT NULL THEN total_line_amount END AS shipped_gmv",
+        "total_line_amount AS gmv")
+
+
+def first_purchase_cells(txn: DataFrame, mp: DataFrame, lines: DataFrame, end) -> DataFrame:
     """History pairs (``_src='h'``: buyer, category, first month/date up to ``end``) and
     period cells (``_src='p'``: buyer, category, month, credit-and-shipped flag), with the
     buyer's first month in every segment (``_first_<segment>``).
+
+    One hash exchange on the buyer, then ``min`` windows per segment that all reuse it.
     """
-    hist = txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull()
+    hist = txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull() & month_prune(None, end)
                       & (F.col("order_date") <= _d(end)))
     fm = hist.groupBy(BUYER, "category").agg(F.min("order_month").alias("_fm"),
                                               F.min("order_date").alias("_fd"))
     pb = lines.groupBy(BUYER, "category", "order_month").agg(
-        F.max(P.flag(P.credit() & P.shipped())).alias("_credit"))
-    null_int, null_date = F.lit(None).cast("int"), F.lit(None).cast("date")
-    u = fm.select(BUYER, "category", F.lit("h").alias("_src"), "_fm", "_fd", null_int.alias("order_month"),
-                  null_int.alias("_credit")).unionByName(
-        pb.select(BUYER, "category", F.lit("p").alias("_src"), null_int.alias("_fm"), null_date.alias("_fd"),
-                  F.col("order_month").cast("int").alias("order_month"), F.col("_credit").cast("int")))
-    mp = bounded_broadcast(mapping.select("category", *ATTRS, F.lit(True).alias("_mapped")))
+        F.expr(f"max({P.sql_flag(f'{P.CREDIT_SQL} AND {P.SHIP_SQL}')}) AS _credit"))
+    u = fm.selectExpr(BUYER, "category", "'h' AS _src", "_fm", "_fd", "CAST(NULL AS INT) AS order_month",
+                      "CAST(NULL AS INT) AS _credit").unionByName(
+        pb.selectExpr(BUYER, "category", "'p' AS _src", "CAST(NULL AS INT) AS _fm", "CAST(NULL AS DATE) AS _fd",
+                      "CAST(order_month AS INT) AS order_month", "CAST(_credit AS INT) AS _credit"))
     u = u.join(mp, "category", "left").withColumn("_mapped", F.coalesce(F.col("_mapped"), F.lit(False)))
     u = u.repartition(BUYER)
-    firsts = {}
-    for seg, col in SEG_COL.items():
-        w = Window.partitionBy(BUYER, col) if col else Window.partitionBy(BUYER)
-        firsts[f"_first_{seg}"] = F.min("_fm").over(w)
-    return u.withColumns(firsts)
+    wins = [f"min(_fm) OVER (PARTITION BY {BUYER}{', ' + col if col else ''}) AS _first_{seg}"
+            for seg, col in SEG_COL.items()]
+    return u.selectExpr("*", *wins)
 
 
 def _flag(cells: DataFrame, seg: str) -> Column:
-    return F.when(F.col("_mapped"), F.when(F.col("order_month") == F.col(f"_first_{seg}"), F.lit("New"))
-                  .otherwise(F.lit("Repeat")))
+    return F.expr(f"CASE WHEN _mapped THEN CASE WHEN order_month = _first_{seg} THEN 'New' ELSE 'Repeat' END END")
 
 
 FLAG_COLUMNS = (
@@ -119,8 +144,9 @@ def buyer_cuts_raw(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, en
                    codes: C.FulfilmentCodes) -> DataFrame:
     """The 17-key period pre-aggregate with New/Repeat flags (flags NULL for an unmapped
     category, as the flag table is joined on the mapped category)."""
-    lines = period_lines(txn, mapping, cnc, start, end, codes)
-    cells = first_purchase_cells(txn, mapping, lines, end).filter(F.col("_src") == "p")
+    mp, cn = dims(mapping, cnc)
+    lines = period_lines(txn, mp, cn, start, end, codes)
+    cells = first_purchase_cells(txn, mp, lines, end).filter(F.col("_src") == "p")
     flags = cells.select(BUYER, "category", "order_month", *[_flag(cells, s).alias(n) for n, s in FLAG_COLUMNS])
     pre = lines.groupBy(BUYER, "category", "order_month", *ATTRS, "order_status", "order_id", "shipment_status",
                         "payment_mode", "fulfillment_type", "cnc_tag").agg(
@@ -130,115 +156,122 @@ def buyer_cuts_raw(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, en
             .withColumns({"shipped_gmv": F.col("shipped_gmv").cast("double"), "gmv": F.col("gmv").cast("double")}))
 
 
-def _past_label(dim: str, prefix: str | None, value: Column | None) -> Column:
+def _past_label_sql(dim: str, prefix: str | None) -> str:
+    """Past-buyer label: concat (NULL for a NULL value); 'Ignore' custom cuts are NULL."""
     if prefix is None:
-        return F.lit("Overall")
-    lab = F.concat(F.lit(prefix), value.cast("string"))
+        return "'Overall'"
+    col = SEG_COL[dim]
+    lab = f"concat({P.sql_lit(prefix)}, CAST({col} AS STRING))"
     if dim in ("cust_cat_phones", "cust_cat_hnk"):
-        lab = F.when(value != C.IGNORE_VALUE, lab)   # NOT IN ('Ignore'): NULL and 'Ignore' drop
+        lab = f"CASE WHEN {col} <> {P.sql_lit(C.IGNORE_VALUE)} THEN {lab} END"   # NOT IN ('Ignore')
     return lab
 
 
+def _label_sql(dim: str, prefix: str | None, null_label: str) -> str:
+    """Scorecard label: ``CASE WHEN v IS NULL THEN null_label ELSE concat(prefix, v) END``."""
+    if prefix is None:
+        return P.sql_lit(null_label)
+    col = SEG_COL[dim]
+    return f"CASE WHEN {col} IS NULL THEN {P.sql_lit(null_label)} ELSE concat({P.sql_lit(prefix)}, CAST({col} AS STRING)) END"
+
+
+def _past_label(dim: str, prefix: str | None, value: Column | None) -> Column:
+    return F.expr(_past_label_sql(dim, prefix))
+
+
 def past_buyers(txn: DataFrame, mapping: DataFrame, start) -> DataFrame:
     """Distinct buyers before ``start`` per (dim, entity), six cuts; a NULL segment value
     gives a NULL entity (it never matches a scorecard label), 'Ignore' is left out."""
-    h = txn.filter(F.col("include").isNull() & (F.col("order_date") < _d(start)))
+    h = txn.filter(F.col("include").isNull() & month_prune(None, start) & (F.col("order_date") < _d(start)))
     h = h.select(BUYER, "category").join(bounded_broadcast(mapping.select("category", *ATTRS)), "category", "left")
-    arr = F.array(*[F.struct(F.lit(dim).alias("dim"),
-                             _past_label(dim, prefix, F.col(SEG_COL[dim]) if SEG_COL[dim] else None).alias("entity"))
-                    for dim, prefix, _ in C.SCORECARD_DIMS])
-    x = h.select(BUYER, F.explode(arr).alias("c")).select("c.dim", "c.entity", BUYER)
+    arr = ", ".join(f"named_struct('dim', '{dim}', 'entity', {_past_label_sql(dim, prefix)})"
+                    for dim, prefix, _ in C.SCORECARD_DIMS)
+    x = h.selectExpr(f"inline(array({arr}))", BUYER)
     # 'Ignore' (and NULL) custom-cut rows are filtered out, not labelled NULL
-    x = x.filter(~(F.col("dim").isin("cust_cat_phones", "cust_cat_hnk") & F.col("entity").isNull()))
+    x = x.filter("NOT (dim IN ('cust_cat_phones', 'cust_cat_hnk') AND entity IS NULL)")
     # two-level distinct: (dim, entity, buyer) de-duplicated map-side, then counted
     return x.distinct().groupBy("dim", "entity").agg(F.count(BUYER).alias("past_buyers"))
 
 
+_ORDER_FLAG_SQL = {
+    "shipped_orders": P.SHIP_SQL,
+    "delivered_orders": P.DELIVERED_SQL,
+    "cnc_orders": f"cnc_tag IS NOT NULL AND {P.SHIP_SQL}",
+    "seller_fulfilled_orders": f"fulfillment_type = 'seller' AND cnc_tag IS NULL AND {P.SHIP_SQL}",
+    "warehouse_fulfilled_orders": f"fulfillment_type = 'wh' AND cnc_tag IS NULL AND {P.SHIP_SQL}",
+}
+_SUM_SQL = {
+    "rto_gmv": f"CASE WHEN {P.RTO_SQL} THEN gmv END",
+    "credit_gmv": f"CASE WHEN {P.CREDIT_SQL} THEN shipped_gmv END",
+    "placed_gmv": "gmv",
+    "shipped_gmv": "shipped_gmv",
+    "delivered_gmv": f"CASE WHEN {P.DELIVERED_SQL} AND {P.NOT_CANCELLED_SQL} THEN gmv END",
+    "cnc_gmv": "CASE WHEN cnc_tag IS NOT NULL THEN shipped_gmv END",
+    "seller_fulfilled_gmv": "CASE WHEN fulfillment_type = 'seller' AND cnc_tag IS NULL THEN shipped_gmv END",
+    "warehouse_fulfilled_gmv": "CASE WHEN fulfillment_type = 'wh' AND cnc_tag IS NULL THEN shipped_gmv END",
+}
+
+
 def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, end,
                      codes: C.FulfilmentCodes, cuts: C.CustomCuts = C.CustomCuts()) -> DataFrame:
     """(dim, entity, 17 measures, past_buyers) for the six cuts of the period."""
-    lines = period_lines(txn, mapping, cnc, start, end, codes)
-    cells = first_purchase_cells(txn, mapping, lines, end)
-    ok_t = lines.schema["order_id"].dataType
-    bk_t = lines.schema[BUYER].dataType
-    money_t = lines.schema["gmv"].dataType
+    mp, cn = dims(mapping, cnc)
+    lines = period_lines(txn, mp, cn, start, end, codes)
+    cells = first_purchase_cells(txn, mp, lines, end)
+    sch = lines.schema
+    ok_t, bk_t, money_t = (sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString(),
+                           sch["gmv"].dataType.simpleString())
     flag_seg = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",
                 "cust_cat_hnk": "cust_cat_hnk" if cuts.hnk_flag == "own" else "cust_cat_phones",
                 "mario_tag": "mario_tag", "overall": "overall"}
+    all_flags = (*ORDER_FLAGS, *BUYER_FLAGS)
 
-    ship = P.shipped()
-    no_cnc = F.col("cnc_tag").isNull()
-    ff = F.col("fulfillment_type")
-    order_flags = {
-        "shipped_orders": ship, "delivered_orders": P.delivered(),
-        "cnc_orders": F.col("cnc_tag").isNotNull() & ship,
-        "seller_fulfilled_orders": (ff == "seller") & no_cnc & ship,
-        "warehouse_fulfilled_orders": (ff == "wh") & no_cnc & ship,
-    }
-    sg = F.col("shipped_gmv")
-    sums = {
-        "rto_gmv": F.when(P.rto(), F.col("gmv")), "credit_gmv": F.when(P.credit(), sg),
-        "placed_gmv": F.col("gmv"), "shipped_gmv": sg,
-        "delivered_gmv": F.when(P.delivered() & P.not_cancelled(), F.col("gmv")),
-        "cnc_gmv": F.when(F.col("cnc_tag").isNotNull(), sg),
-        "seller_fulfilled_gmv": F.when((ff == "seller") & no_cnc, sg),
-        "warehouse_fulfilled_gmv": F.when((ff == "wh") & no_cnc, sg),
-    }
-
-    def row(g: str, ok: Column, bk: Column, flags: dict, s: dict) -> list[Column]:
-        return [F.lit(g).alias("g"), ok.cast(ok_t).alias("ok"), bk.cast(bk_t).alias("bk"),
-                *[(P.flag(flags[n]) if n in flags else F.lit(None)).cast("int").alias(f"f_{n}")
-                  for n in (*ORDER_FLAGS, *BUYER_FLAGS)],
-                *[(s[n] if n in s else F.lit(None)).cast(money_t).alias(f"s_{n}") for n in SUMS]]
-
-    def cuts_of(label_fn) -> Column:
-        return F.explode(F.array(*[F.struct(F.lit(dim).alias("dim"), label_fn(dim, prefix, null_label).alias("entity"))
-                                   for dim, prefix, null_label in C.SCORECARD_DIMS]))
-
-    def p_label(dim, prefix, null_label):
-        col = SEG_COL[dim]
-        return entity_label(F.col(col) if col else None, prefix, null_label)
+    def row(g: str, ok: str, bk: str, flags: dict[str, str], sums: dict[str, str]) -> list[str]:
+        """One level-1 input row: grain, keys, 0/1 flags and money sums, as SQL text."""
+        return [f"{g} AS g", f"CAST({ok} AS {ok_t}) AS ok", f"CAST({bk} AS {bk_t}) AS bk",
+                *[(flags[n] if n in flags else "CAST(NULL AS INT)") + f" AS f_{n}" for n in all_flags],
+                *[f"CAST({sums[n] if n in sums else 'NULL'} AS {money_t}) AS s_{n}" for n in SUMS]]
 
     # order grain: every period line in all six cuts
-    o_rows = (lines.select(cuts_of(p_label).alias("c"),
-                           *row("o", F.col("order_id"), F.lit(None), order_flags, sums))
-              .select("c.dim", "c.entity", "*").drop("c"))
-
-    # buyer grain: period cells, New/Repeat under the cut's own flag segment
-    p_cells = cells.filter(F.col("_src") == "p")
-    b_arr = F.explode(F.array(*[
-        F.struct(F.lit(dim).alias("dim"), p_label(dim, prefix, null_label).alias("entity"),
-                 (F.col("_mapped") & (F.col("order_month") == F.col(f"_first_{flag_seg[dim]}"))).alias("_new"),
-                 (F.col("_mapped") & (F.col("order_month") != F.col(f"_first_{flag_seg[dim]}"))).alias("_rep"))
-        for dim, prefix, null_label in C.SCORECARD_DIMS]))
-    b_rows = (p_cells.select(BUYER, "_credit", b_arr.alias("c"))
-              .select("c.dim", "c.entity", *row("b", F.lit(None), F.col(BUYER),
-                                                {"new_buyers": F.col("c._new"), "repeat_buyers": F.col("c._rep"),
-                                                 "credit_buyers": F.col("_credit") == 1}, {})))
-
-    # past buyers: history pairs first bought before the period
-    h_cells = cells.filter((F.col("_src") == "h") & (F.col("_fd") < _d(start)))
-    h_rows = h_cells.select(
-        cuts_of(lambda dim, prefix, _nl: _past_label(dim, prefix, F.col(SEG_COL[dim]) if SEG_COL[dim] else None))
-        .alias("c"), *row("h", F.lit(None), F.col(BUYER), {}, {}))
-    h_rows = h_rows.select("c.dim", "c.entity", "*").drop("c").filter(F.col("entity").isNotNull())
-
-    allr = o_rows.unionByName(b_rows).unionByName(h_rows)
+    o_cuts = ", ".join(f"named_struct('dim', '{d}', 'entity', {_label_sql(d, p, nl)})"
+                       for d, p, nl in C.SCORECARD_DIMS)
+    o_rows = lines.selectExpr(
+        f"inline(array({o_cuts}))",
+        *row("'o'", "order_id", "NULL", {n: P.sql_flag(c) for n, c in _ORDER_FLAG_SQL.items()}, _SUM_SQL))
+
+    # buyer grain and past buyers from ONE pass over the windowed cells (two filtered
+    # consumers would be column-pruned apart and re-scan the history):
+    #   period cell  -> 'b' row: New/Repeat under the cut's own flag segment, credit flag
+    #   history pair -> 'h' row: a buyer who bought in the segment before the period
+    bh_cuts = ", ".join(
+        f"named_struct('dim', '{d}', "
+        f"'entity', CASE WHEN _src = 'p' THEN {_label_sql(d, p, nl)} ELSE {_past_label_sql(d, p)} END, "
+        f"'g', CASE WHEN _src = 'p' THEN 'b' ELSE 'h' END, "
+        f"'_new', _src = 'p' AND _mapped AND order_month = _first_{flag_seg[d]}, "
+        f"'_rep', _src = 'p' AND _mapped AND order_month <> _first_{flag_seg[d]})"
+        for d, p, nl in C.SCORECARD_DIMS)
+    bh = (cells.filter(f"_src = 'p' OR _fd < DATE {P.sql_lit(start)}")
+          .selectExpr(f"inline(array({bh_cuts}))", BUYER, "_credit")
+          .filter("entity IS NOT NULL"))
+    bh_rows = bh.selectExpr("dim", "entity", *row(
+        "g", "NULL", BUYER, {"new_buyers": P.sql_flag("_new"), "repeat_buyers": P.sql_flag("_rep"),
+                             "credit_buyers": P.sql_flag("g = 'b' AND _credit = 1")}, {}))
+
+    allr = o_rows.unionByName(bh_rows)
     lvl1 = allr.groupBy("dim", "entity", "g", "ok", "bk").agg(
-        *[F.max(f"f_{n}").alias(f"f_{n}") for n in (*ORDER_FLAGS, *BUYER_FLAGS)],
-        *[F.sum(f"s_{n}").alias(f"s_{n}") for n in SUMS])
-    g, ok, bk = F.col("g"), F.col("ok").isNotNull(), F.col("bk").isNotNull()
-    is_o, is_b, is_h = (g == "o") & ok, (g == "b") & bk, (g == "h")
-    lvl2 = lvl1.groupBy("dim", "entity").agg(
-        F.count(F.when(g == "o", 1)).alias("_has_o"),
-        F.count(F.when(is_h, 1)).alias("_has_h"),
-        F.count(F.when(is_o, 1)).alias("placed_orders"),
-        *[F.count(F.when(is_o & (F.col(f"f_{n}") == 1), 1)).alias(n) for n in ORDER_FLAGS],
-        *[F.count(F.when(is_b & (F.col(f"f_{n}") == 1), 1)).alias(n) for n in BUYER_FLAGS],
-        F.count(F.when(is_h & bk, 1)).alias("_past"),
-        *[F.sum(f"s_{n}").cast("double").alias(n) for n in SUMS])
-    out = (lvl2.filter(F.col("_has_o") > 0)
-           .withColumn("past_buyers", F.when(F.col("_has_h") > 0, F.col("_past"))))
+        *[F.expr(f"max(f_{n}) AS f_{n}") for n in all_flags], *[F.expr(f"sum(s_{n}) AS s_{n}") for n in SUMS])
+    is_o, is_b = "g = 'o' AND ok IS NOT NULL", "g = 'b' AND bk IS NOT NULL"
+    lvl2 = lvl1.groupBy("dim", "entity").agg(*[F.expr(e) for e in (
+        "count(CASE WHEN g = 'o' THEN 1 END) AS _has_o",
+        "count(CASE WHEN g = 'h' THEN 1 END) AS _has_h",
+        f"count(CASE WHEN {is_o} THEN 1 END) AS placed_orders",
+        *[f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}" for n in ORDER_FLAGS],
+        *[f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}" for n in BUYER_FLAGS],
+        "count(CASE WHEN g = 'h' AND bk IS NOT NULL THEN 1 END) AS _past",
+        *[f"CAST(sum(s_{n}) AS DOUBLE) AS {n}" for n in SUMS])])
+    out = lvl2.filter("_has_o > 0").selectExpr(
+        "dim", "entity", *[n for n in OUTPUT if n != "past_buyers"],
+        "CASE WHEN _has_h > 0 THEN _past END AS past_buyers")
     return out.select("dim", "entity", *OUTPUT)
 
 

@@ -37,8 +37,8 @@ def prepare(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
 
 
 def snapshot_measures() -> Measures:
-    return Measures(order_flags={"orders": F.lit(True)}, buyer_flags={"buyers": F.lit(True)},
-                    sums={"gmv": F.col("total_line_amount")}, order=("orders", "buyers", "gmv"))
+    return Measures(order_flags={"orders": "true"}, buyer_flags={"buyers": "true"},
+                    sums={"gmv": "total_line_amount"}, order=("orders", "buyers", "gmv"))
 
 
 def snapshot_numbers(raw: DataFrame, cfg: ReportConfig) -> DataFrame:

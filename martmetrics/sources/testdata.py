@@ -20,10 +20,15 @@ Mapping (canonical <- test data):
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import TESTDATA
+from ..session import checkpoint_dir
 
 FC_SELLER, FC_WAREHOUSE = TESTDATA.fulfilment.seller[0], TESTDATA.fulfilment.warehouse[0]
 
@@ -89,8 +94,8 @@ def _fulfillment(suppkey: Column) -> Column:
     return F.when(m == 0, FC_SELLER).when(m == 1, FC_WAREHOUSE)
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain transaction fact (the ``mis_table`` shape)."""
+def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-grain transaction fact (the ``mis_table`` shape) joined from the test tables."""
     li = _spread(_read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus",
         "l_shipdate"))
@@ -121,6 +126,59 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TXN_SCHEMA = T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("buyer_org_id", T.LongType()),
+    T.StructField("seller_org_id", T.LongType()), T.StructField("listing_id", T.LongType()),
+    T.StructField("category", T.StringType()), T.StructField("order_status", T.StringType()),
+    T.StructField("shipment_status", T.StringType()), T.StructField("payment_mode", T.StringType()),
+    T.StructField("fulfillment_center", T.StringType()), T.StructField("first_shipped", T.DateType()),
+    T.StructField("total_line_amount", T.DecimalType(18, 2)), T.StructField("order_date", T.DateType()),
+    T.StructField("order_date_time", T.LongType()), T.StructField("include", T.StringType()),
+    T.StructField("order_month", T.IntegerType()),   # partition column
+])
+TXN_COLUMNS = ("order_id", "buyer_org_id", "seller_org_id", "listing_id", "category", "order_status",
+               "shipment_status", "payment_mode", "fulfillment_center", "first_shipped", "total_line_amount",
+               "order_date", "order_month", "order_date_time", "include")
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha1(sf_dir.encode())
+    for name in ("lineitem", "orders", "part"):
+        fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
+        st = fs.getFileStatus(p)
+        h.update(f"{name}:{st.getLen()}:{st.getModificationTime()}".encode())
+    return h.hexdigest()[:20]
+
+
+def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical fact table for ``sf_dir``: a parquet table partitioned by
+    ``order_month`` in the shared checkpoint folder, written once from the test tables
+    (keyed by their sizes and modification times) and read by every query.
+
+    This stands in for the warehouse table the report jobs read: period filters prune
+    month partitions, and scans split across files instead of one row group. The write
+    range-partitions on (order_month, order_id), so a large month spreads over several
+    tasks and files; it goes to a fresh folder first and is renamed into place.
+    """
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/martmetrics/canonical/{_fingerprint(spark, sf_dir)}/txn"
+    fs, p = _fs(spark, f"{path}/_SUCCESS")
+    if not fs.exists(p):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        (txn_from_tables(spark, sf_dir).repartitionByRange("order_month", "order_id")
+         .write.mode("overwrite").partitionBy("order_month").parquet(tmp))
+        fs.mkdirs(_fs(spark, path)[1].getParent())
+        if not fs.rename(_fs(spark, tmp)[1], _fs(spark, path)[1]) and not fs.exists(p):
+            raise RuntimeError(f"could not publish canonical table at {path}")
+    return spark.read.schema(TXN_SCHEMA).parquet(path).select(*TXN_COLUMNS)
+
+
 def rt_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily table (``rt_mis_table`` shape): ``order_date_time`` is a date-valued day."""
     t = txn(spark, sf_dir).filter(F.col("order_date") < F.lit(RT_CUTOFF).cast("date"))

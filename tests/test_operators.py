@@ -123,8 +123,8 @@ def test_two_level_distinct_equals_count_distinct(spark):
              rnd.choice([Decimal("1.10"), Decimal("2.25"), None])) for _ in range(300)]
     df = spark.createDataFrame(rows, "k string, order_id string, buyer_org_id string, shipment_status string, "
                                      "gmv decimal(18,2)")
-    m = levels.Measures(order_flags={"orders": F.lit(True), "delivered": F.col("shipment_status") == "SHIPMENT_DELIVERED"},
-                        buyer_flags={"buyers": F.col("shipment_status").isNotNull()}, sums={"gmv": F.col("gmv")})
+    m = levels.Measures(order_flags={"orders": "true", "delivered": "shipment_status = 'SHIPMENT_DELIVERED'"},
+                        buyer_flags={"buyers": "shipment_status IS NOT NULL"}, sums={"gmv": "gmv"})
     got = {r.k: tuple(r)[1:] for r in levels.distinct_measures(df, ["k"], m).collect()}
     want = {r.k: tuple(r)[1:] for r in df.groupBy("k").agg(
         F.count_distinct("order_id"),
