@@ -37,6 +37,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
+        # local runs have small shuffles; keep AQE from folding them onto a few cores
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -49,8 +49,21 @@ CNC_NATIONS = (3, 7)
 RT_CUTOFF = "2001-08-01"
 
 
+# Frames over immutable inputs (the read-only test tables and the published canonical
+# table), reused within a session so each query does not list and open them again.
+_FRAMES: dict = {}
+
+
+def _memo(spark: SparkSession, key: str, build) -> DataFrame:
+    k = (id(spark._jsparkSession), key)
+    if k not in _FRAMES:
+        _FRAMES[k] = build()
+    return _FRAMES[k]
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return _memo(spark, path, lambda: spark.read.parquet(path))
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -136,6 +149,11 @@ TXN_SCHEMA = T.StructType([
     T.StructField("order_date_time", T.LongType()), T.StructField("include", T.StringType()),
     T.StructField("order_month", T.IntegerType()),   # partition column
 ])
+# bump when the canonical table's layout changes
+CANONICAL_VERSION = "v2"
+# the daily table's day (month start, see RT_CUTOFF) is stored so its filter reaches the scan
+CANONICAL_SCHEMA = T.StructType(TXN_SCHEMA.fields[:-1] + [T.StructField("rt_day", T.DateType()),
+                                                         TXN_SCHEMA.fields[-1]])
 TXN_COLUMNS = ("order_id", "buyer_org_id", "seller_org_id", "listing_id", "category", "order_status",
                "shipment_status", "payment_mode", "fulfillment_center", "first_shipped", "total_line_amount",
                "order_date", "order_month", "order_date_time", "include")
@@ -166,23 +184,32 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     range-partitions on (order_month, order_id), so a large month spreads over several
     tasks and files; it goes to a fresh folder first and is renamed into place.
     """
+    return _canonical(spark, sf_dir).select(*TXN_COLUMNS)
+
+
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/martmetrics/canonical/{_fingerprint(spark, sf_dir)}/txn"
-    fs, p = _fs(spark, f"{path}/_SUCCESS")
-    if not fs.exists(p):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-        (txn_from_tables(spark, sf_dir).repartitionByRange("order_month", "order_id")
-         .write.mode("overwrite").partitionBy("order_month").parquet(tmp))
-        fs.mkdirs(_fs(spark, path)[1].getParent())
-        if not fs.rename(_fs(spark, tmp)[1], _fs(spark, path)[1]) and not fs.exists(p):
-            raise RuntimeError(f"could not publish canonical table at {path}")
-    return spark.read.schema(TXN_SCHEMA).parquet(path).select(*TXN_COLUMNS)
+    path = f"{base}/martmetrics/canonical/{CANONICAL_VERSION}-{_fingerprint(spark, sf_dir)}/txn"
+
+    def build() -> DataFrame:
+        fs, p = _fs(spark, f"{path}/_SUCCESS")
+        if not fs.exists(p):
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            t = txn_from_tables(spark, sf_dir).withColumn("rt_day", F.trunc("order_date", "month"))
+            (t.repartitionByRange("order_month", "order_id")
+             .write.mode("overwrite").partitionBy("order_month").parquet(tmp))
+            fs.mkdirs(_fs(spark, path)[1].getParent())
+            if not fs.rename(_fs(spark, tmp)[1], _fs(spark, path)[1]) and not fs.exists(p):
+                raise RuntimeError(f"could not publish canonical table at {path}")
+        return spark.read.schema(CANONICAL_SCHEMA).parquet(path)
+
+    return _memo(spark, path, build)
 
 
 def rt_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily table (``rt_mis_table`` shape): ``order_date_time`` is a date-valued day."""
-    t = txn(spark, sf_dir).filter(F.col("order_date") < F.lit(RT_CUTOFF).cast("date"))
-    return t.withColumn("order_date_time", F.trunc("order_date", "month"))
+    t = _canonical(spark, sf_dir).filter(F.col("order_date") < F.lit(RT_CUTOFF).cast("date"))
+    return t.select(*[F.col("rt_day").alias(c) if c == "order_date_time" else F.col(c) for c in TXN_COLUMNS])
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,14 +227,9 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def custom_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = _read(spark, sf_dir, "part").select(_category(F.col("p_name")).alias("category")).distinct()
     cols = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "mario_tag")
-    exprs = []
-    for i, name in enumerate(cols, start=1):
-        e = None
-        for rule in MAPPING_RULES:
-            e = (F.when if e is None else e.when)(F.col("category") == rule[0], rule[i])
-        exprs.append(e.alias(name))
+    exprs = [f"{_sql_case('category', i)} AS {name}" for i, name in enumerate(cols, start=1)]
     mapped = F.col("category").isin([r[0] for r in MAPPING_RULES])
-    return cats.filter(mapped).select("category", *exprs)
+    return cats.filter(mapped).selectExpr("category", *exprs)
 
 
 def cnc_org(spark: SparkSession, sf_dir: str) -> DataFrame:
