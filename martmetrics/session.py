@@ -52,16 +52,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_FALLBACK_DIRS: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised stage tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (set by whoever runs the cluster); only
-    when it is unset (tests, local runs) do we pick a fresh local folder.
+    when it is unset (tests, local runs) is one local folder picked per application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="martmetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        app = spark.sparkContext.applicationId
+        if app not in _FALLBACK_DIRS:
+            _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="martmetrics-ckpt-",
+                                                   dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _FALLBACK_DIRS[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
