@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import predicates as P
 from ..functions.scalars import safe_ratio
@@ -85,14 +86,24 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
     ok_t = df.schema[order_key].dataType.simpleString()
     bk_t = df.schema[buyer_key].dataType.simpleString()
 
+    # A decimal(<=18, s) sum is carried as exact integer units of 10^-s in a bigint: the
+    # aggregation stays on the fast primitive path (ANSI mode raises on overflow).
+    unit = {n: 10 ** types[n].dataType.scale for n in sums
+            if isinstance(types[n].dataType, T.DecimalType) and types[n].dataType.precision <= 18}
+
+    def s_value(n: str, g: str) -> str:
+        v = m.sums[n] if g == "o" else "NULL"
+        if n in unit:
+            return f"CAST(({v}) * {unit[n]} AS BIGINT)"
+        return f"CAST({v} AS {types[n].dataType.simpleString()})"
+
     def grain(g: str) -> str:
         mine = m.order_flags if g == "o" else m.buyer_flags
         fields = [f"'g', '{g}'",
                   f"'ok', CAST({order_key if g == 'o' else 'NULL'} AS {ok_t})",
                   f"'bk', CAST({buyer_key if g == 'b' else 'NULL'} AS {bk_t})",
                   *[f"'f_{n}', " + (P.sql_flag(mine[n]) if n in mine else "CAST(NULL AS INT)") for n in of + bf],
-                  *[f"'s_{n}', CAST({m.sums[n] if g == 'o' else 'NULL'} AS {types[n].dataType.simpleString()})"
-                    for n in sums]]
+                  *[f"'s_{n}', {s_value(n, g)}" for n in sums]]
         return f"named_struct({', '.join(fields)})"
 
     x = df.selectExpr(*keys, f"inline(array({grain('o')}, {grain('b')}))")
@@ -102,7 +113,8 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
     lvl2 = lvl1.groupBy(*keys).agg(
         *[F.expr(f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}") for n in of],
         *[F.expr(f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}") for n in bf],
-        *[F.expr(f"sum(s_{n}) AS {n}") for n in sums])
+        *[F.expr(f"CAST(sum(s_{n}) AS DECIMAL(38, 0)) / {unit[n]} AS {n}" if n in unit else f"sum(s_{n}) AS {n}")
+          for n in sums])
     return _finish(lvl2, keys, m)
 
 

@@ -219,18 +219,21 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
     lines = period_lines(txn, mp, cn, start, end, codes)
     cells = first_purchase_cells(txn, mp, lines, end)
     sch = lines.schema
-    ok_t, bk_t, money_t = (sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString(),
-                           sch["gmv"].dataType.simpleString())
+    ok_t, bk_t = sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString()
     flag_seg = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",
                 "cust_cat_hnk": "cust_cat_hnk" if cuts.hnk_flag == "own" else "cust_cat_phones",
                 "mario_tag": "mario_tag", "overall": "overall"}
     all_flags = (*ORDER_FLAGS, *BUYER_FLAGS)
+    scale = sch["gmv"].dataType.scale if hasattr(sch["gmv"].dataType, "scale") else 2
+    cents = 10 ** scale
 
     def row(g: str, ok: str, bk: str, flags: dict[str, str], sums: dict[str, str]) -> list[str]:
         """One level-1 input row: grain, keys, 0/1 flags and money sums, as SQL text."""
         return [f"{g} AS g", f"CAST({ok} AS {ok_t}) AS ok", f"CAST({bk} AS {bk_t}) AS bk",
                 *[(flags[n] if n in flags else "CAST(NULL AS INT)") + f" AS f_{n}" for n in all_flags],
-                *[f"CAST({sums[n] if n in sums else 'NULL'} AS {money_t}) AS s_{n}" for n in SUMS]]
+                # money as exact integer cents: bigint sums stay on the fast aggregation path
+                # (ANSI mode raises on overflow instead of wrapping)
+                *[f"CAST(({sums[n] if n in sums else 'NULL'}) * {cents} AS BIGINT) AS s_{n}" for n in SUMS]]
 
     # order grain: every period line in all six cuts
     o_cuts = ", ".join(f"named_struct('dim', '{d}', 'entity', {_label_sql(d, p, nl)})"
@@ -268,7 +271,7 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
         *[f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}" for n in ORDER_FLAGS],
         *[f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}" for n in BUYER_FLAGS],
         "count(CASE WHEN g = 'h' AND bk IS NOT NULL THEN 1 END) AS _past",
-        *[f"CAST(sum(s_{n}) AS DOUBLE) AS {n}" for n in SUMS])])
+        *[f"CAST(CAST(sum(s_{n}) AS DECIMAL(38, 0)) / {cents} AS DOUBLE) AS {n}" for n in SUMS])])
     out = lvl2.filter("_has_o > 0").selectExpr(
         "dim", "entity", *[n for n in OUTPUT if n != "past_buyers"],
         "CASE WHEN _has_h > 0 THEN _past END AS past_buyers")
