@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +89,3 @@ def drop_high_orders(df: DataFrame, cap: float, order_key: str = "order_id",
     high = (df.groupBy(order_key).agg(F.sum(amount).alias("_tot"))
             .filter(F.col("_tot") > F.lit(cap)).select(order_key))
     return df.join(high, order_key, "left_anti")
-
-
-def as_date(x) -> _dt.date:
-    return x if isinstance(x, _dt.date) else _dt.date.fromisoformat(str(x))

@@ -143,6 +143,12 @@ def test_grand_total_row_on_empty_input(spark):
     assert (r.level, r.entity, r.orders, r.buyers, r.gmv, r.aov) == ("total", "Grand Total", 0, 0, None, None)
 
 
+def test_global_measures_one_row_on_empty_input(spark):
+    empty = spark.createDataFrame([], "order_id string, buyer_org_id string, gmv decimal(18,2)")
+    rows = levels.global_measures(empty, levels.daily_measures()).collect()
+    assert [tuple(r) for r in rows] == [(0, 0, None, None)]
+
+
 def test_null_category_is_its_own_row(spark):
     df = spark.createDataFrame([("o1", "u1", Decimal("5"), None, "Mario", "R")],
                                "order_id string, buyer_org_id string, gmv decimal(18,2), category string, "
