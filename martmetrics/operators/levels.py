@@ -78,8 +78,14 @@ def stack_levels(df: DataFrame, levels: Sequence[tuple[str, Column]]) -> DataFra
 
 
 def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
-                      order_key: str = "order_id", buyer_key: str = "buyer_org_id") -> DataFrame:
-    """Grouped measures of ``m`` by ``keys`` (two-level distinct; see module doc)."""
+                      order_key: str = "order_id", buyer_key: str = "buyer_org_id",
+                      anchors: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Grouped measures of ``m`` by ``keys`` (two-level distinct; see module doc).
+
+    ``anchors``: key tuples (string literals) whose group must exist even when no input
+    row has them — e.g. a Grand Total on empty input. Each adds one neutral row (no key,
+    no amount) to the level-1 input, so no join is needed to materialise the group.
+    """
     keys = list(keys)
     of, bf, sums = list(m.order_flags), list(m.buyer_flags), list(m.sums)
     types = df.selectExpr(*[f"{m.sums[n]} AS {n}" for n in sums]).schema if sums else None
@@ -107,6 +113,14 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
         return f"named_struct({', '.join(fields)})"
 
     x = df.selectExpr(*keys, f"inline(array({grain('o')}, {grain('b')}))")
+    if anchors:
+        neutral = ["'o' AS g", f"CAST(NULL AS {ok_t}) AS ok", f"CAST(NULL AS {bk_t}) AS bk",
+                   *[f"CAST(NULL AS INT) AS f_{n}" for n in of + bf]]
+        for a in anchors:
+            row = df.sparkSession.range(1).selectExpr(
+                *[f"{P.sql_lit(v)} AS {k}" for k, v in zip(keys, a)], *neutral,
+                *[f"CAST(NULL AS {x.schema['s_' + n].dataType.simpleString()}) AS s_{n}" for n in sums])
+            x = x.unionByName(row)
     lvl1 = x.groupBy(*keys, "g", "ok", "bk").agg(
         *[F.expr(f"max(f_{n}) AS f_{n}") for n in of + bf], *[F.expr(f"sum(s_{n}) AS s_{n}") for n in sums])
     is_o, is_b = "g = 'o' AND ok IS NOT NULL", "g = 'b' AND bk IS NOT NULL"
@@ -139,15 +153,10 @@ def stacked_report(df: DataFrame, levels: Sequence[tuple[str, Column]], m: Measu
                    total_label: str = "Grand Total") -> DataFrame:
     """Grand-total row + one block per level, as (level, entity, measures...).
 
-    The total comes out of the same single pass as the levels; a one-row frame is
-    outer-joined in so the total row exists (with zero counts) on empty input too, as a
-    global aggregate without GROUP BY does.
+    The total comes out of the same single pass as the levels; a neutral anchor row
+    makes the total row exist (with zero counts) on empty input too, as a global
+    aggregate without GROUP BY does.
     """
     all_levels = [("total", F.lit(total_label)), *levels]
-    out = distinct_measures(stack_levels(df, all_levels), ["level", "entity"], m)
-    spark = df.sparkSession
-    anchor = spark.range(1).select(F.lit("total").alias("level"), F.lit(total_label).alias("entity"))
-    out = out.join(anchor, ["level", "entity"], "full_outer")
-    counts = [*m.order_flags, *m.buyer_flags]
-    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast("long")) for n in counts}) \
-        .select("level", "entity", *(list(m.order) or counts))
+    return distinct_measures(stack_levels(df, all_levels), ["level", "entity"], m,
+                             anchors=[("total", total_label)]).select("level", "entity", *m.order)
