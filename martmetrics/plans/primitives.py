@@ -301,9 +301,9 @@ def select_distinct(spark: SparkSession, sf: str) -> DataFrame:
 
 _GAPS_SQL = W("""SELECT buyer_org_id, category, order_date, order_month,
   lag(order_date, 1) OVER (PARTITION BY buyer_org_id, category ORDER BY order_date) AS prev_order_date,
-  date_diff('day', lag(order_date, 1) OVER (PARTITION BY buyer_org_id, category ORDER BY order_date), order_date)
-    AS gap_days,
-  rank() OVER (PARTITION BY buyer_org_id, order_month ORDER BY order_date) AS month_rank
+  CAST(date_diff('day', lag(order_date, 1) OVER (PARTITION BY buyer_org_id, category ORDER BY order_date),
+                 order_date) AS INTEGER) AS gap_days,
+  CAST(rank() OVER (PARTITION BY buyer_org_id, order_month ORDER BY order_date) AS INTEGER) AS month_rank
 FROM (SELECT DISTINCT buyer_org_id, category, order_date, order_month FROM txn WHERE include IS NULL)""")
 
 

@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -29,6 +30,20 @@ def _norm(v):
     return (1, str(v))
 
 
+def _type_class(t) -> str:
+    if pa.types.is_integer(t):
+        return f"int{t.bit_width}"
+    if pa.types.is_floating(t):
+        return "float"
+    if pa.types.is_decimal(t):
+        return "decimal"
+    if pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_string_view(t):
+        return "string"
+    if pa.types.is_date(t):
+        return "date"
+    return str(t)
+
+
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -57,6 +72,9 @@ def test_query_matches_oracle(spark, duck, name):
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
     assert _canon(df.columns, got) == _canon(cols, want)
+    spark_types = {f.name: _type_class(f.type) for f in df.limit(0).toArrow().schema}
+    duck_types = {f.name: _type_class(f.type) for f in duck.sql(SQL[name]).to_arrow_table().schema}
+    assert spark_types == duck_types
 
 
 def test_entry_runs(spark):
