@@ -94,17 +94,49 @@ def period_lines(txn: DataFrame, mp: DataFrame, cn: DataFrame, start, end,
         "total_line_amount AS gmv")
 
 
-def first_purchase_cells(txn: DataFrame, mp: DataFrame, lines: DataFrame, end) -> DataFrame:
+def first_purchases(txn: DataFrame, upto, since=None) -> DataFrame:
+    """(buyer_org_id, category, first_month, first_date) over base rows dated in
+    (``since``, ``upto``] — the state the New/Repeat and past-buyer measures need.
+
+    ``min`` is associative, so a table built once can be carried forward with
+    ``merge_first_purchases(old, first_purchases(txn, upto=new_end, since=old_end))``,
+    reading only the new slice of the fact instead of the whole history every run.
+    """
+    c = F.col("include").isNull() & F.col("order_date").isNotNull() & month_prune(since, upto) \
+        & (F.col("order_date") <= _d(upto))
+    if since is not None:
+        c = c & (F.col("order_date") > _d(since))
+    return txn.filter(c).groupBy(BUYER, "category").agg(F.min("order_month").alias("first_month"),
+                                                         F.min("order_date").alias("first_date"))
+
+
+def merge_first_purchases(*tables: DataFrame) -> DataFrame:
+    """Union of first-purchase tables, reduced to the earliest purchase per pair."""
+    u = tables[0]
+    for t in tables[1:]:
+        u = u.unionByName(t)
+    return u.groupBy(BUYER, "category").agg(F.min("first_month").alias("first_month"),
+                                            F.min("first_date").alias("first_date"))
+
+
+def first_purchase_cells(txn: DataFrame, mp: DataFrame, lines: DataFrame, end,
+                         state: DataFrame | None = None, state_upto=None) -> DataFrame:
     """History pairs (``_src='h'``: buyer, category, first month/date up to ``end``) and
     period cells (``_src='p'``: buyer, category, month, credit-and-shipped flag), with the
     buyer's first month in every segment (``_first_<segment>``).
 
+    ``state``: an optional ``first_purchases`` table covering history up to
+    ``state_upto`` (<= ``end``); only the fact slice after it is read.
     One hash exchange on the buyer, then ``min`` windows per segment that all reuse it.
     """
-    hist = txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull() & month_prune(None, end)
-                      & (F.col("order_date") <= _d(end)))
-    fm = hist.groupBy(BUYER, "category").agg(F.min("order_month").alias("_fm"),
-                                              F.min("order_date").alias("_fd"))
+    if state is None:
+        fp = first_purchases(txn, end)
+    else:
+        if state_upto is None or str(state_upto) > str(end):
+            raise ValueError("a first-purchase state must cover history up to a date <= the period end")
+        fp = merge_first_purchases(state.select(BUYER, "category", "first_month", "first_date"),
+                                   first_purchases(txn, end, since=state_upto))
+    fm = fp.select(BUYER, "category", F.col("first_month").alias("_fm"), F.col("first_date").alias("_fd"))
     pb = lines.groupBy(BUYER, "category", "order_month").agg(
         F.expr(f"max({P.sql_flag(f'{P.CREDIT_SQL} AND {P.SHIP_SQL}')}) AS _credit"))
     u = fm.selectExpr(BUYER, "category", "'h' AS _src", "_fm", "_fd", "CAST(NULL AS INT) AS order_month",
@@ -134,12 +166,13 @@ RAW_KEYS = (BUYER, "category", *ATTRS, *[n for n, _ in FLAG_COLUMNS], "order_sta
 
 
 def buyer_cuts_raw(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, end,
-                   codes: C.FulfilmentCodes) -> DataFrame:
+                   codes: C.FulfilmentCodes, state: DataFrame | None = None, state_upto=None) -> DataFrame:
     """The 17-key period pre-aggregate with New/Repeat flags (flags NULL for an unmapped
-    category, as the flag table is joined on the mapped category)."""
+    category, as the flag table is joined on the mapped category). ``state`` as in
+    ``entity_scorecard``."""
     mp, cn = dims(mapping, cnc)
     lines = period_lines(txn, mp, cn, start, end, codes)
-    cells = first_purchase_cells(txn, mp, lines, end).filter(F.col("_src") == "p")
+    cells = first_purchase_cells(txn, mp, lines, end, state, state_upto).filter(F.col("_src") == "p")
     flags = cells.select(BUYER, "category", "order_month", *[_flag(cells, s).alias(n) for n, s in FLAG_COLUMNS])
     pre = lines.groupBy(BUYER, "category", "order_month", *ATTRS, "order_status", "order_id", "shipment_status",
                         "payment_mode", "fulfillment_type", "cnc_tag").agg(
@@ -206,11 +239,16 @@ _SUM_SQL = {
 
 
 def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, end,
-                     codes: C.FulfilmentCodes, cuts: C.CustomCuts = C.CustomCuts()) -> DataFrame:
-    """(dim, entity, 17 measures, past_buyers) for the six cuts of the period."""
+                     codes: C.FulfilmentCodes, cuts: C.CustomCuts = C.CustomCuts(),
+                     state: DataFrame | None = None, state_upto=None) -> DataFrame:
+    """(dim, entity, 17 measures, past_buyers) for the six cuts of the period.
+
+    ``state`` / ``state_upto``: optional ``first_purchases`` table carried from an earlier
+    run (see ``first_purchase_cells``); the result is identical, the history is not re-read.
+    """
     mp, cn = dims(mapping, cnc)
     lines = period_lines(txn, mp, cn, start, end, codes)
-    cells = first_purchase_cells(txn, mp, lines, end)
+    cells = first_purchase_cells(txn, mp, lines, end, state, state_upto)
     sch = lines.schema
     ok_t, bk_t = sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString()
     flag_seg = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",

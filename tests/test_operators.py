@@ -215,6 +215,21 @@ def test_scorecard_invariants(spark):
     assert long.count() == len(rows) * len(C.PARTICULARS)
 
 
+@pytest.mark.parametrize("state_upto", ["2020-01-31", "2020-02-29", "2020-03-31"])
+def test_scorecard_with_carried_first_purchase_state(spark, state_upto):
+    t, m = _random_history(spark, 11)
+    cnc = spark.createDataFrame([("s2",)], "org_id string")
+    codes = C.FulfilmentCodes(("FC_SELLER",), ("FC_WAREHOUSE",))
+    plain = scorecard.entity_scorecard(t, m, cnc, "2020-03-01", "2020-03-31", codes)
+    state = scorecard.first_purchases(t, state_upto)
+    carried = scorecard.entity_scorecard(t, m, cnc, "2020-03-01", "2020-03-31", codes,
+                                         state=state, state_upto=state_upto)
+    assert plain.exceptAll(carried).count() == 0 and carried.exceptAll(plain).count() == 0
+    with pytest.raises(ValueError):
+        scorecard.entity_scorecard(t, m, cnc, "2020-03-01", "2020-03-31", codes, state=state,
+                                   state_upto="2020-04-30")
+
+
 def test_scorecard_hnk_uses_phones_flag_and_dims_do_not_collide(spark):
     # buyer b1 bought c1 (phones 'P') in June, c2 (phones 'Ignore', hnk 'P') in July:
     # in July the HNK cut 'P' is judged by the phones flag of c2 -> 'Ignore' segment is new.
