@@ -20,6 +20,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``bounded_broadcast`` for several frames with one Spark job: the bounded counts are
+    taken together as one grouped count over a union of the limited frames."""
+    if len(dfs) == 1:
+        return [bounded_broadcast(dfs[0], max_rows)]
+    probe = None
+    for i, df in enumerate(dfs):
+        p = df.limit(max_rows + 1).select(F.lit(i).alias("_i"))
+        probe = p if probe is None else probe.unionByName(p)
+    # one row per frame comes back to the driver
+    counts = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+
+
 def semi_filter(big: DataFrame, keys: DataFrame, on: list[str] | str,
                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Keep rows of ``big`` whose ``on`` key occurs in ``keys`` — map-side, when the key set
