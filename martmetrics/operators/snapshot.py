@@ -36,6 +36,29 @@ def prepare(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
                           "overall": F.lit("overall")})
 
 
+def latest_day_prepared(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """``latest_day(prepare(raw, cfg))`` with the day filter applied to the raw rows first.
+
+    One per-order aggregate (total, last date) yields both the over-cap orders and the
+    latest day among surviving rows (copies never add dates); the day's rows are then
+    cleaned, de-capped and relabelled — the whole-history work is one partial aggregation.
+    Both consumers read the same aggregate columns, so its exchange is shared.
+    """
+    x = raw.withColumn("category", fill_blank("category"))
+    per_order = x.groupBy("order_id").agg(F.sum("total_line_amount").alias("_tot"),
+                                          F.max("order_date").alias("_last"))
+    over = (F.col("_tot") > F.lit(cfg.snapshot_cap)) & F.col("_last").isNotNull()
+    # orders over the cap (a NULL id never matches in the anti join, so NULL-id rows stay)
+    high = per_order.filter(over).select("order_id")
+    day = per_order.filter(~F.coalesce(over & F.col("order_id").isNotNull(), F.lit(False))) \
+        .agg(F.max("_last").alias("_day"))
+    rows = x.join(F.broadcast(day), F.col("order_date") == F.col("_day"), "inner").drop("_day")
+    rows = rows.join(high, "order_id", "left_anti")
+    rows = relabelled_copies(rows, cfg.snapshot_brand_rule, cfg.snapshot_allow_rule)
+    return rows.withColumns({"bu": tag(cfg.snapshot_bu, "category"), "bg": tag(cfg.snapshot_bg, "category"),
+                             "overall": F.lit("overall")})
+
+
 def snapshot_measures() -> Measures:
     return Measures(order_flags={"orders": "true"}, buyer_flags={"buyers": "true"},
                     sums={"gmv": "total_line_amount"}, order=("orders", "buyers", "gmv"))
@@ -47,7 +70,7 @@ def snapshot_numbers(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
     The category block keeps the relabelled copies (``include=0``), the others do not —
     as in the source, so a copy counts under its *original* category a second time.
     """
-    x = latest_day(prepare(raw, cfg))
+    x = latest_day_prepared(raw, cfg)
     st = stack_levels(x, [(lv, F.col(lv)) for lv in LEVEL_ORDER])
     st = st.filter((F.col("level") == "category") | (F.col("include") == 1)).filter(F.col("entity").isNotNull())
     m = distinct_measures(st, ["level", "entity"], snapshot_measures())
