@@ -1,7 +1,7 @@
 """Configuration for the report operators.
 
 Every vocabulary the operators test against lives here, as frozen dataclasses, so the
-same operator runs on production data (the reference's own values) and on the driver's
+same operator runs on production data (the source jobs' own values) and on the driver's
 TPC-H-like test tables (the ``TESTDATA`` variants at the bottom).
 """
 
