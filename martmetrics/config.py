@@ -81,7 +81,7 @@ IGNORE_VALUE = "Ignore"
 
 # Long-format scorecard rows, in output order: (particular, measure).
 # The two warehouse labels carried an organisation name in the source; it is left out here
-# and the labels are overridable through ``ScorecardLabels``.
+# and the labels can be replaced through the ``particulars`` argument of ``scorecard_long``.
 PARTICULARS = (
     ("Placed GMV", "placed_gmv"),
     ("Shipped GMV", "shipped_gmv"),

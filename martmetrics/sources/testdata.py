@@ -203,8 +203,10 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
                 tmp = f"{path}.tmp-{uuid.uuid4().hex}"
                 (derived().repartitionByRange("order_month", "order_id")
                  .write.mode("overwrite").partitionBy("order_month").parquet(tmp))
-                fs.mkdirs(_fs(spark, path)[1].getParent())
-                if not fs.rename(_fs(spark, tmp)[1], _fs(spark, path)[1]) and not fs.exists(p):
+                dst = _fs(spark, path)[1]
+                fs.mkdirs(dst.getParent())
+                # another writer may have published meanwhile: keep the first complete table
+                if not fs.exists(dst) and not fs.rename(_fs(spark, tmp)[1], dst) and not fs.exists(p):
                     raise OSError(f"could not publish canonical table at {path}")
             return spark.read.schema(CANONICAL_SCHEMA).parquet(path)
         except Exception as e:  # noqa: BLE001 — an unwritable shared folder must not fail the query
