@@ -46,14 +46,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None,
-                partition_by: list[str] | None = None) -> DataFrame:
-    """``DROP TABLE IF EXISTS; CREATE TABLE AS``: overwrite a parquet stage table in the
-    shared folder and return a frame reading it back — this also cuts the lineage, so a
-    lost executor re-reads the table instead of recomputing the whole upstream plan."""
+                partition_by: list[str] | None = None, database: str | None = None,
+                as_table: bool = False) -> DataFrame:
+    """``DROP TABLE IF EXISTS; CREATE TABLE AS``: overwrite a parquet stage table and
+    return a frame reading it back — this also cuts the lineage, so a lost executor
+    re-reads the table instead of recomputing the whole upstream plan.
+
+    By default the table is a parquet folder under the shared checkpoint folder; with
+    ``as_table=True`` it is a catalog table ``database.name`` (``USE db`` becomes the
+    ``database`` argument) in the session's warehouse.
+    """
     spark = df.sparkSession
-    path = path or scratch_path(spark, name)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if as_table:
+        ident = f"{database}.{name}" if database else name
+        w.saveAsTable(ident)
+        return spark.table(ident)
+    path = path or scratch_path(spark, name)
+    w.save(path)
     return spark.read.parquet(path)
