@@ -353,3 +353,13 @@ def test_newrep_drops_null_dates(spark):
     m = spark.createDataFrame([("c1", "BU", "P", "Ignore", "G")], MAP_DDL)
     got = [(r.order_month, r.buyer_cat_month_newrep) for r in newrep.newrep_flags(t, m).collect()]
     assert got == [(202007, "New")]
+
+
+def test_materialise_path_and_catalog_table(spark):
+    from martmetrics.sources import files
+    df = spark.range(5).withColumnRenamed("id", "k")
+    assert files.materialise(df, "stage_x").count() == 5
+    spark.sql("CREATE DATABASE IF NOT EXISTS mm_test_db")
+    t = files.materialise(df, "stage_y", database="mm_test_db", as_table=True)
+    assert sorted(r.k for r in t.collect()) == [0, 1, 2, 3, 4]
+    assert files.materialise(df.limit(2), "stage_y", database="mm_test_db", as_table=True).count() == 2
