@@ -54,7 +54,9 @@ def materialise(df: DataFrame, name: str, path: str | None = None,
 
     By default the table is a parquet folder under the shared checkpoint folder; with
     ``as_table=True`` it is a catalog table ``database.name`` (``USE db`` becomes the
-    ``database`` argument) in the session's warehouse.
+    ``database`` argument) in the session's warehouse. (Spark refuses to create a managed
+    table over a leftover folder its catalog does not know — e.g. after an in-memory
+    catalog is gone — so use a persistent catalog for this form.)
     """
     spark = df.sparkSession
     w = df.write.mode("overwrite").format("parquet")
@@ -62,7 +64,7 @@ def materialise(df: DataFrame, name: str, path: str | None = None,
         w = w.partitionBy(*partition_by)
     if as_table:
         ident = f"{database}.{name}" if database else name
-        w.saveAsTable(ident)
+        w.saveAsTable(ident)   # overwrite = DROP + CREATE for a table the catalog knows
         return spark.table(ident)
     path = path or scratch_path(spark, name)
     w.save(path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -360,6 +361,7 @@ def test_materialise_path_and_catalog_table(spark):
     df = spark.range(5).withColumnRenamed("id", "k")
     assert files.materialise(df, "stage_x").count() == 5
     spark.sql("CREATE DATABASE IF NOT EXISTS mm_test_db")
-    t = files.materialise(df, "stage_y", database="mm_test_db", as_table=True)
+    name = f"stage_{uuid.uuid4().hex[:8]}"   # the in-memory test catalog forgets tables between runs
+    t = files.materialise(df, name, database="mm_test_db", as_table=True)
     assert sorted(r.k for r in t.collect()) == [0, 1, 2, 3, 4]
-    assert files.materialise(df.limit(2), "stage_y", database="mm_test_db", as_table=True).count() == 2
+    assert files.materialise(df.limit(2), name, database="mm_test_db", as_table=True).count() == 2
