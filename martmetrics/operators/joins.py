@@ -20,10 +20,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                          report: bool = False) -> list:
     """``bounded_broadcast`` for several frames with one Spark job: the bounded counts are
-    taken together as one grouped count over a union of the limited frames."""
-    if len(dfs) == 1:
+    taken together as one grouped count over a union of the limited frames.
+
+    With ``report=True`` the last frame is a check rather than a dimension: its slot in the
+    result is True when it has any row (e.g. duplicate keys found), evaluated in the same job.
+    """
+    if len(dfs) == 1 and not report:
         return [bounded_broadcast(dfs[0], max_rows)]
     probe = None
     for i, df in enumerate(dfs):
@@ -31,7 +36,10 @@ def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROA
         probe = p if probe is None else probe.unionByName(p)
     # one row per frame comes back to the driver
     counts = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+    out = [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+    if report:
+        out[-1] = counts.get(len(dfs) - 1, 0) > 0
+    return out
 
 
 def semi_filter(big: DataFrame, keys: DataFrame, on: list[str] | str,

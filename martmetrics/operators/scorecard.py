@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import predicates as P
-from .joins import bounded_broadcast, bounded_broadcast_all
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_broadcast_all
 
 ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "mario_tag")
 BUYER = "buyer_org_id"
@@ -67,8 +67,12 @@ def dims(mapping: DataFrame, cnc: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The mapping (with a ``_mapped`` marker) and the CNC org set, each broadcast only
     after a bounded size check; the org set is de-duplicated so a repeated org id cannot
     multiply GMV."""
-    mp, cn = bounded_broadcast_all([mapping.select("category", *ATTRS, F.lit(True).alias("_mapped")),
-                                    cnc.select(F.col("org_id").alias("_cnc_org")).distinct()])
+    dup = mapping.groupBy("category").count().filter("count > 1").select("category")
+    mp, cn, dup_check = bounded_broadcast_all([mapping.select("category", *ATTRS, F.lit(True).alias("_mapped")),
+                                               cnc.select(F.col("org_id").alias("_cnc_org")).distinct(),
+                                               dup], max_rows=DEFAULT_MAX_BROADCAST_ROWS, report=True)
+    if dup_check:
+        raise ValueError("custom mapping has repeated categories; joining it would multiply GMV")
     return mp, cn
 
 

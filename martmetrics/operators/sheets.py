@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..config import SKIP_SHEETS
 from ..functions.scalars import iso_date, weekday_label
 
@@ -22,8 +23,7 @@ BLANK_FILL = "x"           # blank cells (and the blank-labelled weekday row) re
 
 
 def sheet_schema(n_dates: int) -> T.StructType:
-    return T.StructType([T.StructField("row_no", T.IntegerType()), T.StructField("label", T.StringType())]
-                        + [T.StructField(f"v{i}", T.StringType()) for i in range(1, n_dates + 1)])
+    return schemas.sheet(n_dates)
 
 
 def read_sheets(spark: SparkSession, path: str, n_dates: int) -> DataFrame:

@@ -12,19 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..session import checkpoint_dir
 
-SNAPSHOT_CSV_SCHEMA = T.StructType([
-    T.StructField("order_id", T.LongType()),
-    T.StructField("order_date", T.DateType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("brand", T.StringType()),
-    T.StructField("rt_mis_category", T.StringType()),
-    T.StructField("seller_org_id", T.LongType()),
-    T.StructField("buyer_org_id", T.LongType()),
-    T.StructField("vertical", T.StringType()),
-    T.StructField("total_line_amount", T.DecimalType(18, 2)),
-])
+SNAPSHOT_CSV_SCHEMA = schemas.snapshot_csv(T.LongType())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

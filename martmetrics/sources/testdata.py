@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..config import TESTDATA
 from ..session import checkpoint_dir
 
@@ -141,16 +142,7 @@ def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TXN_SCHEMA = T.StructType([
-    T.StructField("order_id", T.LongType()), T.StructField("buyer_org_id", T.LongType()),
-    T.StructField("seller_org_id", T.LongType()), T.StructField("listing_id", T.LongType()),
-    T.StructField("category", T.StringType()), T.StructField("order_status", T.StringType()),
-    T.StructField("shipment_status", T.StringType()), T.StructField("payment_mode", T.StringType()),
-    T.StructField("fulfillment_center", T.StringType()), T.StructField("first_shipped", T.DateType()),
-    T.StructField("total_line_amount", T.DecimalType(18, 2)), T.StructField("order_date", T.DateType()),
-    T.StructField("order_date_time", T.LongType()), T.StructField("include", T.StringType()),
-    T.StructField("order_month", T.IntegerType()),   # partition column
-])
+TXN_SCHEMA = schemas.txn(T.LongType())
 # bump when the canonical table's layout changes
 CANONICAL_VERSION = "v2"
 # the daily table's day (month start, see RT_CUTOFF) is stored so its filter reaches the scan

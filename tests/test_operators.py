@@ -365,3 +365,11 @@ def test_materialise_path_and_catalog_table(spark):
     t = files.materialise(df, name, database="mm_test_db", as_table=True)
     assert sorted(r.k for r in t.collect()) == [0, 1, 2, 3, 4]
     assert files.materialise(df.limit(2), name, database="mm_test_db", as_table=True).count() == 2
+
+
+def test_scorecard_rejects_repeated_mapping_categories(spark):
+    t = txn_rows(spark, [dict(order_id="o1", buyer_org_id="b1", category="c1")])
+    m = spark.createDataFrame([("c1", "BU", "P", "Ignore", "G"), ("c1", "BU2", "P", "Ignore", "G")], MAP_DDL)
+    with pytest.raises(ValueError):
+        scorecard.entity_scorecard(t, m, spark.createDataFrame([], "org_id string"), "2020-07-01",
+                                   "2020-07-31", C.FulfilmentCodes(("X",), ("Y",)))
