@@ -58,7 +58,8 @@ _FRAMES: dict = {}
 
 
 def _memo(spark: SparkSession, key: str, build) -> DataFrame:
-    k = (id(spark._jsparkSession), key)
+    # application id + the JVM session's identity: stable for a live session, never reused
+    k = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), key)
     if k not in _FRAMES:
         _FRAMES[k] = build()
     return _FRAMES[k]
