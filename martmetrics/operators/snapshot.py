@@ -20,6 +20,15 @@ from .overrides import relabelled_copies
 LEVEL_ORDER = ("overall", "bu", "bg", "category")
 
 
+def read_export(spark, path: str, id_type=None) -> DataFrame:
+    """The snapshot job's CSV export (header row, fixed schema — no inference pass)."""
+    from pyspark.sql import types as T
+
+    from .. import schemas
+    from ..sources.files import read_csv
+    return read_csv(spark, path, schemas.snapshot_csv(id_type or T.StringType()))
+
+
 def latest_day(df: DataFrame, col: str = "order_date") -> DataFrame:
     """Rows on the latest ``col`` value. The max is a one-row aggregate (partial per task),
     joined back as a broadcast — its size is one row by construction."""

@@ -373,3 +373,16 @@ def test_scorecard_rejects_repeated_mapping_categories(spark):
     with pytest.raises(ValueError):
         scorecard.entity_scorecard(t, m, spark.createDataFrame([], "org_id string"), "2020-07-01",
                                    "2020-07-31", C.FulfilmentCodes(("X",), ("Y",)))
+
+
+def test_snapshot_from_csv_export(spark, tmp_path):
+    from martmetrics.operators import snapshot
+    p = tmp_path / "raw.csv"
+    p.write_text("order_id,order_date,category,brand,rt_mis_category,seller_org_id,buyer_org_id,vertical,"
+                 "total_line_amount\n"
+                 "o1,2020-09-01,Toys,b,Toys,s1,u1,v,100.50\n"
+                 "o2,2020-09-01,,b,,s1,u2,v,1000\n")
+    out = {(r.level, r.entity): r for r in snapshot.hourly_snapshot(snapshot.read_export(spark, str(p)),
+                                                                     C.production()).collect()}
+    assert out[("overall", "overall")].gmv == "1,100" and out[("category", "Blank")].orders == "1"
+    assert out[("bu", "General Merchandise")].gmv == "100"
