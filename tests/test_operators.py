@@ -386,3 +386,22 @@ def test_snapshot_from_csv_export(spark, tmp_path):
                                                                      C.production()).collect()}
     assert out[("overall", "overall")].gmv == "1,100" and out[("category", "Blank")].orders == "1"
     assert out[("bu", "General Merchandise")].gmv == "100"
+
+
+def test_categorise_period_local_day_range(spark):
+    base = (D(2020, 8, 31) - D(1970, 1, 1)).days * 86400000
+    rows = [dict(order_id="early", listing_id="l1", order_date=D(2020, 8, 31),
+                 order_date_time=base + (18 * 3600 + 29 * 60 + 59) * 1000),       # 23:59:59 local, Aug 31
+            dict(order_id="start", listing_id="l1", order_date=D(2020, 8, 31),
+                 order_date_time=base + (18 * 3600 + 30 * 60) * 1000),            # 00:00:00 local, Sep 1
+            dict(order_id="end", listing_id="l1", order_date=D(2020, 9, 7),
+                 order_date_time=base + 7 * 86400000 + (18 * 3600 + 29 * 60) * 1000),  # 23:59 local, Sep 7
+            dict(order_id="late", listing_id="l1", order_date=D(2020, 9, 7),
+                 order_date_time=base + 7 * 86400000 + (18 * 3600 + 30 * 60) * 1000)]  # 00:00 local, Sep 8
+    t = txn_rows(spark, rows)
+    ov = spark.createDataFrame([("l1", "b", "v", "Toys", "1")],
+                               "listing_id string, brand string, vertical string, rt_mis_category string, include string")
+    out = cat.categorise_period(t, ov, "2020-09-01", "2020-09-07", C.production().period_type,
+                                C.production().period_type2, 200000).collect()
+    assert sorted(r.order_id for r in out) == ["end", "start"]
+    assert {r.order_id: r.order_date for r in out}["start"] == "2020-09-01 00:00:00"
