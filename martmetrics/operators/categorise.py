@@ -19,8 +19,9 @@ def report_day(as_of=None, n: int = 0) -> Column:
 
 def _join_overrides(t: DataFrame, overrides: DataFrame) -> DataFrame:
     # The override table is listing-sized; prune it to the listings of the (filtered)
-    # transactions map-side when that key set is provably small, then left-join.
-    ov = semi_filter(overrides, t, "listing_id")
+    # transactions map-side when that key set is provably small, and broadcast the pruned
+    # table when it is provably small too — then the facts are not shuffled for this join.
+    ov = semi_filter(overrides, t, "listing_id", then_broadcast=True)
     ov = ov.select("listing_id", F.col("vertical").alias("ov_vertical"), F.col("brand").alias("ov_brand"),
                    F.col("include").alias("ov_include"), "rt_mis_category")
     return t.join(ov, "listing_id", "left")

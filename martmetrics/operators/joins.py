@@ -43,13 +43,29 @@ def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROA
 
 
 def semi_filter(big: DataFrame, keys: DataFrame, on: list[str] | str,
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, then_broadcast: bool = False) -> DataFrame:
     """Keep rows of ``big`` whose ``on`` key occurs in ``keys`` — map-side, when the key set
     is small enough to broadcast; otherwise ``big`` is returned whole (the later join does
-    the filtering), so no large side is ever shuffled just to be pruned."""
+    the filtering), so no large side is ever shuffled just to be pruned.
+
+    ``then_broadcast``: after pruning, size-check the pruned frame too and hint it for
+    broadcast when it is under the bound, so the join that follows does not shuffle the
+    (larger) side it is joined to.
+    """
     on = [on] if isinstance(on, str) else list(on)
     k = keys.select(*on).distinct()
-    n = k.limit(max_rows + 1).count()
-    if n > max_rows:
+    if not then_broadcast:
+        if k.limit(max_rows + 1).count() > max_rows:
+            return big
+        return big.join(F.broadcast(k), on, "left_semi")
+    # one job for both checks: the key-set size, and the size of the table pruned by the
+    # (at most max_rows + 1) first keys — the latter is only used when the former passes
+    kk = k.limit(max_rows + 1)
+    probe = kk.select(F.lit(0).alias("_i")).unionByName(
+        big.join(F.broadcast(kk), on, "left_semi").limit(max_rows + 1).select(F.lit(1).alias("_i")))
+    # two rows come back to the driver
+    n = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if n.get(0, 0) > max_rows:
         return big
-    return big.join(F.broadcast(k), on, "left_semi")
+    pruned = big.join(F.broadcast(k), on, "left_semi")
+    return F.broadcast(pruned) if n.get(1, 0) <= max_rows else pruned
