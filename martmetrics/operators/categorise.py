@@ -9,7 +9,7 @@ from ..config import Hierarchy
 from ..functions import predicates as P
 from ..functions.hierarchy import alias_category, tag
 from ..functions.scalars import epoch_ms_bounds, local_date_from_epoch_ms, local_stamp_from_epoch_ms, local_today
-from .joins import semi_filter
+from .joins import bounded_broadcast, semi_filter
 
 
 def report_day(as_of=None, n: int = 0) -> Column:
@@ -83,10 +83,11 @@ def drop_high_orders(df: DataFrame, cap: float, order_key: str = "order_id",
                      amount: str = "total_line_amount") -> DataFrame:
     """Remove every line of orders whose total amount exceeds ``cap``.
 
-    The order totals are a partial (map-side) aggregate; the over-cap ids are removed
-    with a left-anti join. Lines with a NULL order id survive, as they do in pandas
-    (``~isin``) — the anti join never matches a NULL key.
+    The order totals are a partial (map-side) aggregate; the over-cap ids — outliers, so
+    normally few — are size-checked and broadcast, so the lines are not shuffled for the
+    left-anti join (above the bound it stays a shuffle join). Lines with a NULL order id
+    survive, as they do in pandas (``~isin``) — the anti join never matches a NULL key.
     """
     high = (df.groupBy(order_key).agg(F.sum(amount).alias("_tot"))
             .filter(F.col("_tot") > F.lit(cap)).select(order_key))
-    return df.join(high, order_key, "left_anti")
+    return df.join(bounded_broadcast(high), order_key, "left_anti")

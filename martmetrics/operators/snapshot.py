@@ -14,6 +14,7 @@ from ..config import ReportConfig
 from ..functions.hierarchy import tag
 from ..functions.scalars import fill_blank, format_indian
 from .categorise import drop_high_orders
+from .joins import bounded_broadcast
 from .levels import Measures, distinct_measures, stack_levels
 from .overrides import relabelled_copies
 
@@ -62,7 +63,7 @@ def latest_day_prepared(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
     day = per_order.filter(~F.coalesce(over & F.col("order_id").isNotNull(), F.lit(False))) \
         .agg(F.max("_last").alias("_day"))
     rows = x.join(F.broadcast(day), F.col("order_date") == F.col("_day"), "inner").drop("_day")
-    rows = rows.join(high, "order_id", "left_anti")
+    rows = rows.join(bounded_broadcast(high), "order_id", "left_anti")
     rows = relabelled_copies(rows, cfg.snapshot_brand_rule, cfg.snapshot_allow_rule)
     return rows.withColumns({"bu": tag(cfg.snapshot_bu, "category"), "bg": tag(cfg.snapshot_bg, "category"),
                              "overall": F.lit("overall")})

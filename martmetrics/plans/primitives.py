@@ -14,7 +14,7 @@ from ..functions.scalars import (entity_label, iso_date, local_date_from_epoch_m
 from ..operators import categorise as cat
 from ..operators import newrep
 from ..operators import overrides as ov
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, semi_filter
 from ..sources import files
 from ..sources import testdata as td
 from .month_end import _all_buyer_lags_sql
@@ -214,8 +214,10 @@ def semi_allow_list(spark: SparkSession, sf: str) -> DataFrame:
 def join_fanout_overrides(spark: SparkSession, sf: str) -> DataFrame:
     t = td.rt_txn(spark, sf).filter(F.col("order_date_time") == F.to_date(F.lit(REPORT_DAY))).drop("include")
     o = ov.sku_overrides(td.listing(spark, sf), td.category_map(spark, sf), CFG.brand_rule)
-    # one line meets every label row of its listing (1-3 rows) — the fan-out is the point
-    return t.join(o.select("listing_id", "rt_mis_category", "include"), "listing_id", "left").select(
+    # one line meets every label row of its listing (1-3 rows) — the fan-out is the point;
+    # the listing-sized table is pruned to the day's listings and size-checked first
+    o = semi_filter(o.select("listing_id", "rt_mis_category", "include"), t, "listing_id", then_broadcast=True)
+    return t.join(o, "listing_id", "left").select(
         "order_id", "listing_id", "rt_mis_category", "include", "total_line_amount")
 
 
