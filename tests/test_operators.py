@@ -405,3 +405,23 @@ def test_categorise_period_local_day_range(spark):
                                 C.production().period_type2, 200000).collect()
     assert sorted(r.order_id for r in out) == ["end", "start"]
     assert {r.order_id: r.order_date for r in out}["start"] == "2020-09-01 00:00:00"
+
+
+def test_predicates_follow_sql_null_semantics(spark):
+    from martmetrics.functions import predicates as P
+    df = spark.createDataFrame([(None, None, None), ("SELLER_ORDER_BUYER_CANCEL", "SHIPMENT_RTS", "CREDIT"),
+                                ("SELLER_ORDER_COMPLETED", "SHIPMENT_DELIVERED", "CASH"),
+                                ("SELLER_ORDER_EXPIRED", "SHIPMENT_RTO", "PAY_LATER")],
+                               "order_status string, shipment_status string, payment_mode string")
+
+    def kept(c):
+        return sorted(r.order_status or "-" for r in df.filter(c).collect())
+
+    assert kept(P.not_buyer_cancelled()) == ["SELLER_ORDER_COMPLETED", "SELLER_ORDER_EXPIRED"]   # NULL dropped
+    assert kept(P.not_cancelled()) == ["SELLER_ORDER_COMPLETED"]
+    assert kept(P.shipped()) == ["SELLER_ORDER_COMPLETED", "SELLER_ORDER_EXPIRED"]
+    assert kept(P.delivered()) == ["SELLER_ORDER_COMPLETED"]
+    assert kept(P.rto()) == ["SELLER_ORDER_EXPIRED"]
+    assert kept(P.credit()) == ["SELLER_ORDER_BUYER_CANCEL", "SELLER_ORDER_EXPIRED"]
+    assert kept(F.expr(P.NOT_BUYER_CANCELLED_SQL)) == kept(P.not_buyer_cancelled())
+    assert kept(F.expr(P.SHIP_SQL)) == kept(P.shipped())
