@@ -425,3 +425,40 @@ def test_predicates_follow_sql_null_semantics(spark):
     assert kept(P.credit()) == ["SELLER_ORDER_BUYER_CANCEL", "SELLER_ORDER_EXPIRED"]
     assert kept(F.expr(P.NOT_BUYER_CANCELLED_SQL)) == kept(P.not_buyer_cancelled())
     assert kept(F.expr(P.SHIP_SQL)) == kept(P.shipped())
+
+
+def test_scorecard_overall_matches_pandas_brute_force_on_skewed_history(spark):
+    rnd = random.Random(99)
+    rows = []
+    for i in range(600):
+        d = D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 120))
+        rows.append(dict(order_id=f"o{rnd.randrange(0, 250)}",                 # multi-line orders
+                         buyer_org_id="hot" if rnd.random() < 0.6 else f"b{rnd.randrange(0, 5)}",  # one hot buyer
+                         category=rnd.choice(["c1", "c2", "c3"]), order_date=d,
+                         seller_org_id=rnd.choice(["s1", "s2"]),
+                         shipment_status=rnd.choice(["SHIPMENT_DELIVERED", "SHIPMENT_RTS", None]),
+                         payment_mode=rnd.choice(["CREDIT", "CASH"]),
+                         fulfillment_center=rnd.choice(["FC_SELLER", "FC_WAREHOUSE"]),
+                         first_shipped=rnd.choice([d, None]), order_status="SELLER_ORDER_COMPLETED",
+                         total_line_amount=Decimal(rnd.randrange(100, 10000)) / 100))
+    t = txn_rows(spark, rows)
+    m = spark.createDataFrame([("c1", "A", "P", "Ignore", "G"), ("c2", "A", "Ignore", "H", "G"),
+                               ("c3", "B", "Ignore", "Ignore", "M")], MAP_DDL)
+    cnc = spark.createDataFrame([("s2",)], "org_id string")
+    sc = scorecard.entity_scorecard(t, m, cnc, "2020-03-01", "2020-03-31", C.FulfilmentCodes(("FC_SELLER",), ("FC_WAREHOUSE",)))
+    got = [r for r in sc.collect() if r.dim == "overall"][0]
+
+    pdf = t.toPandas()
+    per = pdf[(pdf.order_date >= D(2020, 3, 1)) & (pdf.order_date <= D(2020, 3, 31))]
+    ship = per.shipment_status.notna() & (per.shipment_status != "SHIPMENT_RTS")
+    amt = per.total_line_amount.astype(float)
+    shipped_amt = amt.where(per.first_shipped.notna(), 0.0)
+    first_month = pdf.groupby("buyer_org_id").order_month.min()
+    new = {b for b, mth in zip(per.buyer_org_id, per.order_month) if mth == first_month[b]}
+    assert got.placed_orders == per.order_id.nunique()
+    assert got.shipped_orders == per[ship].order_id.nunique()
+    assert got.placed_gmv == pytest.approx(amt.sum())
+    assert got.shipped_gmv == pytest.approx(shipped_amt.sum())
+    assert got.cnc_gmv == pytest.approx(shipped_amt[per.seller_org_id == "s2"].sum())
+    assert got.new_buyers == len(new) and got.new_buyers + got.repeat_buyers == per.buyer_org_id.nunique()
+    assert got.past_buyers == pdf[pdf.order_date < D(2020, 3, 1)].buyer_org_id.nunique()
