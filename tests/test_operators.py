@@ -462,3 +462,21 @@ def test_scorecard_overall_matches_pandas_brute_force_on_skewed_history(spark):
     assert got.cnc_gmv == pytest.approx(shipped_amt[per.seller_org_id == "s2"].sum())
     assert got.new_buyers == len(new) and got.new_buyers + got.repeat_buyers == per.buyer_org_id.nunique()
     assert got.past_buyers == pdf[pdf.order_date < D(2020, 3, 1)].buyer_org_id.nunique()
+
+
+def test_semi_filter_and_probe_bounds(spark):
+    from martmetrics.operators.joins import bounded_broadcast_all, semi_filter
+    big = spark.range(100).withColumnRenamed("id", "k")
+    few = spark.range(5).withColumnRenamed("id", "k")
+    many = spark.range(50).withColumnRenamed("id", "k")
+
+    def hinted(df):
+        return "broadcast" in str(df._jdf.queryExecution().logical()).lower()
+
+    pruned = semi_filter(big, few, "k", max_rows=10, then_broadcast=True)
+    assert pruned.count() == 5 and hinted(pruned)
+    assert semi_filter(big, many, "k", max_rows=10, then_broadcast=True) is big      # key set over the bound
+    a, b, dup = bounded_broadcast_all([few, many, many.filter("k > 100")], max_rows=10, report=True)
+    assert hinted(a) and not hinted(b) and dup is False
+    *_, dup2 = bounded_broadcast_all([few, few.filter("k = 1")], max_rows=10, report=True)
+    assert dup2 is True
