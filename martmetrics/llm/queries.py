@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, mixing, packing, quality, sharding
+from . import chat, exact_dedup, html_extract, langid, mixing, packing, quality, sharding
 from .common import held_out, table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -136,3 +136,8 @@ def op5_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_register("op9_text_density_html")
+def op9_text_density_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
