@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, langid, mixing, packing, quality, sharding
+from . import chat, exact_dedup, html_extract, langid, mixing, packing, quality, sharding, topk
 from .common import held_out, table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -141,3 +141,22 @@ def op5_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_text_density_html")
 def op9_text_density_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@_register("op6_pivot_distance_topk", TOPK_SQL)
+def op6_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
