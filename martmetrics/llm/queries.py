@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, langid, mixing, packing, quality, sharding, topk
+from . import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, quality, sharding, topk
 from .common import held_out, table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -160,3 +160,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 @_register("op6_pivot_distance_topk", TOPK_SQL)
 def op6_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@_register("op7_rare_first_jaccard")
+def op7_rare_first_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
