@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stage_table
 
@@ -38,8 +39,8 @@ KEY_CHARS = 32
 def _scan(carry: tuple[str, ...], types: list[pa.Field]):
     """Marks the runs of equal texts in one sorted partition, batch by batch.
 
-    Neighbours are compared in full. The open run is held without its texts until it ends,
-    so memory is bounded by a batch plus the ids (and carried columns) of one run.
+    Neighbours are compared in full. The open run is held until it ends, with its digest and
+    carried columns only; a run inside one partition is bounded by the partition.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("keep_id", pa.int64()),
                         ("group_size", pa.int64()), ("head", pa.bool_()), ("part", pa.int32()),
@@ -103,31 +104,26 @@ def _scan(carry: tuple[str, ...], types: list[pa.Field]):
     return scan
 
 
-def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 (and ``carry``) for every row.
-
-    Of equal texts, the row with the most code points, then the smallest id, is kept.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 and ``carry`` as _c0, _c1, ... of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     norm = F.regexp_replace(text, WHITE, "")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("_text"),
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("_text"),
                        F.char_length(text).alias("_points"), F.substring(norm, 1, KEY_CHARS).alias("_key"),
                        F.sha2(norm.cast("binary"), 256).alias("text_sha256"),
-                       *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+                       *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry) if c != text_col])
     order = [F.col("_key"), F.col("text_sha256"), F.col("_points").desc(), F.col("doc_id").asc_nulls_last()]
-    names = tuple(f"_c{i}" for i in range(len(carry)))
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the text is moved once, also where it is carried
+    held = tuple("_text" if c == text_col else f"_c{i}" for i, c in enumerate(carry))
     out = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("text_sha256", T.StringType()),
         T.StructField("keep_id", T.LongType()), T.StructField("group_size", T.LongType()),
         T.StructField("head", T.BooleanType()), T.StructField("part", T.IntegerType()),
         T.StructField("edge_text", T.BinaryType()), T.StructField("edge", T.BooleanType()),
-        *[T.StructField(f"_c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]])
-    from pyspark.sql.pandas.types import to_arrow_schema
-    fields = list(to_arrow_schema(out))[8:]
-    kept = ordered.select("doc_id", "text_sha256", "_text", *names)
-    marked = stage_table(kept.mapInArrow(_scan(names, fields), out), "content-runs")
+        *[T.StructField(h, docs.schema[c].dataType) for h, c in zip(held, carry, strict=True)]])
+    seen = ordered.select("doc_id", "text_sha256", "_text", *[h for h in held if h != "_text"])
+    marked = stage_table(seen.mapInArrow(_scan(held, list(to_arrow_schema(out))[8:]), out), "content-runs")
     # at most two fragments a partition; only those whose text continues elsewhere matter
     edges = (marked.filter("edge AND head")
              .groupBy("edge_text", F.col("text_sha256").alias("_sha"))
@@ -141,4 +137,19 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.when(F.col("_sha").isNotNull(), F.col("_best.keep_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("_total", "group_size").alias("group_size"),
         (F.col("head") & (F.col("part") == F.coalesce(F.col("_best.part"), F.col("part")))).alias("kept"),
-        "text_sha256", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])
+        "text_sha256", *[F.col(h).alias(f"_c{i}") for i, h in enumerate(held)])
+
+
+def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row.
+
+    Of equal texts, the row with the most code points, then the smallest id, is kept.
+    """
+    return _grouped(docs, id_col, text_col, ())
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    names = tuple(docs.columns)
+    kept = _grouped(docs, id_col, text_col, names).filter("kept")
+    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])

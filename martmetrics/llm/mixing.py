@@ -60,34 +60,81 @@ def fill_targets(sources: DataFrame, share: float = SHARE, max_epochs: int = MAX
     return t.select("source", "source_size", target.alias("target"))
 
 
+def _order(id_col: str, seed: str):
+    """The seeded hash that orders a source's documents for the fractional repetition."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    return F.md5(text.cast("binary"))
+
+
+def _place(h, doc_id, size):
+    return F.struct(h.alias("h"), doc_id.cast("bigint").alias("i"), size.alias("s"))
+
+
+def mix_plan(rows: DataFrame, share: float, max_epochs: int, weights: tuple[int, ...]) -> DataFrame:
+    """One row per source: source_size, target, whole repetitions, and the last document in
+    hash order that gets one more (_bucket, then _last inside it).
+
+    ``rows`` has doc_id, source, size, _h. A source's hash order is cut into 4096 buckets by
+    the first digits; only the one bucket in which the target is reached is sorted.
+    """
+    rows = rows.withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
+    buckets = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_in"))
+    targets = fill_targets(buckets.groupBy("source").agg(F.sum("_in").alias("source_size")), share, max_epochs, weights)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    targets = (targets.withColumn("whole", whole.cast("bigint"))
+               .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+               .withColumnRenamed("source", "_s"))
+    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    starts = buckets.withColumn("_start", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    crossing = (starts.join(targets, same).filter("_start <= rest AND rest < _start + _in AND _in > 0")
+                .select(F.col("_s").alias("_cs"), F.col("_bucket").alias("_cb"), "_start", "rest"))
+    inside = rows.join(crossing, F.col("source").eqNullSafe(F.col("_cs")) & (F.col("_bucket") == F.col("_cb")))
+    earlier = Window.partitionBy("source").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_earlier", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    chosen = (F.col("_start") + F.col("_earlier") + F.col("size") / F.lit(2.0)) <= F.col("rest")
+    last = inside.groupBy("source").agg(
+        F.first("_cb").alias("_bucket"),
+        F.max(F.when(chosen, _place(F.col("_h"), F.col("doc_id"), F.col("size")))).alias("_last"))
+    return targets.join(last, same, "left").select("_s", "source_size", "target", "whole", "_bucket", "_last")
+
+
+def _repetitions():
+    bucket = F.substring("_h", 1, BUCKET_DIGITS)
+    more = (bucket < F.col("_bucket")) | ((bucket == F.col("_bucket"))
+                                          & (_place(F.col("_h"), F.col("doc_id"), F.col("size")) <= F.col("_last")))
+    return (F.col("whole") + F.when(more, 1).otherwise(0)).cast("int")
+
+
+def _sized(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                       word_count(F.col(text_col)).alias("size"), _order(id_col, seed).alias("_h"))
+
+
 def mix_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
                   weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, id_col: str = "doc_id",
-                  text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size, source_size, target, repetitions, taken for every document.
+                  text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, repetitions, taken for every document."""
+    rows = stage_table(_sized(docs, seed, id_col, text_col, source_col), "mix-rows")
+    plan = stage_table(mix_plan(rows, share, max_epochs, weights), "mix-plan")
+    r = rows.join(plan, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn("repetitions", _repetitions())
+    return r.select("doc_id", "source", "size", "source_size", "target", "repetitions",
+                    (F.col("size") * F.col("repetitions")).cast("bigint").alias("taken"))
 
-    ``carry`` names columns to keep beside them (they must not clash with these).
+
+def repeat_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
+                     weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, id_col: str = "doc_id",
+                     text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mixture itself: the rows of ``docs``, each as often as it is taken.
+
+    Texts are not shuffled: only the plan, one row per source, meets them.
     """
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
-    rows = stage_table(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        digest.alias("_h"), F.substring(digest, 1, BUCKET_DIGITS).alias("_bucket"), *carry), "mix-rows")
-    # one pre-aggregated row per (source, bucket): both the source totals and the prefix sums come from it
-    buckets = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_in_bucket"))
-    targets = fill_targets(buckets.groupBy("source").agg(F.sum("_in_bucket").alias("source_size")),
-                           share, max_epochs, weights)
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = buckets.select("source", "_bucket", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)).alias("_start"))
-    t = targets.withColumnRenamed("source", "_s")
-    plan = starts.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    plan = plan.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_start", "source_size", "target")
-    inside = (Window.partitionBy("source", "_bucket").orderBy("_h", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    r = rows.withColumn("_earlier", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    r = r.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")), "left")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    rest = F.col("target") - whole * F.col("source_size")
-    extra = (F.col("_start") + F.col("_earlier") + F.col("size") / F.lit(2.0)) <= rest
-    reps = (whole + F.when((rest > 0) & extra, 1).otherwise(0)).cast("int")
-    return (r.withColumn("repetitions", reps)
-            .select("doc_id", "source", "size", "source_size", "target", "repetitions",
-                    (F.col("size") * F.col("repetitions")).cast("bigint").alias("taken"), *carry))
+    plan = stage_table(mix_plan(stage_table(_sized(docs, seed, id_col, text_col, source_col), "mix-rows"),
+                                share, max_epochs, weights), "mix-plan")
+    names = docs.columns
+    rows = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(names)], F.col(id_col).alias("doc_id"),
+                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+                       _order(id_col, seed).alias("_h"))
+    r = rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_n", _repetitions())
+    return (r.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+            .select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)]))
