@@ -74,7 +74,7 @@ SCORECARD_DIMS = (
     ("business_unit", "BU-", "BU-Null"),
     ("cust_cat_phones", "Custom Category-", "Custom_category_phones-Null"),
     ("cust_cat_hnk", "Custom Category-", "Custom_category_HNK-Null"),
-    ("mario_tag", "Business Group-", "Business Group-NULL"),
+    ("business_group", "Business Group-", "Business Group-NULL"),
     ("overall", None, "Overall"),
 )
 IGNORE_VALUE = "Ignore"
@@ -176,7 +176,7 @@ class ReportConfig:
     cuts: CustomCuts = field(default_factory=CustomCuts)
 
 
-def _production(electrical_orgs: tuple = (), fulfilment: FulfilmentCodes | None = None) -> ReportConfig:
+def production(electrical_orgs: tuple, fulfilment: FulfilmentCodes) -> ReportConfig:
     """The source jobs' own lists. Seller org ids and fulfilment codes are site data and
     must be supplied by the caller."""
     type_arms = (("Food", FOOD), ("Pharma", PHARMA))
@@ -198,12 +198,9 @@ def _production(electrical_orgs: tuple = (), fulfilment: FulfilmentCodes | None
         snapshot_brand_rule=BrandRule(BRAND_RULE_BRAND, BRAND_RULE_CATEGORY_EXACT, BRAND_RULE_TARGET, False),
         snapshot_allow_rule=AllowListRule(tuple(electrical_orgs), ELECTRICAL_VERTICALS,
                                           ELECTRICAL_RULE_TARGET, skip_target=True),
-        fulfilment=fulfilment or FulfilmentCodes(("FC_SELLER",), ("FC_WAREHOUSE",)),
+        fulfilment=fulfilment,
     )
 
-
-production = _production
-
 # ---------------------------------------------------------------------------
 # Test-data variant: the driver's TPC-H-like tables carry eight part "categories"
 # (second word of p_name). These lists give every arm of every ladder some rows.

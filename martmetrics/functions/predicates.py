@@ -78,3 +78,41 @@ NOT_BUYER_CANCELLED_SQL = f"(NOT {sql_in('order_status', [C.BUYER_CANCEL])})"
 
 def sql_flag(cond: str) -> str:
     return f"CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS INT)"
+
+
+def _month(x) -> int:
+    d = str(x)[:10]
+    return int(d[:4]) * 100 + int(d[5:7])
+
+
+def month_prune(lo=None, hi=None):
+    """``order_month`` bounds implied by an ``order_date`` range (typed days, ISO text).
+
+    ``order_month`` is the yyyymm of ``order_date`` and the fact table's partition column,
+    so this predicate lets the scan skip month partitions. Rows without a month are kept:
+    only the date decides.
+    """
+    c = F.lit(True)
+    if lo is not None:
+        c = c & (F.col("order_month") >= _month(lo))
+    if hi is not None:
+        c = c & (F.col("order_month") <= _month(hi))
+    return F.col("order_month").isNull() | c
+
+
+def on_day(day, column: str = "order_date_time"):
+    """Rows of one day (ISO text, ``date`` or a foldable Column), with the month it implies."""
+    from pyspark.sql import Column
+
+    d = day if isinstance(day, Column) else F.lit(str(day)).cast("date")
+    month = F.year(d) * 100 + F.month(d)
+    return (F.col(column) == d) & (F.col("order_month").isNull() | (F.col("order_month") == month))
+
+
+def between_instants(lo: int, hi: int, column: str = "order_date_time"):
+    """Rows with ``lo`` <= epoch milliseconds < ``hi``, with the UTC months they imply."""
+    import datetime as dt
+
+    epoch = dt.datetime(1970, 1, 1)
+    first, last = (epoch + dt.timedelta(milliseconds=x) for x in (lo, hi - 1))
+    return (F.col(column) >= lo) & (F.col(column) < hi) & month_prune(first.date(), last.date())

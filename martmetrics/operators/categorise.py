@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Hierarchy
 from ..functions import predicates as P
 from ..functions.hierarchy import alias_category, tag
-from ..functions.scalars import epoch_ms_bounds, local_date_from_epoch_ms, local_stamp_from_epoch_ms, local_today
-from .joins import bounded_broadcast, semi_filter
+from ..functions.scalars import epoch_ms_bounds, local_stamp_from_epoch_ms, local_today
 
 
 def report_day(as_of=None, n: int = 0) -> Column:
@@ -18,11 +17,8 @@ def report_day(as_of=None, n: int = 0) -> Column:
 
 
 def _join_overrides(t: DataFrame, overrides: DataFrame) -> DataFrame:
-    # The override table is listing-sized; prune it to the listings of the (filtered)
-    # transactions map-side when that key set is provably small, and broadcast the pruned
-    # table when it is provably small too — then the facts are not shuffled for this join.
-    ov = semi_filter(overrides, t, "listing_id", then_broadcast=True)
-    ov = ov.select("listing_id", F.col("vertical").alias("ov_vertical"), F.col("brand").alias("ov_brand"),
+    # listing-sized: Spark picks broadcast or shuffle from the sizes it sees when it runs
+    ov = overrides.select("listing_id", F.col("vertical").alias("ov_vertical"), F.col("brand").alias("ov_brand"),
                    F.col("include").alias("ov_include"), "rt_mis_category")
     return t.join(ov, "listing_id", "left")
 
@@ -34,8 +30,7 @@ def categorise_daily(rt_txn: DataFrame, overrides: DataFrame, day, type_h: Hiera
     ``day``: a date (string/``date``/Column) matched against ``order_date_time``.
     Rows with NULL gmv fail ``gmv < cap`` and drop out, as in ``HAVING``.
     """
-    day_c = day if isinstance(day, Column) else F.lit(str(day)).cast("date")
-    t = rt_txn.filter(F.col("order_date_time") == day_c)
+    t = rt_txn.filter(P.on_day(day))
     j = _join_overrides(t, overrides)
     g = (j.groupBy(F.col("order_date_time").alias("order_date"), "order_id", "order_status", "seller_org_id",
                    "buyer_org_id", "listing_id", F.col("ov_vertical").alias("vertical"),
@@ -57,8 +52,7 @@ def categorise_period(txn: DataFrame, overrides: DataFrame, start, end, type_h:
     Base rows only (``include IS NULL``).
     """
     lo, hi = epoch_ms_bounds(str(start), str(end))
-    t = txn.filter((F.col("order_date_time") >= lo) & (F.col("order_date_time") < hi)
-                   & F.col("include").isNull())
+    t = txn.filter(P.between_instants(lo, hi) & F.col("include").isNull())
     j = _join_overrides(t.drop("include"), overrides)
     amt = F.col("total_line_amount")
     g = (j.groupBy(local_stamp_from_epoch_ms(F.col("order_date_time")).alias("order_date"), "order_id",
@@ -75,19 +69,17 @@ def categorise_period(txn: DataFrame, overrides: DataFrame, start, end, type_h:
 
 def local_day_filter(df: DataFrame, start, end, col: str = "order_date_time") -> DataFrame:
     """Rows whose epoch-ms ``col`` falls on a local day in [start, end]."""
-    d = local_date_from_epoch_ms(F.col(col))
-    return df.filter(d.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+    return df.filter(P.between_instants(*epoch_ms_bounds(str(start), str(end)), col))
 
 
 def drop_high_orders(df: DataFrame, cap: float, order_key: str = "order_id",
                      amount: str = "total_line_amount") -> DataFrame:
     """Remove every line of orders whose total amount exceeds ``cap``.
 
-    The order totals are a partial (map-side) aggregate; the over-cap ids — outliers, so
-    normally few — are size-checked and broadcast, so the lines are not shuffled for the
-    left-anti join (above the bound it stays a shuffle join). Lines with a NULL order id
+    The order totals are a partial (map-side) aggregate; whether the over-cap ids are
+    broadcast to the anti join is decided by Spark when their size is known. Lines with a NULL order id
     survive, as they do in pandas (``~isin``) — the anti join never matches a NULL key.
     """
     high = (df.groupBy(order_key).agg(F.sum(amount).alias("_tot"))
             .filter(F.col("_tot") > F.lit(cap)).select(order_key))
-    return df.join(bounded_broadcast(high), order_key, "left_anti")
+    return df.join(high, order_key, "left_anti")

@@ -1,71 +1,19 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+"""Join helpers. Broadcasts are left to Spark, which decides from static and run-time sizes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is proven under this bound.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+def unique_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with one row per ``key``; a repeated key raises when the plan runs.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it stops early on a large
-    input; above the bound the planner keeps its shuffle join (AQE may still switch to a
-    broadcast at run time from real sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                          report: bool = False) -> list:
-    """``bounded_broadcast`` for several frames with one Spark job: the bounded counts are
-    taken together as one grouped count over a union of the limited frames.
-
-    With ``report=True`` the last frame is a check rather than a dimension: its slot in the
-    result is True when it has any row (e.g. duplicate keys found), evaluated in the same job.
-    """
-    if len(dfs) == 1 and not report:
-        return [bounded_broadcast(dfs[0], max_rows)]
-    probe = None
-    for i, df in enumerate(dfs):
-        p = df.limit(max_rows + 1).select(F.lit(i).alias("_i"))
-        probe = p if probe is None else probe.unionByName(p)
-    # one row per frame comes back to the driver
-    counts = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
-    if report:
-        out[-1] = counts.get(len(dfs) - 1, 0) > 0
-    return out
-
-
-def semi_filter(big: DataFrame, keys: DataFrame, on: list[str] | str,
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, then_broadcast: bool = False) -> DataFrame:
-    """Keep rows of ``big`` whose ``on`` key occurs in ``keys`` — map-side, when the key set
-    is small enough to broadcast; otherwise ``big`` is returned whole (the later join does
-    the filtering), so no large side is ever shuffled just to be pruned.
-
-    ``then_broadcast``: after pruning, size-check the pruned frame too and hint it for
-    broadcast when it is under the bound, so the join that follows does not shuffle the
-    (larger) side it is joined to.
+    Joining a dimension with repeated keys would multiply the facts' money. The check is
+    part of the plan (an aggregate over the dimension), so building a query starts no job.
     """
-    on = [on] if isinstance(on, str) else list(on)
-    k = keys.select(*on).distinct()
-    if not then_broadcast:
-        if k.limit(max_rows + 1).count() > max_rows:
-            return big
-        return big.join(F.broadcast(k), on, "left_semi")
-    # one job for both checks: the key-set size, and the size of the table pruned by the
-    # (at most max_rows + 1) first keys — the latter is only used when the former passes
-    kk = k.limit(max_rows + 1)
-    probe = kk.select(F.lit(0).alias("_i")).unionByName(
-        big.join(F.broadcast(kk), on, "left_semi").limit(max_rows + 1).select(F.lit(1).alias("_i")))
-    # two rows come back to the driver
-    n = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if n.get(0, 0) > max_rows:
-        return big
-    pruned = big.join(F.broadcast(k), on, "left_semi")
-    return F.broadcast(pruned) if n.get(1, 0) <= max_rows else pruned
+    rest = [c for c in df.columns if c != key]
+    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in rest])
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {key} in a mapping: "), F.col(key).cast("string")))
+    return g.filter(F.when((F.col("_rows") > 1) & F.col(key).isNotNull(), repeated.cast("boolean"))
+                    .otherwise(F.lit(True))).select(*df.columns)

@@ -127,7 +127,7 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
     lvl2 = lvl1.groupBy(*keys).agg(
         *[F.expr(f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}") for n in of],
         *[F.expr(f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}") for n in bf],
-        *[F.expr(f"CAST(sum(s_{n}) AS DECIMAL(38, 0)) / {unit[n]} AS {n}" if n in unit else f"sum(s_{n}) AS {n}")
+        *[F.expr(f"sum(CAST(s_{n} AS DECIMAL(28, 0))) / {unit[n]} AS {n}" if n in unit else f"sum(s_{n}) AS {n}")
           for n in sums])
     return _finish(lvl2, keys, m)
 

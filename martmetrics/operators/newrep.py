@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from .joins import unique_by
 
 # (segment column, output flag column) — the HNK flag is computed by the source but not
 # carried into its output table, so it is left out here as well.
@@ -22,10 +22,10 @@ SEGMENTS = (
     ("category", "buyer_cat_month_newrep"),
     ("cust_cat_phones", "buyer_cust_cat_phones_month_newrep"),
     ("business_unit", "buyer_bu_month_newrep"),
-    ("mario_tag", "buyer_mario_tag_month_newrep"),
+    ("business_group", "buyer_business_group_month_newrep"),
     (None, "buyer_month_newrep"),
 )
-ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "mario_tag")
+ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
 
 
 def _newrep(month: Column, first: Column) -> Column:
@@ -43,7 +43,7 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
          .select(buyer, "category", "order_month").distinct())
-    d = d.join(bounded_broadcast(mapping.select("category", *ATTRS)), "category", "left")
+    d = d.join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
     d = d.repartition(buyer)
     month = F.col("order_month")
     flags = {}
@@ -63,16 +63,16 @@ def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buye
     exchanged once on the buyer, so they share that partitioning.
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
-         .join(bounded_broadcast(mapping.select("category", *ATTRS)), "category", "left")
+         .join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
          .select(buyer, "category", *ATTRS, "order_date", "order_month").distinct()
          .repartition(buyer))
     od = F.col("order_date")
     rank_parts = {"category": ("order_month", "business_unit", "category"),
                   "cust_cat_phones": ("order_month", "cust_cat_phones"),
                   "business_unit": ("order_month", "business_unit"),
-                  "mario_tag": ("order_month", "mario_tag"), None: ("order_month",)}
+                  "business_group": ("order_month", "business_group"), None: ("order_month",)}
     set_parts = {"category": ("order_month", "category"), "cust_cat_phones": ("order_month", "cust_cat_phones"),
-                 "business_unit": ("order_month", "business_unit"), "mario_tag": ("order_month", "mario_tag"),
+                 "business_unit": ("order_month", "business_unit"), "business_group": ("order_month", "business_group"),
                  None: ("order_month",)}
     cols = {}
     for seg, name in SEGMENTS:

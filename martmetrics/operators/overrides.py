@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AllowListRule, BrandRule
-from .joins import bounded_broadcast
 
 
 def _brand_cond(rule: BrandRule, brand: str, category: str):
@@ -30,7 +29,7 @@ def sku_overrides(listing: DataFrame, category_map: DataFrame, brand_rule: Brand
     vertical). Each branch is de-duplicated on its own, like ``SELECT DISTINCT ... UNION
     ALL ...``; all branches come out of one scan and one aggregation.
     """
-    cm = bounded_broadcast(category_map.select(F.col("vertical").alias("cm_vertical"), "rt_mis_category"))
+    cm = category_map.select(F.col("vertical").alias("cm_vertical"), "rt_mis_category")
     j = listing.join(cm, listing["vertical"] == cm["cm_vertical"], "left")
     cands = [F.struct(F.lit(0).alias("branch"), F.col("rt_mis_category").alias("rt"), F.lit("1").alias("inc"))]
     cands.append(F.when(_brand_cond(brand_rule, "brand", "rt_mis_category"),

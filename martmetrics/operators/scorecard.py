@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import predicates as P
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_broadcast_all
+from .joins import unique_by
 
-ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "mario_tag")
+ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
 BUYER = "buyer_org_id"
 # segment -> column holding its value (None: the whole history of the buyer)
 SEG_COL = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",
-           "cust_cat_hnk": "cust_cat_hnk", "mario_tag": "mario_tag", "overall": None}
+           "cust_cat_hnk": "cust_cat_hnk", "business_group": "business_group", "overall": None}
 ORDER_FLAGS = ("shipped_orders", "delivered_orders", "cnc_orders", "seller_fulfilled_orders",
                "warehouse_fulfilled_orders")
 SUMS = ("rto_gmv", "credit_gmv", "placed_gmv", "shipped_gmv", "delivered_gmv", "cnc_gmv",
@@ -46,34 +46,11 @@ def _d(x) -> Column:
     return x if isinstance(x, Column) else F.lit(str(x)).cast("date")
 
 
-def _month(x) -> int:
-    d = str(x)[:10]
-    return int(d[:4]) * 100 + int(d[5:7])
-
-
-def month_prune(lo=None, hi=None) -> Column:
-    """``order_month`` bounds implied by an ``order_date`` range. ``order_month`` is the
-    yyyymm of ``order_date`` and the fact table's partition column, so adding this
-    redundant predicate lets the scan skip whole month partitions."""
-    c = F.lit(True)
-    if lo is not None:
-        c = c & (F.col("order_month") >= _month(lo))
-    if hi is not None:
-        c = c & (F.col("order_month") <= _month(hi))
-    return c
-
-
 def dims(mapping: DataFrame, cnc: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The mapping (with a ``_mapped`` marker) and the CNC org set, each broadcast only
-    after a bounded size check; the org set is de-duplicated so a repeated org id cannot
-    multiply GMV."""
-    dup = mapping.groupBy("category").count().filter("count > 1").select("category")
-    mp, cn, dup_check = bounded_broadcast_all([mapping.select("category", *ATTRS, F.lit(True).alias("_mapped")),
-                                               cnc.select(F.col("org_id").alias("_cnc_org")).distinct(),
-                                               dup], max_rows=DEFAULT_MAX_BROADCAST_ROWS, report=True)
-    if dup_check:
-        raise ValueError("custom mapping has repeated categories; joining it would multiply GMV")
-    return mp, cn
+    """The mapping (with a ``_mapped`` marker; a repeated category raises when the plan
+    runs) and the CNC org set, de-duplicated so a repeated org id cannot multiply GMV."""
+    mp = unique_by(mapping.select("category", *ATTRS), "category").withColumn("_mapped", F.lit(True))
+    return mp, cnc.select(F.col("org_id").alias("_cnc_org")).distinct()
 
 
 def _fulfilment_sql(codes: C.FulfilmentCodes) -> str:
@@ -86,11 +63,13 @@ def period_lines(txn: DataFrame, mp: DataFrame, cn: DataFrame, start, end,
     """Base lines of the period with mapping attributes, CNC tag, fulfilment type and
     line-level ``gmv`` / ``shipped_gmv`` (shipped = ``first_shipped`` present).
     ``mp`` / ``cn`` come from ``dims``."""
-    t = txn.filter(F.col("include").isNull() & month_prune(start, end)
+    t = txn.filter(F.col("include").isNull() & P.month_prune(start, end)
                    & F.col("order_date").between(_d(start), _d(end)))
     j = t.join(mp, "category", "left").join(cn, F.col("seller_org_id") == F.col("_cnc_org"), "left")
     return j.selectExpr(
-        BUYER, "category", *ATTRS, "coalesce(_mapped, false) AS _mapped", "order_id", "order_status",
+        # attributes come with the buyer: a line without one belongs to the null entities
+        BUYER, "category", *[f"CASE WHEN {BUYER} IS NOT NULL THEN {a} END AS {a}" for a in ATTRS],
+        f"{BUYER} IS NOT NULL AND coalesce(_mapped, false) AS _mapped", "order_id", "order_status",
         "shipment_status", "payment_mode", "order_month", "seller_org_id",
         f"{_fulfilment_sql(codes)} AS fulfillment_type",
         "CASE WHEN _cnc_org IS NOT NULL THEN 'CNC' END AS cnc_tag",
@@ -106,7 +85,7 @@ def first_purchases(txn: DataFrame, upto, since=None) -> DataFrame:
     ``merge_first_purchases(old, first_purchases(txn, upto=new_end, since=old_end))``,
     reading only the new slice of the fact instead of the whole history every run.
     """
-    c = F.col("include").isNull() & F.col("order_date").isNotNull() & month_prune(since, upto) \
+    c = F.col("include").isNull() & F.col("order_date").isNotNull() & P.month_prune(since, upto) \
         & (F.col("order_date") <= _d(upto))
     if since is not None:
         c = c & (F.col("order_date") > _d(since))
@@ -163,7 +142,7 @@ FLAG_COLUMNS = (
     ("buyer_bu_month_newrep", "business_unit"),
     ("buyer_month_newrep", "overall"),
     ("buyer_cust_cat_phones_month_newrep", "cust_cat_phones"),
-    ("buyer_mario_tag_month_newrep", "mario_tag"),
+    ("buyer_business_group_month_newrep", "business_group"),
 )
 RAW_KEYS = (BUYER, "category", *ATTRS, *[n for n, _ in FLAG_COLUMNS], "order_status", "order_id",
             "shipment_status", "payment_mode", "fulfillment_type", "cnc_tag")
@@ -205,15 +184,11 @@ def _label_sql(dim: str, prefix: str | None, null_label: str) -> str:
     return f"CASE WHEN {col} IS NULL THEN {P.sql_lit(null_label)} ELSE concat({P.sql_lit(prefix)}, CAST({col} AS STRING)) END"
 
 
-def _past_label(dim: str, prefix: str | None, value: Column | None) -> Column:
-    return F.expr(_past_label_sql(dim, prefix))
-
-
 def past_buyers(txn: DataFrame, mapping: DataFrame, start) -> DataFrame:
     """Distinct buyers before ``start`` per (dim, entity), six cuts; a NULL segment value
     gives a NULL entity (it never matches a scorecard label), 'Ignore' is left out."""
-    h = txn.filter(F.col("include").isNull() & month_prune(None, start) & (F.col("order_date") < _d(start)))
-    h = h.select(BUYER, "category").join(bounded_broadcast(mapping.select("category", *ATTRS)), "category", "left")
+    h = txn.filter(F.col("include").isNull() & P.month_prune(None, start) & (F.col("order_date") < _d(start)))
+    h = h.select(BUYER, "category").join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
     arr = ", ".join(f"named_struct('dim', '{dim}', 'entity', {_past_label_sql(dim, prefix)})"
                     for dim, prefix, _ in C.SCORECARD_DIMS)
     x = h.selectExpr(f"inline(array({arr}))", BUYER)
@@ -257,7 +232,7 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
     ok_t, bk_t = sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString()
     flag_seg = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",
                 "cust_cat_hnk": "cust_cat_hnk" if cuts.hnk_flag == "own" else "cust_cat_phones",
-                "mario_tag": "mario_tag", "overall": "overall"}
+                "business_group": "business_group", "overall": "overall"}
     all_flags = (*ORDER_FLAGS, *BUYER_FLAGS)
     scale = sch["gmv"].dataType.scale if hasattr(sch["gmv"].dataType, "scale") else 2
     cents = 10 ** scale
@@ -306,7 +281,7 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
         *[f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}" for n in ORDER_FLAGS],
         *[f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}" for n in BUYER_FLAGS],
         "count(CASE WHEN g = 'h' AND bk IS NOT NULL THEN 1 END) AS _past",
-        *[f"CAST(CAST(sum(s_{n}) AS DECIMAL(38, 0)) / {cents} AS DOUBLE) AS {n}" for n in SUMS])])
+        *[f"CAST(sum(CAST(s_{n} AS DECIMAL(28, 0))) / {cents} AS DOUBLE) AS {n}" for n in SUMS])])
     out = lvl2.filter("_has_o > 0").selectExpr(
         "dim", "entity", *[n for n in OUTPUT if n != "past_buyers"],
         "CASE WHEN _has_h > 0 THEN _past END AS past_buyers")

@@ -50,7 +50,7 @@ _SEGS = (  # lag partition, rank partition, flag name
     ("cust_cat_phones", "order_month, cust_cat_phones", "buyer_cust_cat_phones_month_newrep",
      "order_month, cust_cat_phones"),
     ("business_unit", "order_month, business_unit", "buyer_bu_month_newrep", "order_month, business_unit"),
-    ("mario_tag", "order_month, mario_tag", "buyer_mario_tag_month_newrep", "order_month, mario_tag"),
+    ("business_group", "order_month, business_group", "buyer_business_group_month_newrep", "order_month, business_group"),
     (None, "order_month", "buyer_month_newrep", "order_month"),
 )
 
@@ -64,12 +64,12 @@ def _all_buyer_lags_sql() -> str:
         sets.append(f"CASE WHEN bool_or(rk{i} = 1 AND lag{i} IS NULL) OVER (PARTITION BY buyer_org_id, {set_p}) "
                     f"THEN 'New' ELSE 'Repeat' END AS {name}")
     return f"""all_buyer_lags AS (
-  SELECT DISTINCT buyer_org_id, order_month, category, business_unit, cust_cat_phones, cust_cat_hnk, mario_tag,
+  SELECT DISTINCT buyer_org_id, order_month, category, business_unit, cust_cat_phones, cust_cat_hnk, business_group,
          {', '.join(n for _, _, n, _ in _SEGS)}
   FROM (SELECT *, {', '.join(sets)}
         FROM (SELECT *, {', '.join(lags)}, {', '.join(ranks)}
               FROM (SELECT DISTINCT m.buyer_org_id, m.category, c.business_unit, c.cust_cat_phones, c.cust_cat_hnk,
-                           m.order_date, c.mario_tag, m.order_month
+                           m.order_date, c.business_group, m.order_month
                     FROM txn m LEFT JOIN custom_mapping c ON m.category = c.category
                     WHERE m.include IS NULL)))
 )"""
@@ -79,9 +79,9 @@ def _buyer_cuts_raw_sql(start: str, end: str) -> str:
     fs, fw = CFG.fulfilment.seller, CFG.fulfilment.warehouse
     lst = lambda xs: ", ".join(f"'{x}'" for x in xs)
     return f"""buyer_cuts_raw AS (
-  SELECT m.buyer_org_id, m.category, r.business_unit, r.cust_cat_phones, r.cust_cat_hnk, r.mario_tag,
+  SELECT m.buyer_org_id, m.category, r.business_unit, r.cust_cat_phones, r.cust_cat_hnk, r.business_group,
          r.buyer_cat_month_newrep, r.buyer_bu_month_newrep, r.buyer_month_newrep,
-         r.buyer_cust_cat_phones_month_newrep, r.buyer_mario_tag_month_newrep,
+         r.buyer_cust_cat_phones_month_newrep, r.buyer_business_group_month_newrep,
          m.order_status, m.order_id, m.shipment_status, m.payment_mode,
          CASE WHEN m.fulfillment_center IN ({lst(fs)}) THEN 'seller'
               WHEN m.fulfillment_center IN ({lst(fw)}) THEN 'wh' END AS fulfillment_type,
@@ -118,7 +118,7 @@ def _past_sql(start: str) -> str:
 _FLAG_OF = {"category": "buyer_cat_month_newrep", "business_unit": "buyer_bu_month_newrep",
             "cust_cat_phones": "buyer_cust_cat_phones_month_newrep",
             "cust_cat_hnk": "buyer_cust_cat_phones_month_newrep",
-            "mario_tag": "buyer_mario_tag_month_newrep", "overall": "buyer_month_newrep"}
+            "business_group": "buyer_business_group_month_newrep", "overall": "buyer_month_newrep"}
 
 
 def _scorecard_sql() -> str:

@@ -14,7 +14,6 @@ from ..functions.scalars import (entity_label, iso_date, local_date_from_epoch_m
 from ..operators import categorise as cat
 from ..operators import newrep
 from ..operators import overrides as ov
-from ..operators.joins import bounded_broadcast, semi_filter
 from ..sources import files
 from ..sources import testdata as td
 from .month_end import _all_buyer_lags_sql
@@ -44,7 +43,7 @@ def scan_txn(spark: SparkSession, sf: str) -> DataFrame:
 @q("param_period_filter", W(f"SELECT order_id, buyer_org_id, category, order_date, total_line_amount FROM txn "
                             f"WHERE {_PARAM_RANGE}"))
 def param_period_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return (td.txn(spark, sf).filter(F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
+    return (td.txn(spark, sf).filter(P.month_prune(SC_START, SC_END) & F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
             .select("order_id", "buyer_org_id", "category", "order_date", "total_line_amount"))
 
 
@@ -55,7 +54,7 @@ def distinct_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 @q("ctas_roundtrip", W("SELECT * FROM txn WHERE " + _PARAM_RANGE))
 def ctas_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).filter(F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
+    t = td.txn(spark, sf).filter(P.month_prune(SC_START, SC_END) & F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
     return files.materialise(t, "txn_period", partition_by=["order_month"]).select(*t.columns)
 
 
@@ -65,7 +64,7 @@ def ctas_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @q("project_alias", W(f"SELECT order_date_time AS order_date, order_id, order_status, seller_org_id, buyer_org_id, "
                       f"listing_id FROM rt_txn WHERE order_date_time = DATE '{REPORT_DAY}'"))
 def project_alias(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.rt_txn(spark, sf).filter(F.col("order_date_time") == F.to_date(F.lit(REPORT_DAY)))
+    t = td.rt_txn(spark, sf).filter(P.on_day(REPORT_DAY))
     return t.select(F.col("order_date_time").alias("order_date"), "order_id", "order_status", "seller_org_id",
                     "buyer_org_id", "listing_id")
 
@@ -87,12 +86,12 @@ def _labels_sql() -> str:
         cols.append(f"CASE WHEN {dim} IS NULL THEN '{null_label}' ELSE concat('{prefix}', {dim}) END AS {dim}_label")
     return ("SELECT t.order_id, t.listing_id, " + ", ".join(cols)
             + " FROM (SELECT t.order_id, t.listing_id, t.category, m.business_unit, m.cust_cat_phones, "
-              "m.cust_cat_hnk, m.mario_tag FROM txn t LEFT JOIN custom_mapping m ON t.category = m.category) t")
+              "m.cust_cat_hnk, m.business_group FROM txn t LEFT JOIN custom_mapping m ON t.category = m.category) t")
 
 
 @q("entity_null_label", W(_labels_sql()))
 def entity_null_label(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).join(bounded_broadcast(td.custom_mapping(spark, sf)), "category", "left")
+    t = td.txn(spark, sf).join(td.custom_mapping(spark, sf), "category", "left")
     return t.select("order_id", "listing_id", *[entity_label(F.col(d), p, nl).alias(f"{d}_label")
                                                  for d, p, nl in C.SCORECARD_DIMS if p is not None])
 
@@ -101,7 +100,7 @@ def entity_null_label(spark: SparkSession, sf: str) -> DataFrame:
                         "CASE WHEN k.org_id IS NOT NULL THEN 'CNC' END AS cnc_tag "
                         "FROM txn t LEFT JOIN cnc_org k ON t.seller_org_id = k.org_id"))
 def tag_from_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    k = bounded_broadcast(td.cnc_org(spark, sf).select(F.col("org_id").alias("_org")).distinct())
+    k = td.cnc_org(spark, sf).select(F.col("org_id").alias("_org")).distinct()
     t = td.txn(spark, sf).join(k, F.col("seller_org_id") == F.col("_org"), "left")
     return t.select("order_id", "listing_id", "seller_org_id",
                     F.when(F.col("_org").isNotNull(), F.lit("CNC")).alias("cnc_tag"))
@@ -112,14 +111,14 @@ def tag_from_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @q("filter_eq", W(f"SELECT * FROM rt_txn WHERE order_date_time = DATE '{REPORT_DAY}'"))
 def filter_eq(spark: SparkSession, sf: str) -> DataFrame:
-    return td.rt_txn(spark, sf).filter(F.col("order_date_time") == F.to_date(F.lit(REPORT_DAY)))
+    return td.rt_txn(spark, sf).filter(P.on_day(REPORT_DAY))
 
 
 @q("filter_lower_eq", W(f"SELECT dsl.listing_id, dsl.brand, cm.vertical, cm.rt_mis_category FROM listing dsl "
                         f"LEFT JOIN category_map cm ON dsl.vertical = cm.vertical WHERE dsl.brand = "
                         f"'{CFG.brand_rule.brand}' AND lower(cm.rt_mis_category) = '{CFG.brand_rule.category.lower()}'"))
 def filter_lower_eq(spark: SparkSession, sf: str) -> DataFrame:
-    cm = bounded_broadcast(td.category_map(spark, sf).withColumnRenamed("vertical", "cm_vertical"))
+    cm = td.category_map(spark, sf).withColumnRenamed("vertical", "cm_vertical")
     j = td.listing(spark, sf).join(cm, F.col("vertical") == F.col("cm_vertical"), "left")
     j = j.filter((F.col("brand") == CFG.brand_rule.brand)
                  & (F.lower(F.col("rt_mis_category")) == CFG.brand_rule.category.lower()))
@@ -158,19 +157,19 @@ def having_cap(spark: SparkSession, sf: str) -> DataFrame:
                           f"- INTERVAL {N_OFFSET} DAY AS DATE)"))
 def day_offset_filter(spark: SparkSession, sf: str) -> DataFrame:
     t = td.rt_txn(spark, sf)
-    return t.filter(F.col("order_date_time") == cat.report_day(AS_OF_OFFSET, N_OFFSET)).select(
+    return t.filter(P.on_day(cat.report_day(AS_OF_OFFSET, N_OFFSET))).select(
         "order_id", "listing_id", "order_date_time")
 
 
 # --- joins ------------------------------------------------------------------------------
 
 
-@q("join_left_dim", W("SELECT t.order_id, t.listing_id, t.category, m.business_unit, m.mario_tag "
+@q("join_left_dim", W("SELECT t.order_id, t.listing_id, t.category, m.business_unit, m.business_group "
                       "FROM txn t LEFT JOIN custom_mapping m ON t.category = m.category"))
 def join_left_dim(spark: SparkSession, sf: str) -> DataFrame:
-    m = bounded_broadcast(td.custom_mapping(spark, sf).select("category", "business_unit", "mario_tag"))
+    m = td.custom_mapping(spark, sf).select("category", "business_unit", "business_group")
     return td.txn(spark, sf).join(m, "category", "left").select(
-        "order_id", "listing_id", "category", "business_unit", "mario_tag")
+        "order_id", "listing_id", "category", "business_unit", "business_group")
 
 
 @q("join_left_composite", W(
@@ -178,7 +177,7 @@ def join_left_dim(spark: SparkSession, sf: str) -> DataFrame:
     f"LEFT JOIN all_buyer_lags r ON r.buyer_org_id = t.buyer_org_id AND r.category = t.category "
     f"AND r.order_month = t.order_month WHERE t.{_PARAM_RANGE}", _all_buyer_lags_sql()))
 def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).filter(F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
+    t = td.txn(spark, sf).filter(P.month_prune(SC_START, SC_END) & F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
     flags = newrep.newrep_flags(td.txn(spark, sf), td.custom_mapping(spark, sf)).select(
         "buyer_org_id", "category", "order_month", "buyer_cat_month_newrep")
     return t.join(flags, ["buyer_org_id", "category", "order_month"], "left").select(
@@ -190,8 +189,8 @@ def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
                             "WHERE m.cust_cat_phones NOT IN ('Ignore')"))
 def join_null_rejecting(spark: SparkSession, sf: str) -> DataFrame:
     # A left join whose right side is then filtered null-rejectingly is an inner join.
-    m = bounded_broadcast(td.custom_mapping(spark, sf).filter(F.col("cust_cat_phones") != C.IGNORE_VALUE)
-                          .select("category", "cust_cat_phones"))
+    m = td.custom_mapping(spark, sf).filter(F.col("cust_cat_phones") != C.IGNORE_VALUE).select(
+        "category", "cust_cat_phones")
     return td.txn(spark, sf).join(m, "category", "inner").select("order_id", "listing_id", "cust_cat_phones")
 
 
@@ -212,11 +211,10 @@ def semi_allow_list(spark: SparkSession, sf: str) -> DataFrame:
     f"LEFT JOIN category_map cm ON dsl.vertical = cm.vertical WHERE dsl.brand = '{CFG.brand_rule.brand}' "
     f"AND lower(cm.rt_mis_category) = '{CFG.brand_rule.category.lower()}')"))
 def join_fanout_overrides(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.rt_txn(spark, sf).filter(F.col("order_date_time") == F.to_date(F.lit(REPORT_DAY))).drop("include")
+    t = td.rt_txn(spark, sf).filter(P.on_day(REPORT_DAY)).drop("include")
     o = ov.sku_overrides(td.listing(spark, sf), td.category_map(spark, sf), CFG.brand_rule)
-    # one line meets every label row of its listing (1-3 rows) — the fan-out is the point;
-    # the listing-sized table is pruned to the day's listings and size-checked first
-    o = semi_filter(o.select("listing_id", "rt_mis_category", "include"), t, "listing_id", then_broadcast=True)
+    # one line meets every label row of its listing (1-3 rows): the fan-out is the point
+    o = o.select("listing_id", "rt_mis_category", "include")
     return t.join(o, "listing_id", "left").select(
         "order_id", "listing_id", "rt_mis_category", "include", "total_line_amount")
 
@@ -271,7 +269,7 @@ def agg_ratio_aov(spark: SparkSession, sf: str) -> DataFrame:
                         f"count(DISTINCT buyer_org_id) AS buyers, CAST(sum(total_line_amount) AS DOUBLE) AS gmv "
                         f"FROM txn WHERE {_PARAM_RANGE}"))
 def agg_grand_total(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).filter(F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
+    t = td.txn(spark, sf).filter(P.month_prune(SC_START, SC_END) & F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
     return t.agg(F.lit("Grand Total").alias("entity"), F.count_distinct("order_id").alias("orders"),
                  F.count_distinct("buyer_org_id").alias("buyers"),
                  F.sum("total_line_amount").cast("double").alias("gmv"))

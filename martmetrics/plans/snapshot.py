@@ -68,7 +68,7 @@ def q_format_indian(spark: SparkSession, sf: str) -> DataFrame:
 def q_fill_blank(spark: SparkSession, sf: str) -> DataFrame:
     t = td.txn(spark, sf).select("order_id", "listing_id", "category")
     m = td.custom_mapping(spark, sf).select("category", "business_unit")
-    return t.join(F.broadcast(m), "category", "left").select(
+    return t.join(m, "category", "left").select(
         "order_id", "listing_id", "category", fill_blank("business_unit").alias("business_unit"))
 
 

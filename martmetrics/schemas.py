@@ -35,7 +35,7 @@ CATEGORY_MAP = T.StructType([T.StructField("vertical", S), T.StructField("rt_mis
 
 CUSTOM_MAPPING = T.StructType([T.StructField("category", S), T.StructField("business_unit", S),
                                T.StructField("cust_cat_phones", S), T.StructField("cust_cat_hnk", S),
-                               T.StructField("mario_tag", S)])
+                               T.StructField("business_group", S)])
 
 
 def cnc_org(id_type: T.DataType = S) -> T.StructType:

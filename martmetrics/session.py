@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # Local days are derived explicitly from UTC; keep the session clock neutral.
     "spark.sql.session.timeZone": "UTC",
+    # Integer money sums rely on overflow raising instead of wrapping.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -58,12 +60,15 @@ _FALLBACK_DIRS: dict = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised stage tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (set by whoever runs the cluster); only
-    when it is unset (tests, local runs) is one local folder picked per application.
+    On a cluster this is ``spark.checkpoint.dir`` (set by whoever runs the cluster), and it
+    is an error if it is unset; only a local master gets a local folder per application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _FALLBACK_DIRS:
             _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="martmetrics-ckpt-",

@@ -21,7 +21,7 @@ Mapping (canonical <- test data):
 from __future__ import annotations
 
 import hashlib
-import logging
+import inspect
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,12 +32,11 @@ from .. import schemas
 from ..config import TESTDATA
 from ..session import checkpoint_dir
 
-_log = logging.getLogger(__name__)
 FC_SELLER, FC_WAREHOUSE = TESTDATA.fulfilment.seller[0], TESTDATA.fulfilment.warehouse[0]
 
 # Custom-mapping rule for the eight test categories (category -> attributes).
 MAPPING_RULES = (
-    # category, business_unit, cust_cat_phones, cust_cat_hnk, mario_tag
+    # category, business_unit, cust_cat_phones, cust_cat_hnk, business_group
     ("anvil", "Staples", "Ignore", "Ignore", "Food"),
     ("bolt", "Staples", "Ignore", "Ignore", "Food"),
     ("gear", "Electronics", "Phones", "Ignore", "Mario"),
@@ -47,9 +46,6 @@ MAPPING_RULES = (
     ("rod", "GM", "Ignore", "Ignore", "Mario"),
 )
 CNC_NATIONS = (3, 7)
-# Daily ("real-time") table: the month start stands in for the day, and the last
-# (almost empty) month of the data is cut so the latest day has real volume.
-RT_CUTOFF = "2001-08-01"
 
 
 # Frames over immutable inputs (the read-only test tables and the published canonical
@@ -70,19 +66,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _memo(spark, path, lambda: spark.read.parquet(path))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    The driver's files are one parquet row group each, so a scan is one task and every
-    operator fused behind it runs single-threaded. A real fact table has many splits and
-    this is a no-op there (no shuffle is added).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
-        return df.repartition(cores)
-    return df
-
-
 def _category(p_name: Column) -> Column:
     return F.split_part(p_name, F.lit(" "), F.lit(2))
 
@@ -112,15 +95,15 @@ def _fulfillment(suppkey: Column) -> Column:
 
 
 def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain transaction fact (the ``mis_table`` shape) joined from the test tables."""
-    li = _spread(_read(spark, sf_dir, "lineitem").select(
+    """Line-grain transaction fact joined from the test tables."""
+    li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus",
-        "l_shipdate"))
+        "l_shipdate")
     o = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(p, li.l_partkey == p.p_partkey, "inner"))
+         .join(p, li.l_partkey == p.p_partkey, "left"))
     order_date = F.to_date("o_orderdate")
     return j.select(
         F.col("o_orderkey").alias("order_id"),
@@ -144,11 +127,6 @@ def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TXN_SCHEMA = schemas.txn(T.LongType())
-# bump when the canonical table's layout changes
-CANONICAL_VERSION = "v2"
-# the daily table's day (month start, see RT_CUTOFF) is stored so its filter reaches the scan
-CANONICAL_SCHEMA = T.StructType(TXN_SCHEMA.fields[:-1] + [T.StructField("rt_day", T.DateType()),
-                                                         TXN_SCHEMA.fields[-1]])
 TXN_COLUMNS = ("order_id", "buyer_org_id", "seller_org_id", "listing_id", "category", "order_status",
                "shipment_status", "payment_mode", "fulfillment_center", "first_shipped", "total_line_amount",
                "order_date", "order_month", "order_date_time", "include")
@@ -161,7 +139,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Of the source files and of the code that derives the table from them."""
     h = hashlib.sha1(sf_dir.encode())
+    for fn in (txn_from_tables, _category, _order_status, _shipment_status, _payment_mode, _fulfillment):
+        h.update(inspect.getsource(fn).encode())
     for name in ("lineitem", "orders", "part"):
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
         st = fs.getFileStatus(p)
@@ -172,47 +153,44 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical fact table for ``sf_dir``: a parquet table partitioned by
     ``order_month`` in the shared checkpoint folder, written once from the test tables
-    (keyed by their sizes and modification times) and read by every query.
+    (keyed by their sizes, times and the deriving code) and read by every query.
 
     This stands in for the warehouse table the report jobs read: period filters prune
     month partitions, and scans split across files instead of one row group. The write
     range-partitions on (order_month, order_id), so a large month spreads over several
-    tasks and files; it goes to a fresh folder first and is renamed into place.
+    tasks and files; only a folder with its writer's success marker is ever read.
     """
     return _canonical(spark, sf_dir).select(*TXN_COLUMNS)
 
 
-def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/martmetrics/canonical/{CANONICAL_VERSION}-{_fingerprint(spark, sf_dir)}/txn"
+def _complete(spark: SparkSession, base: str) -> str | None:
+    """The first finished table under ``base``: one whose writer has left its marker."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return None
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return next((f"{base}/{n}" for n in names if fs.exists(_fs(spark, f"{base}/{n}/_SUCCESS")[1])), None)
+
 
-    def derived() -> DataFrame:
-        return txn_from_tables(spark, sf_dir).withColumn("rt_day", F.trunc("order_date", "month"))
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = f"{checkpoint_dir(spark).rstrip('/')}/martmetrics/canonical/{_fingerprint(spark, sf_dir)}"
 
     def build() -> DataFrame:
-        try:
-            fs, p = _fs(spark, f"{path}/_SUCCESS")
-            if not fs.exists(p):
-                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-                (derived().repartitionByRange("order_month", "order_id")
-                 .write.mode("overwrite").partitionBy("order_month").parquet(tmp))
-                dst = _fs(spark, path)[1]
-                fs.mkdirs(dst.getParent())
-                # another writer may have published meanwhile: keep the first complete table
-                if not fs.exists(dst) and not fs.rename(_fs(spark, tmp)[1], dst) and not fs.exists(p):
-                    raise OSError(f"could not publish canonical table at {path}")
-            return spark.read.schema(CANONICAL_SCHEMA).parquet(path)
-        except Exception as e:  # noqa: BLE001 — an unwritable shared folder must not fail the query
-            _log.warning("canonical fact table not published (%s); deriving it per query", e)
-            return derived()
-
-    return _memo(spark, path, build)
+        # every writer has a folder of its own, so a crashed or concurrent one is never read
+        path = _complete(spark, base)
+        if path is None:
+            (txn_from_tables(spark, sf_dir).repartitionByRange("order_month", "order_id")
+             .write.partitionBy("order_month").parquet(f"{base}/txn-{uuid.uuid4().hex}"))
+            path = _complete(spark, base)
+        return spark.read.schema(TXN_SCHEMA).parquet(path)
+
+    return _memo(spark, base, build)
 
 
 def rt_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily table (``rt_mis_table`` shape): ``order_date_time`` is a date-valued day."""
-    t = _canonical(spark, sf_dir).filter(F.col("order_date") < F.lit(RT_CUTOFF).cast("date"))
-    return t.select(*[F.col("rt_day").alias(c) if c == "order_date_time" else F.col(c) for c in TXN_COLUMNS])
+    """Daily table : ``order_date_time`` is a date-valued day."""
+    t = _canonical(spark, sf_dir)
+    return t.select(*[F.col("order_date").alias(c) if c == "order_date_time" else F.col(c) for c in TXN_COLUMNS])
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +207,7 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def custom_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = _read(spark, sf_dir, "part").select(_category(F.col("p_name")).alias("category")).distinct()
-    cols = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "mario_tag")
+    cols = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
     exprs = [f"{_sql_case('category', i)} AS {name}" for i, name in enumerate(cols, start=1)]
     mapped = F.col("category").isin([r[0] for r in MAPPING_RULES])
     return cats.filter(mapped).selectExpr("category", *exprs)
@@ -244,7 +222,7 @@ def snapshot_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot job's CSV export shape, derived from the daily table."""
     t = rt_txn(spark, sf_dir)
     lst = listing(spark, sf_dir)
-    return (t.join(lst.select("listing_id", "brand", "vertical"), "listing_id", "inner")
+    return (t.join(lst.select("listing_id", "brand", "vertical"), "listing_id", "left")
             .select("order_id", F.col("order_date_time").alias("order_date"), "category", "brand",
                     F.col("category").alias("rt_mis_category"), "seller_org_id", "buyer_org_id",
                     "vertical", "total_line_amount"))
@@ -280,11 +258,10 @@ txn AS (
          CAST(date_diff('day', DATE '1970-01-01', CAST(o.o_orderdate AS DATE)) AS BIGINT) * 86400000
            AS order_date_time,
          CAST(NULL AS VARCHAR) AS include
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ),
 rt_txn AS (
-  SELECT * REPLACE (CAST(date_trunc('month', order_date) AS DATE) AS order_date_time)
-  FROM txn WHERE order_date < DATE '{RT_CUTOFF}'
+  SELECT * REPLACE (order_date AS order_date_time) FROM txn
 ),
 listing AS (
   SELECT p_partkey AS listing_id, p_brand AS brand, p_name AS vertical, p_size AS org_id FROM part
@@ -294,7 +271,7 @@ category_map AS (
 ),
 custom_mapping AS (
   SELECT category, {_sql_case('category', 1)} AS business_unit, {_sql_case('category', 2)} AS cust_cat_phones,
-         {_sql_case('category', 3)} AS cust_cat_hnk, {_sql_case('category', 4)} AS mario_tag
+         {_sql_case('category', 3)} AS cust_cat_hnk, {_sql_case('category', 4)} AS business_group
   FROM (SELECT DISTINCT split_part(p_name, ' ', 2) AS category FROM part)
   WHERE category IN ({', '.join(f"'{r[0]}'" for r in MAPPING_RULES)})
 ),
@@ -304,7 +281,7 @@ cnc_org AS (
 snapshot_csv AS (
   SELECT t.order_id, t.order_date_time AS order_date, t.category, l.brand, t.category AS rt_mis_category,
          t.seller_org_id, t.buyer_org_id, l.vertical, t.total_line_amount
-  FROM rt_txn t JOIN listing l ON t.listing_id = l.listing_id
+  FROM rt_txn t LEFT JOIN listing l ON t.listing_id = l.listing_id
 )
 """
 

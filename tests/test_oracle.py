@@ -9,11 +9,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from martmetrics.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k in catalog.QUERIES}
+SQL = {k: v for k, v in E.oracle_sql().items() if k in catalog.QUERIES}
 
 
 def _norm(v):
