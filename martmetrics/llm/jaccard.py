@@ -18,7 +18,9 @@ class. Star rounds compare each class with pivots of its prefix shingles (length
 positional filter, suffix filter, then the exact intersection) and components of the
 links found so far are formed; classes that are already connected need no comparison. The
 last round compares every remaining pair of classes that share a prefix shingle and lie
-in different components, so no link between components is lost. No pair is verified twice.
+in different components, so no link between components is lost: pair by pair for shingles
+of few classes, and for the others block against block inside tasks, which return only
+the links that join components.
 
 Cases: null and empty texts and texts of white space have an empty set and are linked
 with nothing; with fewer than ``words`` words the whole sequence is the one shingle;
@@ -45,6 +47,9 @@ PERCENT = 85
 CHUNK_BYTES = 1_500_000
 CHUNK_DOCS = 60_000
 BUCKET_BYTES = 16_000_000
+#: Classes of a shingle up to which the last round joins pairs, and the block size beyond.
+FEW = 48
+GROUP_BLOCK = 512
 #: Occurrences in a chunk from which a shingle travels as a count.
 HEAVY = 8
 _U = np.uint64
@@ -285,6 +290,47 @@ def _verify(percent: int):
     return run
 
 
+def _block_links(percent: int):
+    """Links between components among the classes of one pair of blocks of one shingle."""
+    def run(group: pa.Table) -> pa.Table:
+        rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
+        sets = [np.frombuffer(b, "<i8") for b in group.column("shared").to_pylist()]
+        uniq, inv, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        common = times > 1
+        column = np.cumsum(common) - 1
+        use = common[inv]
+        row, col = row[use], column[inv[use]]
+        by = np.argsort(col, kind="stable")
+        row, col = row[by], col[by]
+        overlap = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        for at in range(0, int(common.sum()), 4096):
+            i, j = np.searchsorted(col, (at, at + 4096))
+            m = np.zeros((len(sets), 4096), dtype=np.float32)
+            m[row[i:j], col[i:j] - at] = 1.0
+            overlap += m @ m.T
+        need = np.ceil(percent * (n[:, None] + n[None, :]) / (100.0 + percent) - 1e-9)
+        ok = (overlap >= need) & (comp[:, None] != comp[None, :])
+        both = (side[:, None] != side[None, :]) | (side[:, None] == 2)
+        a, b = np.nonzero(np.triu(ok & both, 1))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out = []
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            cx, cy = find(int(comp[x])), find(int(comp[y]))
+            if cx != cy:
+                root[cx] = cy
+                out.append((int(rep[x]), int(rep[y])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
 def _candidates(left: str, right: str, percent: int):
     """Length filter and positional filter, for columns <side>_n and <side>_pos."""
     ln, rn = F.col(f"{left}_n"), F.col(f"{right}_n")
@@ -355,10 +401,22 @@ def link_components(table: DataFrame, percent: int = PERCENT) -> DataFrame:
     still = apart()
     check(pairs_of(pivot_pairs(still, 3, True)).unionByName(pairs_of(pivot_pairs(still, 4, True))).distinct(), False)
     still = apart()
-    other = still.select("token", F.col("rep").alias("p_rep"), F.col("n").alias("p_n"), F.col("pos").alias("p_pos"),
-                         F.col("comp").alias("p_comp"))
-    every = still.withColumnsRenamed({"n": "t_n", "pos": "t_pos"}).join(other, "token").filter(
+    # shingles of few classes: pairs by a join; side 2 marks both halves of a block with itself
+    few = still.filter(F.col("members") <= FEW)
+    other = few.select("token", F.col("rep").alias("p_rep"), F.col("n").alias("p_n"), F.col("pos").alias("p_pos"),
+                       F.col("comp").alias("p_comp"))
+    every = few.withColumnsRenamed({"n": "t_n", "pos": "t_pos"}).join(other, "token").filter(
         (F.col("rep") < F.col("p_rep")) & (F.col("comp") != F.col("p_comp")) & _candidates("t", "p", percent))
+    blocks = F.ceil(F.col("members") / F.lit(float(GROUP_BLOCK))).cast("int")
+    many = (still.filter(F.col("members") > FEW).withColumn("blocks", blocks)
+            .withColumn("own", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("blocks")).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("token", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "rep", "comp", "n",
+                    F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1)
+                    .alias("side")))
+    dense = (many.join(reps.select("rep", "shared"), "rep").groupBy("token", "i", "j")
+             .applyInArrow(_block_links(percent), "a bigint, b bigint"))
+    links = links.unionByName(stage_table(dense.distinct(), "jaccard-blocks"))
     check(every.select(F.col("rep").alias("a"), F.col("p_rep").alias("b")).distinct(), False)
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter(
         (F.col("copies") > 1) | F.col("component").isNotNull()).select(
