@@ -40,13 +40,13 @@ from pyspark.sql import functions as F
 
 from .common import stage_table
 from .components import components
-from .textkit import SPACES, hashed_words, mix
+from .textkit import SPACES, hashed_words, mix, small_batches
 
 WORDS = 4
 PERCENT = 85
 CHUNK_BYTES = 1_500_000
 CHUNK_DOCS = 60_000
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 #: Classes of a shingle up to which the last round joins pairs, and the block size beyond.
 FEW = 48
 GROUP_BLOCK = 512
@@ -136,7 +136,7 @@ def _mapper(words: int, buckets: int):
         ids: list = []
         texts: list[bytes] = []
         size = 0
-        for batch in batches:
+        for batch in small_batches(batches):
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 b = (t or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower: A-Z only
                 if ids and (size + len(b) > CHUNK_BYTES or len(ids) >= CHUNK_DOCS):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
-from .textkit import code_points, hashed_words, letter_table, mix, segments, values_of
+from .textkit import code_points, hashed_words, letter_table, mix, segments, small_batches, values_of
 
 TRAIN_DOCS = 3000
 MAX_WORDS = 60_000
@@ -211,7 +211,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WO
 def identify(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row; only the text is scored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             lang, score = model.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64())],

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out
-from .textkit import code_points, hashed_words, letter_table, segments
+from .textkit import code_points, hashed_words, letter_table, segments, small_batches
 
 WORD_SLOTS = 1 << 17
 BINS = 12
@@ -164,7 +164,7 @@ class Model:
         extra = f.stats.shape[1] + meta.shape[1]
         sizes = np.diff(f.start) + extra
         start = np.concatenate(([0], np.cumsum(sizes)))
-        slot = np.zeros(start[-1], dtype=np.int64)
+        slot = np.zeros(start[-1], dtype=np.int32)
         value = np.full(start[-1], 0.5, dtype=np.float32)
         ends = start[1:, None] - np.arange(extra, 0, -1)
         mask = np.ones(len(slot), dtype=bool)
@@ -287,36 +287,46 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, meta
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *meta).join(F.broadcast(ids), "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, m, y = batch.column(0).to_pylist(), _meta(batch, 2, k), batch.column(1)
+        for batch in small_batches(batches):
+            texts, m, y = batch.column(0).to_pylist(), _meta(batch, 3, k), batch.column(1)
             for first, part in _slices(texts):
                 f = features(part)
                 cut = list(zip(f.start[:-1], f.start[1:], strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [y.slice(first, len(part)),
+                    [y.slice(first, len(part)), batch.column(2).slice(first, len(part)),
                      pa.array([f.slot[a:b].astype("<i4").tobytes() for a, b in cut], pa.binary()),
                      pa.array([f.value[a:b].astype("<f4").tobytes() for a, b in cut], pa.binary()),
                      pa.array([r.tobytes() for r in np.ascontiguousarray(f.stats, "<f8")], pa.binary()),
                      pa.array([r.tobytes() for r in np.ascontiguousarray(m[first: first + len(part)], "<f8")], pa.binary())],
-                    names=["label", "slot", "value", "stats", "meta"])
+                    names=["label", "key", "slot", "value", "stats", "meta"])
 
-    got = (rows.select("_text", "_label", *[c.alias(f"_f{i}") for i, c in enumerate(
+    got = (rows.select("_text", "_label", F.xxhash64("_text").alias("_key"), *[c.alias(f"_f{i}") for i, c in enumerate(
         [F.col(f"_m_{m}") for m in metadata])])
-        .mapInArrow(run, "label double, slot binary, value binary, stats binary, meta binary").toArrow())
+        .mapInArrow(run, "label double, key bigint, slot binary, value binary, stats binary, meta binary").toArrow())
     if not got.num_rows:
         return _constant(0.5, k)
     label = got.column("label").to_numpy()
     if label.min() == label.max():
         return _constant(float((label.sum() + 1) / (len(label) + 2)), k)
     # collection order must not matter: sort by content
-    packed = [got.column(c).to_pylist() for c in ("slot", "value", "stats", "meta")]
-    order = sorted(range(len(label)), key=lambda i: (packed[2][i], packed[0][i], label[i]))
-    slots = [np.frombuffer(packed[0][i], "<i4") for i in order]
-    f = Features(np.concatenate(([0], np.cumsum([len(s) for s in slots]))), np.concatenate(slots).astype(np.int64),
-                 np.concatenate([np.frombuffer(packed[1][i], "<f4") for i in order]),
-                 np.stack([np.frombuffer(packed[2][i], "<f8") for i in order]))
-    m = np.stack([np.frombuffer(packed[3][i], "<f8") for i in order]) if k else np.zeros((len(order), 0))
-    return fit(f, m, label[order])
+    order = np.lexsort((label, got.column("key").to_numpy()))
+
+    def flat(name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """The packed column in that order: where each row starts, and all values."""
+        col = got.column(name).combine_chunks()
+        col = col.take(pa.array(order))
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        at = np.frombuffer(col.buffers()[1], np.int32, len(col) + 1, col.offset * 4).astype(np.int64)
+        data = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]]
+        return (at - at[0]) // np.dtype(kind).itemsize, data.view(kind)
+
+    start, slot = flat("slot", "<i4")
+    f = Features(start, slot, flat("value", "<f4")[1], flat("stats", "<f8")[1].reshape(len(order), -1))
+    m = flat("meta", "<f8")[1].reshape(len(order), -1) if k else np.zeros((len(order), 0))
+    model = fit(f, m, label[order])
+    del f, m, slot, got
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",), metadata: tuple[str, ...] = METADATA,
@@ -327,7 +337,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",), m
                        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             s = model.score(batch.column(0).to_pylist(), _meta(batch, 1, k))
             kept = [batch.column(1 + k + i) for i in range(len(carry))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(s, pa.float64())], names=[f"_c{i}" for i in range(len(carry))] + ["_s"])

@@ -103,6 +103,13 @@ def hashed_words(codes: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+def small_batches(batches, rows: int = 512):
+    """Slices of record batches, so that few texts at a time become Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def segments(texts: list[str | None], limit: int) -> Iterator[tuple[list[int], list[str]]]:
     """Groups of (document index, text) with about ``limit`` characters each.
 
