@@ -4,6 +4,8 @@ read back and normalised."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,7 @@ from ..sources import files
 from ..sources import testdata as td
 from .params import PERIOD_END, PERIOD_START
 
-N_DATES = 31
-LABELS = ("Parameter", "x", "Orders", "Buyers", "GMV")
+N_DATES = (date.fromisoformat(PERIOD_END) - date.fromisoformat(PERIOD_START)).days + 1
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,14 +35,14 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit(4).alias("row_no"), F.lit("Buyers").alias("label"), F.col("buyers").cast("string").alias("value")),
         F.struct(F.lit(5).alias("row_no"), F.lit("GMV").alias("label"), F.col("gmv").cast("string").alias("value")),
     )
-    return m.select("sheet", F.dayofmonth(d).alias("pos"), F.explode(rows).alias("c")).select(
+    return m.select("sheet", (F.date_diff(d, F.lit(PERIOD_START).cast("date")) + 1).alias("pos"), F.explode(rows).alias("c")).select(
         "sheet", "pos", "c.row_no", "c.label", "c.value")
 
 
 def _workbook(spark: SparkSession, sf: str) -> DataFrame:
     path = files.scratch_path(spark, "workbook")
     files.write_csv(sh.to_sheets(_cells(spark, sf), N_DATES), path, partition_by=["sheet"])
-    return sh.read_sheets(spark, path, N_DATES)
+    return sh.read_sheets(spark, path)
 
 
 def q_sheets_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +50,7 @@ def q_sheets_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_transpose_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    return sh.normalise_sheets(_workbook(spark, sf), LABELS)
+    return sh.normalise_sheets(_workbook(spark, sf))
 
 
 _PERIOD = f"order_date BETWEEN DATE '{PERIOD_START}' AND DATE '{PERIOD_END}'"
@@ -62,7 +63,7 @@ SQL_TRANSPOSE = td.with_adapter(
     "CAST(orders AS VARCHAR) AS \"Orders\", CAST(buyers AS VARCHAR) AS \"Buyers\", "
     f"CAST(gmv AS VARCHAR) AS \"GMV\" FROM ({_METRICS})")
 
-_CELLS = (f"cells AS (SELECT sheet, day(order_date) AS pos, r.row_no, r.label, r.value FROM ({_METRICS}) m, "
+_CELLS = (f"cells AS (SELECT sheet, date_diff('day', DATE '{PERIOD_START}', order_date) + 1 AS pos, r.row_no, r.label, r.value FROM ({_METRICS}) m, "
           "LATERAL (VALUES (0, 'Parameter', strftime(m.order_date, '%Y-%m-%d')), (1, 'Target', '0'), "
           "(2, NULL, strftime(m.order_date, '%a')), (3, 'Orders', CAST(m.orders AS VARCHAR)), "
           "(4, 'Buyers', CAST(m.buyers AS VARCHAR)), (5, 'GMV', CAST(m.gmv AS VARCHAR))) r(row_no, label, value))")

@@ -269,16 +269,63 @@ def test_unmapped_category_is_in_neither_new_nor_repeat(spark):
 # --- sheets -----------------------------------------------------------------------------
 
 
+SHEET_DDL = "sheet string, row_no int, label string, v1 string, v2 string"
+
+
 def test_normalise_sheets(spark):
     rows = [("Food", 0, "Parameter", "2020-09-01", "2020-09-02"), ("Food", 1, "Target", "9", "9"),
             ("Food", 2, None, "Mon", None), ("Food", 3, "Orders", "5", None),
             ("Toys", 0, "Parameter", "2020-09-01", None), ("Toys", 1, "Junk", "1", "1"),
-            ("Toys", 2, None, "Tue", "Wed"), ("Toys", 3, "Orders", "7", "8")]
-    df = spark.createDataFrame(rows, "sheet string, row_no int, label string, v1 string, v2 string")
-    out = {(r.sheet, r.order_date): (r.dow, r.Orders)
-           for r in sheets.normalise_sheets(df, ["Parameter", "x", "Orders"]).collect()}
-    # 'Food' is a skipped sheet; a blank Parameter cell drops its column; blank cells read 'x'
-    assert out == {("Toys", "2020-09-01"): ("Tue", "7")}
+            ("Toys", 2, None, "Tue", None), ("Toys", 3, "Orders", "7", None), ("Toys", 4, None, None, None),
+            ("Books", 0, "Parameter", "2020-09-01", "2020-10-01"), ("Books", 3, "Orders", None, "2")]
+    df = spark.createDataFrame(rows, SHEET_DDL)
+    found = sheets.normalise_sheets(df)
+    assert found.columns == ["sheet", "order_date", "dow", "Orders"]
+    # 'Food' is a skipped sheet; a column without cells is no date; blank cells read 'x'
+    assert sorted(map(tuple, found.collect())) == [("Books", "2020-09-01", "Tue", "x"),
+                                                   ("Books", "2020-10-01", "Thu", "2"),
+                                                   ("Toys", "2020-09-01", "Tue", "7")]
+    assert sorted(map(tuple, sheets.normalise_sheets(df, ["Orders", "Other"]).collect())) == [
+        ("Books", "2020-09-01", "Tue", "x", None), ("Books", "2020-10-01", "Thu", "2", None),
+        ("Toys", "2020-09-01", "Tue", "7", None)]
+
+
+@pytest.mark.parametrize("cell", [None, "02/09/2020"])
+def test_normalise_sheets_refuses_a_column_without_a_date(spark, cell):
+    df = spark.createDataFrame([("Toys", 0, "Parameter", "2020-09-01", cell), ("Toys", 3, "Orders", "7", "8")], SHEET_DDL)
+    with pytest.raises(Exception, match="not a date in Toys v2"):
+        sheets.normalise_sheets(df).collect()
+
+
+def test_normalise_sheets_refuses_repeated_labels(spark):
+    df = spark.createDataFrame([("Toys", 0, "Parameter", "2020-09-01", None), ("Toys", 3, "Orders", "5", None),
+                                ("Toys", 4, "Orders", "7", None)], SHEET_DDL)
+    with pytest.raises(Exception, match="repeated label in a sheet: Toys, Orders"):
+        sheets.normalise_sheets(df).collect()
+
+
+def test_sheets_of_forty_dates_over_two_months(spark, tmp_path):
+    days = [D(2020, 8, 20) + dt.timedelta(days=i) for i in range(40)]
+    cells = [("Toys", i, r, lab, v) for i, d in enumerate(days, 1)
+             for r, lab, v in ((0, "Parameter", d.isoformat()), (3, "Orders", str(i)))] + [("Books", 1, 0, "Parameter", "2020-08-20")]
+    long = spark.createDataFrame(cells, "sheet string, pos int, row_no int, label string, value string")
+    path, sink = str(tmp_path / "book"), str(tmp_path / "out")
+    sheets.write_csv(sheets.to_sheets(long, 40), path, partition_by=["sheet"])
+    book = sheets.read_sheets(spark, path)
+    assert book.columns == ["sheet", "row_no", "label", *[f"v{i}" for i in range(1, 41)]]
+    out = sheets.normalise_sheets(book, csv_path=sink)
+    want = {("Toys", d.isoformat()): str(i) for i, d in enumerate(days, 1)} | {("Books", "2020-08-20"): None}
+    assert {(r.sheet, r.order_date): r.Orders for r in out.collect()} == want
+    assert spark.read.option("header", True).csv(sink).count() == 41
+
+
+def test_raw_sheet_drops_columns_by_position(spark):
+    raw = spark.createDataFrame([(0, "i", "Parameter", "a", "b", "c", "d", "2020-09-01"),
+                                 (3, "i", "Orders", "a", "b", "c", "d", "4")],
+                                "row_no int, c0 string, `c.1` string, c2 string, c3 string, c4 string, c5 string, c6 string")
+    s = sheets.from_raw(raw, "Toys")
+    assert s.columns == ["sheet", "row_no", "label", "v1"]
+    assert [tuple(r) for r in sheets.normalise_sheets(s).collect()] == [("Toys", "2020-09-01", "Tue", "4")]
 
 
 # --- joins ------------------------------------------------------------------------------
