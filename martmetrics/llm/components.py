@@ -64,3 +64,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("connected components did not settle")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def grow_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the edges behind ``comp`` and of ``links`` (a, b) together.
+
+    Only links between different components count: they are the edges of a graph whose
+    nodes are components, which is empty or small once most links are known.
+    """
+    e = links
+    for c in ("a", "b"):
+        e = (e.join(comp.select(F.col("node").alias(c), F.col("component").alias("_to")), c, "left")
+             .withColumn(c, F.coalesce("_to", c)).drop("_to"))
+    e = stage_table(e.filter("a <> b").distinct(), "components")
+    if e.isEmpty():
+        return comp
+    merged = stage_table(components(e), "components")
+    moved = comp.join(merged.select(F.col("node").alias("component"), F.col("component").alias("_to")),
+                      "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    return stage_table(moved.unionByName(merged.join(comp, "node", "left_anti")), "components")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage_table
-from .components import components
+from .components import components, grow_components
 from .textkit import SPACES, hashed_words, mix, small_batches
 
 WORDS = 4
@@ -354,7 +354,6 @@ def link_components(table: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     tokens = stage_table(tokens.join(shared, "token"), "jaccard-tokens")
     spark = table.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
     checked = spark.createDataFrame([], "a bigint, b bigint")
     comp = None
 
@@ -373,16 +372,19 @@ def link_components(table: DataFrame, percent: int = PERCENT) -> DataFrame:
         return (j.filter(_candidates("t", "p", percent))
                 .select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct())
 
-    def check(pairs: DataFrame, first: bool) -> None:
-        nonlocal links, checked, comp
+    def check(pairs: DataFrame, first: bool, more: DataFrame | None = None) -> None:
+        nonlocal checked, comp
         new = pairs if first else pairs.join(checked, ["a", "b"], "left_anti")
         a = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
         b = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
         done = stage_table(new.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb")
                            .mapInArrow(_verify(percent), "a bigint, b bigint, linked boolean"), "jaccard-pairs")
         checked = checked.unionByName(done.select("a", "b"))
-        links = links.unionByName(done.filter("linked").select("a", "b"))
-        comp = stage_table(components(links), "jaccard-components")
+        links = done.filter("linked").select("a", "b")
+        if first:
+            comp = stage_table(components(links), "jaccard-components")
+        else:
+            comp = grow_components(comp, links if more is None else links.unionByName(more))
 
     def apart() -> DataFrame:
         """The rows of the tokens whose members are not all in one component."""
@@ -416,8 +418,8 @@ def link_components(table: DataFrame, percent: int = PERCENT) -> DataFrame:
                     .alias("side")))
     dense = (many.join(reps.select("rep", "shared"), "rep").groupBy("token", "i", "j")
              .applyInArrow(_block_links(percent), "a bigint, b bigint"))
-    links = links.unionByName(stage_table(dense.distinct(), "jaccard-blocks"))
-    check(every.select(F.col("rep").alias("a"), F.col("p_rep").alias("b")).distinct(), False)
+    found = stage_table(dense.distinct(), "jaccard-blocks")
+    check(every.select(F.col("rep").alias("a"), F.col("p_rep").alias("b")).distinct(), False, found)
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter(
         (F.col("copies") > 1) | F.col("component").isNotNull()).select(
         *[F.col(c).alias(f"_{c}") for c in same], F.coalesce("component", "rep").alias("component_id"))

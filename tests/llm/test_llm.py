@@ -384,3 +384,17 @@ def test_pipeline_stages(spark):
     tok = Tokenizer.from_file(packing.default_tokenizer_path())
     want = sum(len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in texts_of(before))
     assert sum(r["length"] for r in at.collect()) == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_grown_components_equal_those_of_all_links(spark, seed):
+    from martmetrics.llm.components import components, grow_components
+    rnd = random.Random(seed)
+    ddl = "a bigint, b bigint"
+    first, second = ([(rnd.randrange(60), rnd.randrange(60)) for _ in range(n)] for n in (20, 15))
+    first, second = ([e for e in x if e[0] != e[1]] for x in (first, second))
+    comp = components(spark.createDataFrame(first, ddl))
+    both = components(spark.createDataFrame(first + second, ddl))
+    grown = grow_components(comp, spark.createDataFrame(second, ddl))
+    assert sorted(map(tuple, grown.collect())) == sorted(map(tuple, both.collect()))
+    assert grow_components(comp, spark.createDataFrame(first, ddl)) is comp
