@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import CATEGORY_ALIASES, Hierarchy
@@ -30,11 +30,6 @@ def tag(h: Hierarchy, category: str | Column = "category", include: str | Column
     return e.otherwise(F.lit(h.default)) if e is not None else F.lit(h.default)
 
 
-def tag_hierarchy(df: DataFrame, **levels: Hierarchy) -> DataFrame:
-    """Add one label column per keyword: ``tag_hierarchy(df, type=h1, type2=h2)``."""
-    return df.withColumns({name: tag(h) for name, h in levels.items()})
-
-
 def alias_category(category: str | Column) -> Column:
     """Apply the fixed category code aliases (e.g. 'Acc & CE' -> 'Acc|CE')."""
     cat = _c(category)
@@ -45,7 +40,7 @@ def alias_category(category: str | Column) -> Column:
 
 
 def sql_tag(h: Hierarchy, category: str = "category", include: str = "include") -> str:
-    """The same ladder as SQL text (for oracle queries)."""
+    """The same ladder as Spark SQL text."""
     arms = []
     if h.relabel_label is not None:
         arms.append(f"WHEN {include} = '0' THEN '{h.relabel_label}'")

@@ -1,15 +1,13 @@
 """Month-end scorecard queries (new/repeat flags, pre-aggregate, past buyers, scorecard).
 
-Each entry: name -> (build(spark, sf_dir) -> DataFrame, oracle SQL or None). The oracle
-SQL is written in the source jobs' own shape (lag/rank windows, union of per-cut
-aggregates) so it checks the optimised Spark plans independently.
+Each entry: name -> (build(spark, sf_dir) -> DataFrame, oracle SQL or None). The oracle SQL
+shares no expression, list or label with the operators it checks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import config as C
 from ..operators import newrep, scorecard
 from ..sources import testdata as td
 from .params import CFG, MONTH_LABEL, SC_END, SC_START
@@ -42,135 +40,133 @@ def q_scorecard_long(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Oracle SQL (DuckDB), in the source jobs' own shape
+# Oracle SQL (DuckDB): first purchase dates by ``min``, one long table of cuts, one list of
+# measures; expected labels are written out here, not taken from the configuration
 # ---------------------------------------------------------------------------
 
-_SEGS = (  # lag partition, rank partition, flag name
-    ("category", "order_month, business_unit, category", "buyer_cat_month_newrep", "order_month, category"),
-    ("cust_cat_phones", "order_month, cust_cat_phones", "buyer_cust_cat_phones_month_newrep",
-     "order_month, cust_cat_phones"),
-    ("business_unit", "order_month, business_unit", "buyer_bu_month_newrep", "order_month, business_unit"),
-    ("business_group", "order_month, business_group", "buyer_business_group_month_newrep", "order_month, business_group"),
-    (None, "order_month", "buyer_month_newrep", "order_month"),
-)
+_FLAGS = {  # New/Repeat flag -> the column whose first purchase it looks at (None: any)
+    "buyer_cat_month_newrep": "category",
+    "buyer_cust_cat_phones_month_newrep": "cust_cat_phones",
+    "buyer_bu_month_newrep": "business_unit",
+    "buyer_business_group_month_newrep": "business_group",
+    "buyer_month_newrep": None,
+}
 
 
-def _all_buyer_lags_sql() -> str:
-    lags, ranks, sets = [], [], []
-    for i, (lag_p, rank_p, name, set_p) in enumerate(_SEGS):
-        lp = f"buyer_org_id, {lag_p}" if lag_p else "buyer_org_id"
-        lags.append(f"date_diff('day', lag(order_date, 1) OVER (PARTITION BY {lp} ORDER BY order_date), order_date) AS lag{i}")
-        ranks.append(f"rank() OVER (PARTITION BY buyer_org_id, {rank_p} ORDER BY order_date) AS rk{i}")
-        sets.append(f"CASE WHEN bool_or(rk{i} = 1 AND lag{i} IS NULL) OVER (PARTITION BY buyer_org_id, {set_p}) "
-                    f"THEN 'New' ELSE 'Repeat' END AS {name}")
-    return f"""all_buyer_lags AS (
-  SELECT DISTINCT buyer_org_id, order_month, category, business_unit, cust_cat_phones, cust_cat_hnk, business_group,
-         {', '.join(n for _, _, n, _ in _SEGS)}
-  FROM (SELECT *, {', '.join(sets)}
-        FROM (SELECT *, {', '.join(lags)}, {', '.join(ranks)}
-              FROM (SELECT DISTINCT m.buyer_org_id, m.category, c.business_unit, c.cust_cat_phones, c.cust_cat_hnk,
-                           m.order_date, c.business_group, m.order_month
-                    FROM txn m LEFT JOIN custom_mapping c ON m.category = c.category
-                    WHERE m.include IS NULL)))
+def newrep_sql() -> str:
+    """``buyer_months``: a buyer's cell is New in the month of their first day in the segment."""
+    def flag(name: str, seg: str | None) -> str:
+        who = "buyer_org_id" + (f", {seg}" if seg else "")
+        return (f"CASE WHEN min(first_day) OVER (PARTITION BY {who}, order_month) = "
+                f"min(first_day) OVER (PARTITION BY {who}) THEN 'New' ELSE 'Repeat' END AS {name}")
+
+    return f"""bought AS (
+  SELECT t.buyer_org_id, t.category, t.order_month, min(t.order_date) AS first_day,
+         any_value(cmap.business_unit) AS business_unit, any_value(cmap.business_group) AS business_group,
+         any_value(cmap.cust_cat_phones) AS cust_cat_phones, any_value(cmap.cust_cat_hnk) AS cust_cat_hnk
+  FROM txn t LEFT JOIN custom_mapping cmap USING (category)
+  WHERE t.include IS NULL GROUP BY 1, 2, 3
+), buyer_months AS (
+  SELECT * EXCLUDE (first_day), {", ".join(flag(n, s) for n, s in _FLAGS.items())} FROM bought
 )"""
 
 
-def _buyer_cuts_raw_sql(start: str, end: str) -> str:
-    fs, fw = CFG.fulfilment.seller, CFG.fulfilment.warehouse
-    lst = lambda xs: ", ".join(f"'{x}'" for x in xs)
-    return f"""buyer_cuts_raw AS (
-  SELECT m.buyer_org_id, m.category, r.business_unit, r.cust_cat_phones, r.cust_cat_hnk, r.business_group,
-         r.buyer_cat_month_newrep, r.buyer_bu_month_newrep, r.buyer_month_newrep,
-         r.buyer_cust_cat_phones_month_newrep, r.buyer_business_group_month_newrep,
-         m.order_status, m.order_id, m.shipment_status, m.payment_mode,
-         CASE WHEN m.fulfillment_center IN ({lst(fs)}) THEN 'seller'
-              WHEN m.fulfillment_center IN ({lst(fw)}) THEN 'wh' END AS fulfillment_type,
-         CASE WHEN k.org_id IS NOT NULL THEN 'CNC' END AS cnc_tag,
-         sum(CASE WHEN m.first_shipped IS NOT NULL THEN m.total_line_amount END) AS shipped_gmv,
-         sum(m.total_line_amount) AS gmv
-  FROM txn m
-  LEFT JOIN custom_mapping c ON m.category = c.category
-  LEFT JOIN all_buyer_lags r ON r.buyer_org_id = m.buyer_org_id AND c.category = r.category
-                            AND m.order_month = r.order_month
-  LEFT JOIN cnc_org k ON m.seller_org_id = k.org_id
-  WHERE m.include IS NULL AND m.order_date BETWEEN DATE '{start}' AND DATE '{end}'
+def _cells_sql() -> str:
+    fc = CFG.fulfilment
+    codes = [(c, "seller") for c in fc.seller] + [(c, "wh") for c in fc.warehouse]
+    return f"""centre (code, kind) AS (VALUES {", ".join(str(c) for c in codes)}),
+period_cells AS (
+  SELECT p.buyer_org_id, p.category, f.business_unit, f.cust_cat_phones, f.cust_cat_hnk, f.business_group,
+         {", ".join("f." + n for n in _FLAGS)},
+         p.order_status, p.order_id, p.shipment_status, p.payment_mode, centre.kind AS fulfillment_type,
+         CASE WHEN p.seller_org_id IN (SELECT org_id FROM cnc_org) THEN 'CNC' END AS cnc_tag,
+         sum(p.total_line_amount) FILTER (WHERE p.first_shipped IS NOT NULL) AS shipped_gmv,
+         sum(p.total_line_amount) AS gmv
+  FROM (SELECT * FROM txn WHERE include IS NULL
+        AND order_date >= DATE '{SC_START}' AND order_date <= DATE '{SC_END}') p
+  LEFT JOIN centre ON centre.code = p.fulfillment_center
+  LEFT JOIN (SELECT b.* FROM buyer_months b SEMI JOIN custom_mapping USING (category)) f
+         ON f.buyer_org_id = p.buyer_org_id AND f.category = p.category AND f.order_month = p.order_month
   GROUP BY ALL
 )"""
 
 
-def _past_sql(start: str) -> str:
-    parts = []
-    for dim, prefix, _ in C.SCORECARD_DIMS:
-        if prefix is None:
-            ent = "'Overall'"
-            src = "txn m"
-        elif dim == "category":
-            ent, src = f"'{prefix}' || m.category", "txn m"
-        else:
-            ent = f"'{prefix}' || c.{dim}"
-            src = "txn m LEFT JOIN custom_mapping c ON m.category = c.category"
-        extra = f" AND c.{dim} NOT IN ('{C.IGNORE_VALUE}')" if dim in ("cust_cat_phones", "cust_cat_hnk") else ""
-        parts.append(f"SELECT '{dim}' AS dim, {ent} AS entity, count(DISTINCT m.buyer_org_id) AS past_buyers "
-                     f"FROM {src} WHERE m.order_date < DATE '{start}' AND m.include IS NULL{extra} GROUP BY 1, 2")
-    return "past_buyers_data AS (\n  " + "\n  UNION ALL\n  ".join(parts) + "\n)"
+_CUTS = (  # cut, label prefix, label where it is NULL, New/Repeat flag
+    ("category", "category-", "category-null", "buyer_cat_month_newrep"),
+    ("business_unit", "BU-", "BU-Null", "buyer_bu_month_newrep"),
+    ("cust_cat_phones", "Custom Category-", "Custom_category_phones-Null", "buyer_cust_cat_phones_month_newrep"),
+    ("cust_cat_hnk", "Custom Category-", "Custom_category_HNK-Null", "buyer_cust_cat_phones_month_newrep"),
+    ("business_group", "Business Group-", "Business Group-NULL", "buyer_business_group_month_newrep"),
+)
+
+
+def _past_sql() -> str:
+    rows = [f"SELECT '{c}' AS dim, '{prefix}' || {c} AS entity, buyer_org_id FROM earlier"
+            + (f" WHERE {c} <> 'Ignore'" if c.startswith("cust_cat") else "") for c, prefix, _, _ in _CUTS]
+    return f"""earlier AS (
+  SELECT t.buyer_org_id, t.category, cmap.* EXCLUDE (category) FROM txn t LEFT JOIN custom_mapping cmap USING (category)
+  WHERE t.include IS NULL AND t.order_date < DATE '{SC_START}'
+), past AS (
+  SELECT dim, entity, count(DISTINCT buyer_org_id) AS past_buyers
+  FROM ({" UNION ALL ".join(rows)} UNION ALL SELECT 'overall', 'Overall', buyer_org_id FROM earlier)
+  GROUP BY dim, entity
+)"""
 
 
-_FLAG_OF = {"category": "buyer_cat_month_newrep", "business_unit": "buyer_bu_month_newrep",
-            "cust_cat_phones": "buyer_cust_cat_phones_month_newrep",
-            "cust_cat_hnk": "buyer_cust_cat_phones_month_newrep",
-            "business_group": "buyer_business_group_month_newrep", "overall": "buyer_month_newrep"}
+_SHIPPED = "(shipment_status <> 'SHIPMENT_RTS')"
+_CREDIT = "(payment_mode IN ('CREDIT', 'PAY_LATER', 'CREDIT_PAY_LATER'))"
+_DELIVERED = "(shipment_status = 'SHIPMENT_DELIVERED')"
+_BY = {"cnc": "(cnc_tag = 'CNC')", "seller_fulfilled": "(fulfillment_type = 'seller' AND cnc_tag IS NULL)",
+       "warehouse_fulfilled": "(fulfillment_type = 'wh' AND cnc_tag IS NULL)"}
+_MEASURES = {  # measure -> (what, on which rows)
+    "placed_orders": ("order_id", "true"), "shipped_orders": ("order_id", _SHIPPED),
+    "delivered_orders": ("order_id", _DELIVERED),
+    **{f"{k}_orders": ("order_id", f"{c} AND {_SHIPPED}") for k, c in _BY.items()},
+    "new_buyers": ("buyer_org_id", "flag = 'New'"), "repeat_buyers": ("buyer_org_id", "flag = 'Repeat'"),
+    "credit_buyers": ("buyer_org_id", f"{_CREDIT} AND {_SHIPPED}"),
+    "placed_gmv": ("gmv", "true"), "shipped_gmv": ("shipped_gmv", "true"),
+    "rto_gmv": ("gmv", "starts_with(shipment_status, 'SHIPMENT_RTO')"), "credit_gmv": ("shipped_gmv", _CREDIT),
+    "delivered_gmv": ("gmv", f"{_DELIVERED} AND order_status NOT IN ('SELLER_ORDER_EXPIRED', "
+                             "'SELLER_ORDER_BUYER_CANCEL', 'SELLER_ORDER_SELLER_CANCEL')"),
+    **{f"{k}_gmv": ("shipped_gmv", c) for k, c in _BY.items()},
+}
 
 
 def _scorecard_sql() -> str:
-    ship = "shipment_status IS NOT NULL AND shipment_status <> 'SHIPMENT_RTS'"
-    credit = "payment_mode IN ('CREDIT_PAY_LATER', 'CREDIT', 'PAY_LATER')"
-    rto = "shipment_status IN ('SHIPMENT_RTO_ABSORBED', 'SHIPMENT_RTO', 'SHIPMENT_RTO_DELIVERED', 'SHIPMENT_RTO_TO_SELLER')"
-    cancel = "order_status NOT IN ('SELLER_ORDER_BUYER_CANCEL', 'SELLER_ORDER_SELLER_CANCEL', 'SELLER_ORDER_EXPIRED')"
-    blocks = []
-    for dim, prefix, null_label in C.SCORECARD_DIMS:
-        ent = f"'{null_label}'" if prefix is None else \
-            f"CASE WHEN {dim} IS NULL THEN '{null_label}' ELSE concat('{prefix}', {dim}) END"
-        fl = _FLAG_OF[dim]
-        blocks.append(f"""SELECT '{dim}' AS dim, {ent} AS entity,
-    count(DISTINCT order_id) AS placed_orders,
-    count(DISTINCT CASE WHEN {ship} THEN order_id END) AS shipped_orders,
-    count(DISTINCT CASE WHEN shipment_status = 'SHIPMENT_DELIVERED' THEN order_id END) AS delivered_orders,
-    CAST(sum(CASE WHEN {rto} THEN gmv END) AS DOUBLE) AS rto_gmv,
-    CAST(sum(CASE WHEN {credit} THEN shipped_gmv END) AS DOUBLE) AS credit_gmv,
-    CAST(sum(gmv) AS DOUBLE) AS placed_gmv,
-    CAST(sum(shipped_gmv) AS DOUBLE) AS shipped_gmv,
-    CAST(sum(CASE WHEN shipment_status = 'SHIPMENT_DELIVERED' AND {cancel} THEN gmv END) AS DOUBLE) AS delivered_gmv,
-    CAST(sum(CASE WHEN cnc_tag IS NOT NULL THEN shipped_gmv END) AS DOUBLE) AS cnc_gmv,
-    CAST(sum(CASE WHEN fulfillment_type = 'seller' AND cnc_tag IS NULL THEN shipped_gmv END) AS DOUBLE) AS seller_fulfilled_gmv,
-    CAST(sum(CASE WHEN fulfillment_type = 'wh' AND cnc_tag IS NULL THEN shipped_gmv END) AS DOUBLE) AS warehouse_fulfilled_gmv,
-    count(DISTINCT CASE WHEN {fl} = 'New' THEN buyer_org_id END) AS new_buyers,
-    count(DISTINCT CASE WHEN {fl} = 'Repeat' THEN buyer_org_id END) AS repeat_buyers,
-    count(DISTINCT CASE WHEN {credit} AND {ship} THEN buyer_org_id END) AS credit_buyers,
-    count(DISTINCT CASE WHEN cnc_tag IS NOT NULL AND {ship} THEN order_id END) AS cnc_orders,
-    count(DISTINCT CASE WHEN fulfillment_type = 'seller' AND cnc_tag IS NULL AND {ship} THEN order_id END) AS seller_fulfilled_orders,
-    count(DISTINCT CASE WHEN fulfillment_type = 'wh' AND cnc_tag IS NULL AND {ship} THEN order_id END) AS warehouse_fulfilled_orders
-  FROM buyer_cuts_raw GROUP BY 1, 2""")
-    return ("buyer_cuts_final AS (\n  SELECT x.*, y.past_buyers FROM (\n  " + "\n  UNION ALL\n  ".join(blocks)
-            + "\n  ) x LEFT JOIN past_buyers_data y ON x.dim = y.dim AND x.entity = y.entity\n)")
-
-
-SQL_NEWREP_FLAGS = td.with_adapter("SELECT * FROM all_buyer_lags", _all_buyer_lags_sql())
+    rows = [f"SELECT '{c}' AS dim, coalesce('{prefix}' || {c}, '{missing}') AS entity, {flag} AS flag, * FROM period_cells"
+            for c, prefix, missing, flag in _CUTS]
+    rows.append("SELECT 'overall', 'Overall', buyer_month_newrep, * FROM period_cells")
+    values = [f"count(DISTINCT {what}) FILTER (WHERE {cond}) AS {name}" if what.endswith("_id") else
+              f"CAST(sum({what}) FILTER (WHERE {cond}) AS DOUBLE) AS {name}" for name, (what, cond) in _MEASURES.items()]
+    return f"""scored AS (
+  SELECT s.*, past.past_buyers
+  FROM (SELECT dim, entity, {", ".join(values)} FROM ({" UNION ALL ".join(rows)}) GROUP BY dim, entity) s
+  LEFT JOIN past USING (dim, entity)
+)"""
+
+
+SQL_NEWREP_FLAGS = td.with_adapter("SELECT * FROM buyer_months", newrep_sql())
 SQL_BUYER_CUTS_RAW = td.with_adapter(
-    "SELECT * REPLACE (CAST(shipped_gmv AS DOUBLE) AS shipped_gmv, CAST(gmv AS DOUBLE) AS gmv) FROM buyer_cuts_raw",
-    _all_buyer_lags_sql(), _buyer_cuts_raw_sql(SC_START, SC_END))
-SQL_PAST_BUYERS = td.with_adapter("SELECT * FROM past_buyers_data", _past_sql(SC_START))
-_SC_CTES = (_all_buyer_lags_sql(), _buyer_cuts_raw_sql(SC_START, SC_END), _past_sql(SC_START), _scorecard_sql())
-SQL_ENTITY_SCORECARD = td.with_adapter("SELECT * FROM buyer_cuts_final", *_SC_CTES)
+    "SELECT * REPLACE (CAST(shipped_gmv AS DOUBLE) AS shipped_gmv, CAST(gmv AS DOUBLE) AS gmv) FROM period_cells",
+    newrep_sql(), _cells_sql())
+SQL_PAST_BUYERS = td.with_adapter("SELECT * FROM past", _past_sql())
+_SC_CTES = (newrep_sql(), _cells_sql(), _past_sql(), _scorecard_sql())
+SQL_ENTITY_SCORECARD = td.with_adapter("SELECT * FROM scored", *_SC_CTES)
+
+# expected rows of the long format, in output order
+_LONG = """('Placed GMV', placed_gmv), ('Shipped GMV', shipped_gmv), ('Delivered GMV', delivered_gmv),
+  ('Cash and Carry - GMV', cnc_gmv), ('Marketplace fullfilled from WH - GMV', warehouse_fulfilled_gmv),
+  ('Marketplace fullfilled from Seller - GMV', seller_fulfilled_gmv), ('New Buyers', new_buyers),
+  ('Repeat Buyers', repeat_buyers), ('Total Buyers', new_buyers + repeat_buyers), ('Placed Orders', placed_orders),
+  ('Shipped Orders', shipped_orders), ('Delivered Orders', delivered_orders), ('Cash and Carry', cnc_orders),
+  ('Marketplace fullfilled from WH', warehouse_fulfilled_orders),
+  ('Marketplace fullfilled from Seller', seller_fulfilled_orders), ('RTO %', rto_gmv), ('Credit GMV %', credit_gmv),
+  ('# of Buyers on Credit', credit_buyers)"""
 
 
 def _long_sql() -> str:
-    parts = []
-    for p, m in C.PARTICULARS:
-        val = "new_buyers + repeat_buyers" if m == "total_buyers" else m
-        pl = p.replace("'", "''")
-        parts.append(f"SELECT '{pl}' AS particular, '{MONTH_LABEL}' AS month, entity AS category, '' AS rprt_category, "
-                     f"'' AS remarks, CAST({val} AS DOUBLE) AS value, dim FROM buyer_cuts_final")
-    return "\nUNION ALL\n".join(parts)
+    return (f"SELECT r.particular, '{MONTH_LABEL}' AS month, entity AS category, '' AS rprt_category, '' AS remarks, "
+            f"CAST(r.value AS DOUBLE) AS value, dim FROM scored, LATERAL (VALUES {_LONG}) r (particular, value)")
 
 
 SQL_SCORECARD_LONG = td.with_adapter(_long_sql(), *_SC_CTES)

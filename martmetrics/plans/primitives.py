@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import predicates as P
-from ..functions.hierarchy import sql_tag, tag
+from ..functions.hierarchy import tag
 from ..functions.scalars import (entity_label, iso_date, local_date_from_epoch_ms, local_stamp_from_epoch_ms,
                                  safe_ratio, weekday_label)
 from ..operators import categorise as cat
@@ -16,8 +16,10 @@ from ..operators import newrep
 from ..operators import overrides as ov
 from ..sources import files
 from ..sources import testdata as td
-from .month_end import _all_buyer_lags_sql
+from . import ladders
+from .month_end import newrep_sql
 from .params import AS_OF_OFFSET, CFG, N_OFFSET, PERIOD_END, PERIOD_START, REPORT_DAY, SC_END, SC_START
+from .reports import overrides_sql
 
 _Q: dict = {}
 
@@ -69,8 +71,8 @@ def project_alias(spark: SparkSession, sf: str) -> DataFrame:
                     "buyer_org_id", "listing_id")
 
 
-@q("case_hierarchy", W(f"SELECT order_id, listing_id, category, {sql_tag(CFG.daily_type)} AS type, "
-                       f"{sql_tag(CFG.daily_type2)} AS type2, {sql_tag(CFG.period_type2)} AS type2_period "
+@q("case_hierarchy", W(f"SELECT order_id, listing_id, category, {ladders.DAILY_TYPE} AS type, "
+                       f"{ladders.DAILY_TYPE2} AS type2, {ladders.PERIOD_TYPE2} AS type2_period "
                        f"FROM (SELECT *, CAST(NULL AS VARCHAR) AS include FROM txn)"))
 def case_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     t = td.txn(spark, sf)
@@ -78,18 +80,14 @@ def case_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
                     tag(CFG.daily_type2).alias("type2"), tag(CFG.period_type2).alias("type2_period"))
 
 
-def _labels_sql() -> str:
-    cols = []
-    for dim, prefix, null_label in C.SCORECARD_DIMS:
-        if prefix is None:
-            continue
-        cols.append(f"CASE WHEN {dim} IS NULL THEN '{null_label}' ELSE concat('{prefix}', {dim}) END AS {dim}_label")
-    return ("SELECT t.order_id, t.listing_id, " + ", ".join(cols)
-            + " FROM (SELECT t.order_id, t.listing_id, t.category, m.business_unit, m.cust_cat_phones, "
-              "m.cust_cat_hnk, m.business_group FROM txn t LEFT JOIN custom_mapping m ON t.category = m.category) t")
+_LABELS = """coalesce('category-' || category, 'category-null') AS category_label,
+  coalesce('BU-' || business_unit, 'BU-Null') AS business_unit_label,
+  coalesce('Custom Category-' || cust_cat_phones, 'Custom_category_phones-Null') AS cust_cat_phones_label,
+  coalesce('Custom Category-' || cust_cat_hnk, 'Custom_category_HNK-Null') AS cust_cat_hnk_label,
+  coalesce('Business Group-' || business_group, 'Business Group-NULL') AS business_group_label"""
 
 
-@q("entity_null_label", W(_labels_sql()))
+@q("entity_null_label", W(f"SELECT order_id, listing_id, {_LABELS} FROM txn LEFT JOIN custom_mapping USING (category)"))
 def entity_null_label(spark: SparkSession, sf: str) -> DataFrame:
     t = td.txn(spark, sf).join(td.custom_mapping(spark, sf), "category", "left")
     return t.select("order_id", "listing_id", *[entity_label(F.col(d), p, nl).alias(f"{d}_label")
@@ -114,9 +112,9 @@ def filter_eq(spark: SparkSession, sf: str) -> DataFrame:
     return td.rt_txn(spark, sf).filter(P.on_day(REPORT_DAY))
 
 
-@q("filter_lower_eq", W(f"SELECT dsl.listing_id, dsl.brand, cm.vertical, cm.rt_mis_category FROM listing dsl "
-                        f"LEFT JOIN category_map cm ON dsl.vertical = cm.vertical WHERE dsl.brand = "
-                        f"'{CFG.brand_rule.brand}' AND lower(cm.rt_mis_category) = '{CFG.brand_rule.category.lower()}'"))
+@q("filter_lower_eq", W(f"SELECT listing_id, brand, vertical, own AS rt_mis_category FROM ov_base "
+                        f"WHERE brand = '{CFG.brand_rule.brand}' AND own ILIKE '{CFG.brand_rule.category}'",
+                        overrides_sql("ov", False)))
 def filter_lower_eq(spark: SparkSession, sf: str) -> DataFrame:
     cm = td.category_map(spark, sf).withColumnRenamed("vertical", "cm_vertical")
     j = td.listing(spark, sf).join(cm, F.col("vertical") == F.col("cm_vertical"), "left")
@@ -174,8 +172,8 @@ def join_left_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 @q("join_left_composite", W(
     f"SELECT t.order_id, t.listing_id, t.buyer_org_id, t.category, r.buyer_cat_month_newrep FROM txn t "
-    f"LEFT JOIN all_buyer_lags r ON r.buyer_org_id = t.buyer_org_id AND r.category = t.category "
-    f"AND r.order_month = t.order_month WHERE t.{_PARAM_RANGE}", _all_buyer_lags_sql()))
+    f"LEFT JOIN buyer_months r ON r.buyer_org_id = t.buyer_org_id AND r.category = t.category "
+    f"AND r.order_month = t.order_month WHERE t.{_PARAM_RANGE}", newrep_sql()))
 def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
     t = td.txn(spark, sf).filter(P.month_prune(SC_START, SC_END) & F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
     flags = newrep.newrep_flags(td.txn(spark, sf), td.custom_mapping(spark, sf)).select(
@@ -203,13 +201,9 @@ def semi_allow_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @q("join_fanout_overrides", W(
-    "SELECT t.order_id, t.listing_id, cmp.rt_mis_category, cmp.include, t.total_line_amount FROM rt_txn t "
-    "LEFT JOIN ov_daily cmp ON cmp.listing_id = t.listing_id WHERE t.order_date_time = DATE '" + REPORT_DAY + "'",
-    "ov_daily AS (SELECT DISTINCT dsl.listing_id, dsl.brand, cm.vertical, cm.rt_mis_category, '1' AS include "
-    "FROM listing dsl LEFT JOIN category_map cm ON dsl.vertical = cm.vertical UNION ALL "
-    f"SELECT DISTINCT dsl.listing_id, dsl.brand, cm.vertical, '{CFG.brand_rule.target}', '0' FROM listing dsl "
-    f"LEFT JOIN category_map cm ON dsl.vertical = cm.vertical WHERE dsl.brand = '{CFG.brand_rule.brand}' "
-    f"AND lower(cm.rt_mis_category) = '{CFG.brand_rule.category.lower()}')"))
+    "SELECT order_id, listing_id, o.rt_mis_category, o.include, total_line_amount "
+    f"FROM (SELECT * EXCLUDE (include) FROM rt_txn WHERE order_date_time = DATE '{REPORT_DAY}') "
+    "LEFT JOIN ov_daily o USING (listing_id)", overrides_sql("ov_daily", False)))
 def join_fanout_overrides(spark: SparkSession, sf: str) -> DataFrame:
     t = td.rt_txn(spark, sf).filter(P.on_day(REPORT_DAY)).drop("include")
     o = ov.sku_overrides(td.listing(spark, sf), td.category_map(spark, sf), CFG.brand_rule)
@@ -331,7 +325,7 @@ _Q["win_gap_days"] = (win_gap_days, f"SELECT buyer_org_id, category, order_date,
 _Q["win_rank"] = (win_rank, f"SELECT buyer_org_id, category, order_date, order_month, month_rank FROM ({_GAPS_SQL})")
 
 
-@q("newrep_windowed", W("SELECT * FROM all_buyer_lags", _all_buyer_lags_sql()))
+@q("newrep_windowed", W("SELECT * FROM buyer_months", newrep_sql()))
 def newrep_windowed(spark: SparkSession, sf: str) -> DataFrame:
     return newrep.newrep_flags_windowed(td.txn(spark, sf), td.custom_mapping(spark, sf))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hierarchy import sql_tag, tag
+from ..functions.hierarchy import tag
 from ..functions.scalars import fill_blank, format_indian
 from ..operators import categorise as cat
 from ..operators import overrides as ov
 from ..operators import snapshot as sn
 from ..sources import files
 from ..sources import testdata as td
+from . import ladders
 from .params import CFG
 
 # ---------------------------------------------------------------------------
@@ -112,7 +113,7 @@ _SNAP_CTES = (
       AND (rt_mis_category IS NULL OR rt_mis_category NOT IN ('{_AR.target}'))
 )""",
     f"""snap_day AS (
-  SELECT *, {sql_tag(CFG.snapshot_bu)} AS bu, {sql_tag(CFG.snapshot_bg)} AS bg, 'overall' AS overall
+  SELECT *, {ladders.SNAPSHOT_BU} AS bu, {ladders.SNAPSHOT_BG} AS bg, 'overall' AS overall
   FROM snap_all WHERE order_date = (SELECT max(order_date) FROM snap_all)
 )""",
     "snap_blocks AS (" + " UNION ALL ".join(
@@ -137,9 +138,9 @@ SQL = {
     "union_adjustments": td.with_adapter("SELECT * FROM snap_all", *_SNAP_CTES[:4]),
     "literal_tag": td.with_adapter("SELECT order_id, category, 'overall' AS overall, 1 AS include FROM snapshot_csv"),
     "bg_map_native": td.with_adapter(
-        f"SELECT order_id, category, {sql_tag(CFG.snapshot_bg)} AS bg FROM snapshot_csv"),
+        f"SELECT order_id, category, {ladders.SNAPSHOT_BG} AS bg FROM snapshot_csv"),
     "bu_map_native": td.with_adapter(
-        f"SELECT order_id, category, {sql_tag(CFG.snapshot_bu)} AS bu FROM snapshot_csv"),
+        f"SELECT order_id, category, {ladders.SNAPSHOT_BU} AS bu FROM snapshot_csv"),
     "format_indian": td.with_adapter(
         f"SELECT category, {sql_indian('CAST(trunc(gmv) AS BIGINT)')} AS gmv_text, "
         f"{sql_indian(_cents_div('gmv', 'n'))} AS aov_text "
