@@ -77,6 +77,11 @@ def stack_levels(df: DataFrame, levels: Sequence[tuple[str, Column]]) -> DataFra
     return df.select("*", F.inline(arr))
 
 
+def level_rank(names: Sequence[str]) -> Column:
+    """Place of ``level`` among ``names``, from 1: sort a report by ``level_rank, entity``."""
+    return F.array_position(F.array(*[F.lit(n) for n in names]), F.col("level")).cast("int").alias("level_rank")
+
+
 def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
                       order_key: str = "order_id", buyer_key: str = "buyer_org_id",
                       anchors: Sequence[Sequence[str]] = ()) -> DataFrame:
@@ -140,18 +145,9 @@ def _finish(agg: DataFrame, keys: Sequence[str], m: Measures) -> DataFrame:
     return out.select(*keys, *order)
 
 
-def global_measures(df: DataFrame, m: Measures, order_key: str = "order_id",
-                    buyer_key: str = "buyer_org_id") -> DataFrame:
-    """The same measures with no GROUP BY: exactly one row, also on empty input."""
-    aggs = [F.expr(f"count(DISTINCT CASE WHEN {c} THEN {order_key} END) AS {n}") for n, c in m.order_flags.items()]
-    aggs += [F.expr(f"count(DISTINCT CASE WHEN {c} THEN {buyer_key} END) AS {n}") for n, c in m.buyer_flags.items()]
-    aggs += [F.expr(f"sum({c}) AS {n}") for n, c in m.sums.items()]
-    return _finish(df.agg(*aggs), [], m)
-
-
 def stacked_report(df: DataFrame, levels: Sequence[tuple[str, Column]], m: Measures,
                    total_label: str = "Grand Total") -> DataFrame:
-    """Grand-total row + one block per level, as (level, entity, measures...).
+    """Grand-total row + one block per level, as (level, entity, measures..., level_rank).
 
     The total comes out of the same single pass as the levels; a neutral anchor row
     makes the total row exist (with zero counts) on empty input too, as a global
@@ -159,4 +155,5 @@ def stacked_report(df: DataFrame, levels: Sequence[tuple[str, Column]], m: Measu
     """
     all_levels = [("total", F.lit(total_label)), *levels]
     return distinct_measures(stack_levels(df, all_levels), ["level", "entity"], m,
-                             anchors=[("total", total_label)]).select("level", "entity", *m.order)
+                             anchors=[("total", total_label)]).select(
+                                 "level", "entity", *m.order, level_rank([n for n, _ in all_levels]))

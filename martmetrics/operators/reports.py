@@ -30,7 +30,8 @@ def _levels():
 
 
 def daily_report(categorised: DataFrame) -> DataFrame:
-    """Grand Total + category + type + type2 blocks: (level, entity, orders, buyers, gmv, aov).
+    """Grand Total + category + type + type2 blocks: (level, entity, orders, buyers, gmv, aov,
+    level_rank).
 
     No include filter: relabelled copies count in every block, as in the source job.
     """
@@ -51,16 +52,17 @@ def text_report(report: DataFrame, as_of=None) -> DataFrame:
     """The stacked report as text with the run-stamp row on top (entity, orders, buyers,
     gmv, aov all strings): the source unions a text stamp into numeric columns, which an
     ANSI engine rejects, so every measure is rendered as text first. Money is shown with
-    two decimals, ``aov`` rounded half-up to the cent.
+    two decimals, ``aov`` rounded half-up to the cent. The stamp has ``level_rank`` 0.
     """
     money = lambda c: F.col(c).cast("decimal(38,2)").cast("string")
     body = report.select(
         "level", "entity", F.col("orders").cast("string").alias("orders"),
         F.col("buyers").cast("string").alias("buyers"), money("gmv").alias("gmv"),
         F.round(F.try_divide(F.col("gmv").cast("decimal(38,2)"), F.col("orders")), 2)
-        .cast("decimal(38,2)").cast("string").alias("aov"))
+        .cast("decimal(38,2)").cast("string").alias("aov"), "level_rank")
     spark = report.sparkSession
     stamp = spark.range(1).select(F.lit("stamp").alias("level"), F.lit(STAMP_LABEL).alias("entity"),
                                   report_stamp(as_of).alias("orders"), F.lit("1").alias("buyers"),
-                                  F.lit("1").alias("gmv"), F.lit("1").alias("aov"))
+                                  F.lit("1").alias("gmv"), F.lit("1").alias("aov"),
+                                  F.lit(0).alias("level_rank"))
     return stamp.unionByName(body)

@@ -291,7 +291,8 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
 def scorecard_long(sc: DataFrame, month_label: str,
                    particulars: tuple[tuple[str, str], ...] = C.PARTICULARS) -> DataFrame:
     """Long format: one row per entity and particular (particular, month, category,
-    rprt_category, remarks, value) — one ``unpivot`` instead of 18 scans."""
+    rprt_category, remarks, value, dim, and the particular's place as ``row_rank``) — one
+    ``unpivot`` instead of 18 scans."""
     measures = {m for _, m in particulars}
     wide = sc.withColumn("total_buyers", F.col("new_buyers") + F.col("repeat_buyers"))
     cols = {f"m{i}": F.col(m).cast("double") for i, (_, m) in enumerate(particulars) if m in measures}
@@ -299,4 +300,5 @@ def scorecard_long(sc: DataFrame, month_label: str,
     long = wide.unpivot(["dim", "category"], list(cols), "_m", "value")
     names = F.create_map(*[x for i, (p, _) in enumerate(particulars) for x in (F.lit(f"m{i}"), F.lit(p))])
     return long.select(names[F.col("_m")].alias("particular"), F.lit(month_label).alias("month"), "category",
-                       F.lit("").alias("rprt_category"), F.lit("").alias("remarks"), "value", "dim")
+                       F.lit("").alias("rprt_category"), F.lit("").alias("remarks"), "value", "dim",
+                       (F.substring("_m", 2, 9).cast("int") + 1).alias("row_rank"))

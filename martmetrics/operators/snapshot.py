@@ -14,7 +14,7 @@ from ..config import ReportConfig
 from ..functions.hierarchy import tag
 from ..functions.scalars import fill_blank, format_indian
 from .categorise import drop_high_orders
-from .levels import Measures, distinct_measures, stack_levels
+from .levels import Measures, distinct_measures, level_rank, stack_levels
 from .overrides import relabelled_copies
 
 LEVEL_ORDER = ("overall", "bu", "bg", "category")
@@ -74,7 +74,7 @@ def snapshot_measures() -> Measures:
 
 
 def snapshot_numbers(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """(level, entity, buyers, orders, gmv, aov, abs) for the latest day, numeric.
+    """(level, entity, buyers, orders, gmv, aov, abs, level_rank) for the latest day, numeric.
 
     The category block keeps the relabelled copies (``include=0``), the others do not —
     as in the source, so a copy counts under its *original* category a second time.
@@ -86,15 +86,15 @@ def snapshot_numbers(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
     gmv = F.coalesce(F.col("gmv"), F.lit(0.0))   # a group of all-NULL amounts sums to 0 in pandas
     return m.select("level", "entity", "buyers", "orders", gmv.alias("gmv"),
                     F.try_divide(gmv, F.col("orders")).alias("aov"),
-                    F.try_divide(gmv, F.col("buyers")).alias("abs"))
+                    F.try_divide(gmv, F.col("buyers")).alias("abs"), level_rank(LEVEL_ORDER))
 
 
 def hourly_snapshot(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """The formatted snapshot: (level, entity, buyers, orders, gmv, AOV, ABS) as text."""
+    """The formatted snapshot: (level, entity, buyers, orders, gmv, AOV, ABS) as text, and level_rank."""
     n = snapshot_numbers(raw, cfg)
     # ratios re-derived in decimal so the cent rounding is exact half-up
     gmv = F.col("gmv").cast("decimal(38,2)")
     return n.select("level", "entity", *[format_indian(F.col(c)).alias(c) for c in ("buyers", "orders")],
                     format_indian(gmv).alias("gmv"),
                     format_indian(F.try_divide(gmv, F.col("orders"))).alias("AOV"),
-                    format_indian(F.try_divide(gmv, F.col("buyers"))).alias("ABS"))
+                    format_indian(F.try_divide(gmv, F.col("buyers"))).alias("ABS"), "level_rank")

@@ -154,19 +154,20 @@ _SC_CTES = (newrep_sql(), _cells_sql(), _past_sql(), _scorecard_sql())
 SQL_ENTITY_SCORECARD = td.with_adapter("SELECT * FROM scored", *_SC_CTES)
 
 # expected rows of the long format, in output order
-_LONG = """('Placed GMV', placed_gmv), ('Shipped GMV', shipped_gmv), ('Delivered GMV', delivered_gmv),
-  ('Cash and Carry - GMV', cnc_gmv), ('Marketplace fullfilled from WH - GMV', warehouse_fulfilled_gmv),
-  ('Marketplace fullfilled from Seller - GMV', seller_fulfilled_gmv), ('New Buyers', new_buyers),
-  ('Repeat Buyers', repeat_buyers), ('Total Buyers', new_buyers + repeat_buyers), ('Placed Orders', placed_orders),
-  ('Shipped Orders', shipped_orders), ('Delivered Orders', delivered_orders), ('Cash and Carry', cnc_orders),
-  ('Marketplace fullfilled from WH', warehouse_fulfilled_orders),
-  ('Marketplace fullfilled from Seller', seller_fulfilled_orders), ('RTO %', rto_gmv), ('Credit GMV %', credit_gmv),
-  ('# of Buyers on Credit', credit_buyers)"""
+_LONG = """(1, 'Placed GMV', placed_gmv), (2, 'Shipped GMV', shipped_gmv), (3, 'Delivered GMV', delivered_gmv),
+  (4, 'Cash and Carry - GMV', cnc_gmv), (5, 'Marketplace fullfilled from WH - GMV', warehouse_fulfilled_gmv),
+  (6, 'Marketplace fullfilled from Seller - GMV', seller_fulfilled_gmv), (7, 'New Buyers', new_buyers),
+  (8, 'Repeat Buyers', repeat_buyers), (9, 'Total Buyers', new_buyers + repeat_buyers), (10, 'Placed Orders', placed_orders),
+  (11, 'Shipped Orders', shipped_orders), (12, 'Delivered Orders', delivered_orders), (13, 'Cash and Carry', cnc_orders),
+  (14, 'Marketplace fullfilled from WH', warehouse_fulfilled_orders),
+  (15, 'Marketplace fullfilled from Seller', seller_fulfilled_orders), (16, 'RTO %', rto_gmv), (17, 'Credit GMV %', credit_gmv),
+  (18, '# of Buyers on Credit', credit_buyers)"""
 
 
 def _long_sql() -> str:
     return (f"SELECT r.particular, '{MONTH_LABEL}' AS month, entity AS category, '' AS rprt_category, '' AS remarks, "
-            f"CAST(r.value AS DOUBLE) AS value, dim FROM scored, LATERAL (VALUES {_LONG}) r (particular, value)")
+            f"CAST(r.value AS DOUBLE) AS value, dim, r.row_rank FROM scored, LATERAL (VALUES {_LONG}) "
+            f"r (row_rank, particular, value)")
 
 
 SQL_SCORECARD_LONG = td.with_adapter(_long_sql(), *_SC_CTES)

@@ -126,7 +126,8 @@ SQL = {
     "hourly_snapshot": td.with_adapter(
         f"SELECT level, entity, {sql_indian('buyers')} AS buyers, {sql_indian('orders')} AS orders, "
         f"{sql_indian('CAST(trunc(gmv) AS BIGINT)')} AS gmv, {sql_indian(_cents_div('gmv', 'orders'))} AS \"AOV\", "
-        f"{sql_indian(_cents_div('gmv', 'buyers'))} AS \"ABS\" FROM snap_blocks", *_SNAP_CTES),
+        f"{sql_indian(_cents_div('gmv', 'buyers'))} AS \"ABS\", "
+        "CASE level WHEN 'overall' THEN 1 WHEN 'bu' THEN 2 WHEN 'bg' THEN 3 ELSE 4 END AS level_rank FROM snap_blocks", *_SNAP_CTES),
     "anti_high_orders": td.with_adapter(
         "SELECT r.* FROM snapshot_csv r WHERE NOT EXISTS (SELECT 1 FROM (SELECT order_id FROM snapshot_csv "
         f"GROUP BY order_id HAVING sum(total_line_amount) > {CFG.snapshot_cap}) h WHERE h.order_id = r.order_id)"),

@@ -144,12 +144,6 @@ def test_grand_total_row_on_empty_input(spark):
     assert (r.level, r.entity, r.orders, r.buyers, r.gmv, r.aov) == ("total", "Grand Total", 0, 0, None, None)
 
 
-def test_global_measures_one_row_on_empty_input(spark):
-    empty = spark.createDataFrame([], "order_id string, buyer_org_id string, gmv decimal(18,2)")
-    rows = levels.global_measures(empty, levels.daily_measures()).collect()
-    assert [tuple(r) for r in rows] == [(0, 0, None, None)]
-
-
 def test_null_category_is_its_own_row(spark):
     df = spark.createDataFrame([("o1", "u1", Decimal("5"), None, "Mario", "R")],
                                "order_id string, buyer_org_id string, gmv decimal(18,2), category string, "
@@ -158,6 +152,31 @@ def test_null_category_is_its_own_row(spark):
     assert ("category", None) in rows and ("total", "Grand Total") in rows
 
 
+def test_stacked_outputs_carry_their_order(spark):
+    df = spark.createDataFrame([("o1", "u1", Decimal("5"), "c", "Mario", "R")],
+                               "order_id string, buyer_org_id string, gmv decimal(18,2), category string, "
+                               "type string, type2 string")
+    out = reports.text_report(reports.daily_report(df), "2020-09-01 20:00:00").orderBy("level_rank", "entity")
+    assert [r.level for r in out.collect()] == ["stamp", "total", "category", "type", "type2"]
+
+
+def test_production_lists_and_category_alias(spark):
+    cfg = C.production(("org1",), C.FulfilmentCodes(("X",), ("Y",)))
+    listing = spark.createDataFrame([("l1", "b", "Cables", "org9"), ("l2", "b", "Latch", "org1"),
+                                     ("l3", "Saffola", "Oil", "org9")],
+                                    "listing_id string, brand string, vertical string, org_id string")
+    cmap = spark.createDataFrame([("Cables", "Acc & CE"), ("Latch", "Home & Kitchen"), ("Oil", "Sugar & Oil")],
+                                 "vertical string, rt_mis_category string")
+    ov = overrides.sku_overrides(listing, cmap, cfg.brand_rule, cfg.allow_rule)
+    t = txn_rows(spark, [dict(order_id=f"o{i}", listing_id=f"l{i}", order_date=D(2020, 9, 2),
+                              order_date_time=(D(2020, 9, 2) - D(1970, 1, 1)).days * 86400000) for i in (1, 2, 3)])
+    got = {(r.order_id, r.category, r.type, r.type2) for r in cat.categorise_period(
+        t, ov, "2020-09-01", "2020-09-07", cfg.period_type, cfg.period_type2, cfg.cap).collect()}
+    assert got == {("o1", "Acc|CE", "Mario", "Electronics"),
+                   ("o2", "Home & Kitchen", "Mario", "GM"), ("o2", "Electrical", "Dont Include:1", "Dont Include:2"),
+                   ("o3", "Sugar & Oil", "Food", "Redundant Aggregate"), ("o3", "FMCG", "Dont Include:1", "Dont Include:2")}
+
+
 def test_text_report_stamp(spark):
     df = spark.createDataFrame([("o1", "u1", Decimal("5.05"), "c", "t", "t2"), ("o2", "u1", Decimal("5.00"), "c", "t", "t2")],
                                "order_id string, buyer_org_id string, gmv decimal(18,2), category string, "
