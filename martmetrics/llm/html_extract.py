@@ -53,7 +53,7 @@ WORDS = frozenset(
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,65536}+"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
@@ -63,8 +63,12 @@ def _unwanted(tag: str, attributes: str, in_extent: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
+    seen = set()
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
+        if name in seen:  # the first of repeated attributes holds
+            continue
+        seen.add(name)
         value = m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True

@@ -332,6 +332,23 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'href="/hidden-gems"', 'title="The Hidden Life"', 'href="/read?id=comments"',
+    'data-id="menu"', "data-role='banner'", 'data-class="sidebar"', "href=/x?class=menu", 'alt="a > b" data-hidden',
+    'aria-hidden="false"', 'title="it\'s hidden" class="lead"', 'class="lead" class="menu"'])
+@pytest.mark.parametrize("tag", ["a", "div"])
+def test_attribute_values_and_longer_names_remove_nothing(tag, attributes):
+    page = f"<article><p>{STORY}</p><{tag} {attributes}>kept words</{tag}><p>End.</p></article>"
+    assert html_extract.main_text(page) == f"{STORY.strip()}\nkept words\nEnd."
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN=''", 'style="x" hidden', 'aria-hidden="true"', "role=navigation", "class = 'x menu'", 'title="a"id="sideBar menu"'])
+def test_unwanted_attributes_remove(attributes):
+    page = f"<article><p>{STORY}</p><div {attributes}>lost words</div><p>End.</p></article>"
+    assert html_extract.main_text(page) == f"{STORY.strip()}\nEnd."
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = html_extract.extract_pages(pages.withColumn("text", F.lit(1))).collect()
