@@ -7,8 +7,11 @@ page. The smallest density on its path to the body is the threshold: other nodes
 above it contribute their own densest subtree. If the core lies in an article or main
 element, that element is the text's extent.
 
-Menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and
-styles are left out of the tree by element, role, class and id before densities are taken.
+Scripts, styles, controls and embedded media are always left out. Menus, page headers,
+footers, sidebars, notices, adverts, forms and comments are left out of the tree by element,
+role, class and id before densities are taken, unless the page's text lies in them: a
+wrapper stays where it holds a main element or (for a form, or where nothing outside is
+marked as the article) an article, or most of the page's text outside links.
 
 Cases: null and empty pages give an empty text, unclosed and stray tags are repaired as
 browsers do for common cases, very long or deeply nested pages need no recursion, pages
@@ -38,6 +41,7 @@ BLOCK = frozenset(
 DROPPED = frozenset(
     "head script style noscript template nav footer aside form button select option optgroup textarea input label "
     "iframe svg math canvas object embed audio video dialog menu map datalist noembed noframes title".split())
+WRAPPERS = frozenset("head nav footer aside form dialog menu".split())
 EXTENT = frozenset(("article", "main"))
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
@@ -51,6 +55,14 @@ WORDS = frozenset(
     "gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related "
     "recommended widget toolbar pagination pager copyright disclaimer".split())
 
+#: Wrappers by these names yield to any marked article, however much text they hold.
+FIRM_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored comment comments reply replies "
+                       "disqus cookie cookies consent gdpr".split())
+#: Names that begin so tell what a layout has or lacks, or what a post is about.
+MODIFIERS = frozenset("has no not with without category tag".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+KEPT, WRAPPER, FIRM, CONTROL = range(4)
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,65536}+"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -58,11 +70,17 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
-def _unwanted(tag: str, attributes: str, in_extent: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not in_extent:
-        return True
+def _unwanted(tag: str, attributes: str, in_extent: bool) -> int:
+    """Whether an element is kept, a wrapper to leave out by its name, or a control."""
+    if tag in DROPPED:
+        if tag not in WRAPPERS:
+            return CONTROL
+        return WRAPPER if tag in ("form", "head") else FIRM
+    if tag == "header" and not in_extent:
+        return FIRM
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return KEPT
+    found = KEPT
     seen = set()
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
@@ -71,14 +89,19 @@ def _unwanted(tag: str, attributes: str, in_extent: bool) -> bool:
         seen.add(name)
         value = m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return FIRM
         if name == "role" and value.lower() in ROLES:
-            return True
+            found = max(found, WRAPPER if value.lower() == "form" else FIRM)
         if name in ("class", "id"):
-            words = set(_SPLIT.split(_CAMEL.sub(r"\1 \2", value).lower()))
-            if words & WORDS or not in_extent and "header" in words:
-                return True
-    return False
+            for label in value.split():
+                words = _SPLIT.split(_CAMEL.sub(r"\1 \2", label).lower())
+                if words[0] in MODIFIERS:
+                    continue
+                if not FIRM_WORDS.isdisjoint(words):
+                    return FIRM
+                if not WORDS.isdisjoint(words) or not in_extent and "header" in words:
+                    found = max(found, WRAPPER)
+    return found
 
 
 class Page:
@@ -87,7 +110,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent = ["body"], [-1]
         self.items: list[list] = [[]]
-        self.unwanted = [False]
+        self.unwanted = [KEPT]
         extent = [False]  # whether the node lies in an article or main element
         open_tags: Counter[str] = Counter()
         stack, at, last = [0], 0, source.rfind(">") + 1
@@ -143,7 +166,7 @@ class Page:
                         break
             if tag in VOID:
                 if tag == "hr":
-                    self._add(tag, stack[-1], False)
+                    self._add(tag, stack[-1], KEPT)
                     extent.append(extent[stack[-1]])
                 continue
             attributes = m[3] if m[2] else m[6]
@@ -158,7 +181,7 @@ class Page:
                 stack.append(node)
                 open_tags[tag] += 1
 
-    def _add(self, tag: str, parent: int, unwanted: bool) -> int:
+    def _add(self, tag: str, parent: int, unwanted: int) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.items.append([])
@@ -166,13 +189,93 @@ class Page:
         self.items[parent].append(len(self.tag) - 1)
         return len(self.tag) - 1
 
+    def _wanted(self) -> list[int]:
+        """Characters of each subtree outside links, headings and what is left out."""
+        out = [0] * len(self.tag)
+        for i in range(len(out) - 1, -1, -1):
+            if self.unwanted[i] == CONTROL:
+                out[i] = 0
+                continue
+            if not self.muted[i]:
+                out[i] += sum(self.own[i])
+            if i and not self.unwanted[i]:
+                out[self.parent[i]] += out[i]
+        return out
+
+    def _articles(self, wanted: list[int]) -> list[int]:
+        """The outermost article and main elements that have text and lie in nothing unwanted."""
+        out, covered = [], [False] * len(self.tag)
+        for i in range(1, len(self.tag)):
+            covered[i] = covered[self.parent[i]] or self.unwanted[i] != KEPT
+            if not covered[i] and self.tag[i] in EXTENT and wanted[i]:
+                out.append(i)
+                covered[i] = True
+        return out
+
+    def _keep_path(self, node: int, seen: set[int]) -> None:
+        while node > 0 and node not in seen:
+            seen.add(node)
+            if self.unwanted[node] != CONTROL:
+                self.unwanted[node] = KEPT
+            node = self.parent[node]
+
+    def _spare(self) -> None:
+        """Keep the unwanted wrappers in which the page's text lies."""
+        n, tag, unwanted = len(self.tag), self.tag, self.unwanted
+        free = [0] * n  # characters outside links
+        in_link, below = [False] * n, [False] * n
+        self.muted = [False] * n
+        for i in range(1, n):
+            p = self.parent[i]
+            in_link[i] = in_link[p] or tag[i] == "a"
+            self.muted[i] = in_link[i] or self.muted[p] or tag[i] in HEADINGS
+            below[i] = below[p] or unwanted[p] == CONTROL
+            if below[i]:
+                unwanted[i] = CONTROL
+        clean = [False] * n  # whether an article lies below, with no wrapper but forms between
+        for i in range(n - 1, -1, -1):
+            if unwanted[i] == CONTROL:
+                continue
+            free[i] += 0 if in_link[i] else sum(self.own[i])
+            if tag[i] in ("form", "head") and clean[i]:
+                unwanted[i] = KEPT
+            if i:
+                free[self.parent[i]] += free[i]
+                if unwanted[i] == KEPT and free[i] and (clean[i] or tag[i] in EXTENT):
+                    clean[self.parent[i]] = True
+        seen: set[int] = set()
+        for i in range(n):
+            if tag[i] == "main" and free[i] and unwanted[i] == KEPT:
+                self._keep_path(i, seen)
+        if not any(unwanted[i] in (WRAPPER, FIRM) for i in range(n)):
+            return
+        wanted = self._wanted()
+        articles = self._articles(wanted)
+        if not articles:
+            inner = [i for i in range(n) if tag[i] == "article" and unwanted[i] == KEPT and free[i] > wanted[0]]
+            if inner:
+                self._keep_path(max(inner, key=lambda i: (free[i], -i)), seen)
+                wanted = self._wanted()
+                articles = self._articles(wanted)
+        most = [i for i in range(1, n) if unwanted[i] in (WRAPPER, FIRM) and 2 * free[i] > free[0]]
+        if most:  # each lies in the one before
+            above, i = set(), most[-1]
+            while i > 0:
+                above.add(i)
+                i = self.parent[i]
+            beside = sum(wanted[i] for i in articles if i not in above)
+            for i in most:
+                if not articles or unwanted[i] == WRAPPER and 10 * beside < free[0]:
+                    unwanted[i] = KEPT
+
     def prune(self) -> None:
-        """Remove unwanted subtrees, but never one that holds the article itself."""
-        holds = [t in EXTENT for t in self.tag]
-        for i in range(len(self.tag) - 1, 0, -1):
-            if holds[i]:
-                holds[self.parent[i]] = True
-        self.gone = [u and (not h or t in DROPPED) for u, h, t in zip(self.unwanted, holds, self.tag, strict=True)]
+        """Remove unwanted subtrees, but not those in which the page's text lies."""
+        self.own = [[] if u == CONTROL else
+                    [k for k in (len(" ".join(html.unescape(x).split())) for x in items if isinstance(x, str)) if k]
+                    for items, u in zip(self.items, self.unwanted, strict=True)]
+        if any(self.unwanted):
+            self._spare()
+        self.gone = [u != KEPT for u in self.unwanted]
         for i in range(1, len(self.tag)):
             if self.gone[self.parent[i]]:
                 self.gone[i] = True
@@ -182,16 +285,11 @@ class Page:
         n = len(self.tag)
         chars, tags = [0] * n, [0] * n
         link_chars, link_tags = [0] * n, [0] * n
-        own: list[list[int]] = [[] for _ in range(n)]
+        own = self.own
         for i in range(n - 1, -1, -1):
             if self.gone[i]:
                 continue
-            for item in self.items[i]:
-                if isinstance(item, str):
-                    size = len(" ".join(html.unescape(item).split()))
-                    if size:
-                        chars[i] += size
-                        own[i].append(size)
+            chars[i] += sum(own[i])
             if self.tag[i] == "a":
                 link_chars[i], link_tags[i] = chars[i], link_tags[i] + 1
             p = self.parent[i]

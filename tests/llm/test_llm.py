@@ -349,6 +349,21 @@ def test_unwanted_attributes_remove(attributes):
     assert html_extract.main_text(page) == f"{STORY.strip()}\nEnd."
 
 
+@pytest.mark.parametrize("page", [
+    "<body><form action=x><input type=hidden>{0}<select><option>no</select></form></body>",
+    "<body><form><nav><a href=1>Home</a></nav><article>{0}</article><button>no</button></form></body>",
+    "<form><div class=menu><a href=1>Home</a></div><div><label>no</label>{0}</div><div class=footer>no</div></form>",
+    "<div class='content has-sidebar'>{0}</div><div class=sidebar>no</div>",
+    "<div class='post no-sidebar'>{0}</div><footer>no</footer>",
+    "<div class='content sidebar'><div class=widget>{0}</div><div class=promo>no</div></div>",
+    "<div class=ad><p>no</p></div><aside><main>{0}</main></aside>",
+    "<div class=sidebar><article>{0}</article></div><div class=comments><p>no</p></div>",
+    "<nav><a href=1>Home</a><div>{0}</div>",
+    "<form><p>no</p></form><article>{0}</article><div class=cookie><p>" + "no cookies please, but " * 90 + "</p></div>"])
+def test_wrappers_that_hold_the_text_stay(page):
+    assert html_extract.main_text(page.format(f"<p>{STORY}</p><p>{STORY}</p>")) == f"{STORY.strip()}\n{STORY.strip()}"
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = html_extract.extract_pages(pages.withColumn("text", F.lit(1))).collect()
