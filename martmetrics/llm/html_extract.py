@@ -4,8 +4,10 @@ Every DOM node gets its characters per tag, adjusted for links (many link charac
 link tags lower it). A node's density sum is the sum of its children's densities (bare
 text between them counts as a child); the node with the largest sum is the core of the
 page. The smallest density on its path to the body is the threshold: other nodes at or
-above it contribute their own densest subtree. If the core lies in an article or main
-element, that element is the text's extent.
+above it contribute their own densest subtree. Where most of the core's text lies in
+article or main elements, the core is sought in them. An article around the core is text as
+a whole (with other articles beside it that reach the threshold); a main element without
+articles that hold most of its text only bounds the search.
 
 Scripts, styles, controls and embedded media are always left out. Menus, page headers,
 footers, sidebars, notices, adverts, forms and comments are left out of the tree by element,
@@ -78,7 +80,7 @@ def _unwanted(tag: str, attributes: str, in_extent: bool) -> int:
         return WRAPPER if tag in ("form", "head") else FIRM
     if tag == "header" and not in_extent:
         return FIRM
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return KEPT
     found = KEPT
     seen = set()
@@ -253,8 +255,13 @@ class Page:
         articles = self._articles(wanted)
         if not articles:
             inner = [i for i in range(n) if tag[i] == "article" and unwanted[i] == KEPT and free[i] > wanted[0]]
-            if inner:
+            if not inner and 10 * wanted[0] < free[0]:  # a page of little but comments
+                inner = [i for i in range(n) if tag[i] == "article" and unwanted[i] != CONTROL and free[i]]
+                for i in inner:
+                    self._keep_path(i, seen)
+            elif inner:
                 self._keep_path(max(inner, key=lambda i: (free[i], -i)), seen)
+            if inner:
                 wanted = self._wanted()
                 articles = self._articles(wanted)
         most = [i for i in range(1, n) if unwanted[i] in (WRAPPER, FIRM) and 2 * free[i] > free[0]]
@@ -322,29 +329,64 @@ class Page:
             if self.parent[i] >= 0:
                 sums[self.parent[i]] += dens[i]
         alive = [i for i in range(n) if not self.gone[i] and chars[i]]
-        top = max(alive, key=lambda i: (sums[i], -i))
-        path = [top]
-        while path[-1]:
-            path.append(self.parent[path[-1]])
-        for i in reversed(path):
-            if self.tag[i] in EXTENT:
-                return {i}
-        # the body itself averages all that surrounds the text: it counts only as the core
-        threshold = min(dens[i] for i in (path[:-1] or path))
         best = list(range(n))  # the node with the largest sum in each subtree
+        marked_up = [0] * n  # characters of the outermost articles and mains below
         for i in reversed(alive):
             p = self.parent[i]
-            if i and sums[best[i]] > sums[best[p]]:
-                best[p] = best[i]
+            if i:
+                if sums[best[i]] >= sums[best[p]] and (sums[best[i]] > sums[best[p]] or best[p] != p):
+                    best[p] = best[i]
+                marked_up[p] += chars[i] if self.tag[i] in EXTENT else marked_up[i]
+
+        def around(i: int) -> int:
+            """The innermost article or main at or above a node, 0 if there is none."""
+            while i and self.tag[i] not in EXTENT:
+                i = self.parent[i]
+            return i
+
+        def outermost(i: int) -> list[int]:
+            """The outermost articles and mains below a node."""
+            out, todo = [], [i]
+            while todo:
+                for k in self.items[todo.pop()]:
+                    if not isinstance(k, str) and not self.gone[k] and chars[k]:
+                        (out if self.tag[k] in EXTENT else todo).append(k)
+            return out
+
+        top = best[0]
+        extent = around(top)
+        while self.tag[extent] != "article" and 2 * marked_up[top] > chars[top]:
+            top = best[max(outermost(top), key=lambda i: (sums[best[i]], -i))]
+            extent = around(top)
+        # an article with articles of its own, such as the entries of a day, is one text
+        i = self.parent[extent]
+        while self.tag[extent] == "article" and (i := around(max(i, 0))) and self.tag[i] == "article":
+            if 2 * chars[extent] <= chars[i]:
+                extent = i
+            i = self.parent[i]
+        path = [top]
+        while path[-1] != extent:
+            path.append(self.parent[path[-1]])
+        # the body itself averages all that surrounds the text: it counts only as the core
+        threshold = min(dens[i] for i in (path if extent else path[:-1] or path))
+        if self.tag[extent] == "article":
+            scope = around(max(self.parent[extent], 0))
+            texts = {extent} | {i for i in outermost(scope) if self.tag[i] == "article" and dens[i] >= threshold
+                                and link_chars[i] <= 0.25 * chars[i]}
+            # a title above them in the same main element belongs to them
+            return texts | {i for i in alive if scope < i < min(texts) and self.tag[i] == "h1" and around(i) == scope > 0}
+        inside = [not extent] * n
         marked = {top}
         for i in alive:
+            inside[i] = inside[i] or i == extent or i > 0 and inside[self.parent[i]]
             links = link_chars[i] / chars[i]
-            if self.tag[i] in BLOCK and i and dens[i] >= threshold and links <= 0.25 and all(
-                    self.parent[i] != m for m in marked):
+            if inside[i] and self.tag[i] in BLOCK and i and i != extent and dens[i] >= threshold and links <= 0.25 and (
+                    self.parent[i] not in marked):
                 marked.add(best[i])
-        # headings beside what is marked belong to it
+        # headings beside what is marked, or in the same main element, belong to it
         parents = {self.parent[m] for m in marked if m}
-        marked |= {i for i in alive if self.tag[i] in ("h1", "h2", "h3", "h4", "h5", "h6") and self.parent[i] in parents}
+        marked |= {i for i in alive if self.tag[i] in HEADINGS and (
+            self.parent[i] in parents or extent and inside[i] and link_chars[i] <= 0.25 * chars[i])}
         return marked
 
     def blocks(self, roots: set[int]) -> list[str]:

@@ -364,6 +364,31 @@ def test_wrappers_that_hold_the_text_stay(page):
     assert html_extract.main_text(page.format(f"<p>{STORY}</p><p>{STORY}</p>")) == f"{STORY.strip()}\n{STORY.strip()}"
 
 
+@pytest.mark.parametrize("page", [
+    "<main>{0}<div>more stories</div></main>",
+    "<main>{0}<div><p>More stories</p><p><a href=1>One</a> <a href=2>Two</a></p></div></main>",
+    "<main>{0}<div id=comments><article class=comment><p>{1}{1}{1}</p></article><article><p>{1}</p></article></div></main>",
+    "<main>{0}<section class=comment-list><article><p>{1}</p></article></section></main>",
+    "{0}<article class='related'><p>{1}</p></article>", "{0}<div>more stories</div>",
+    "<main><div>teasers</div><div>{0}</div><article><h3>Other</h3><p>short</p></article></main>"])
+@pytest.mark.parametrize("article", [
+    "<article><p>{0}</p></article>", "<article class='post has-comments category-ads'><p>{0}</p></article>",
+    "<article><div><p>{0}</p></div><article class=comment><p>{0}{0}</p></article></article>"])
+def test_text_beside_the_article_is_left_out(article, page):
+    assert html_extract.main_text(page.format(article.format(STORY), STORY)) == STORY.strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<article><h2>H</h2><div><p>{0}<p>{0}</div><section><p>Short.</p></section><ul><li>x</ul></article>", "H\n{0}\n{0}\nShort.\nx"),
+    ("<main><article><p>{0}</p></article><article><p>{0}</p></article></main>", "{0}\n{0}"),
+    ("<article><h1>Day</h1><article><p>{0}</p></article><article><p>{0}</p></article></article>", "Day\n{0}\n{0}"),
+    ("<main><h1>H</h1><div><p>{0}</p><p>{0}</p></div><div>more stories</div></main>", "H\n{0}\n{0}"),
+    ("<main><h1>Topic</h1><article class=comment><p>{0}</p></article><article class=comment><p>{0}</p></article></main>",
+     "Topic\n{0}\n{0}")])
+def test_text_of_the_extent_is_whole(page, text):
+    assert html_extract.main_text(page.format(STORY)) == text.format(STORY.strip())
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = html_extract.extract_pages(pages.withColumn("text", F.lit(1))).collect()
