@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -397,6 +398,41 @@ def test_pages(spark):
     html_extract.main_text('<a "' * 50_000)
 
 
+class ArticleText(HTMLParser):
+    """The text of article elements by the standard library's parser, a line per block."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.depth, self.lines = 0, [""]
+        self.feed(page)
+        self.close()
+        self.text = "\n".join(t for line in self.lines if (t := " ".join(line.split())))
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        if tag == "br":
+            self.lines[-1] += " "
+        elif tag not in ("a", "b"):
+            self.lines.append("")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        if tag not in ("a", "b"):
+            self.lines.append("")
+
+    def handle_data(self, data):
+        if self.depth:
+            self.lines[-1] += data
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_pages_give_their_article(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    want = {r["page_id"]: (r["url"], ArticleText(r["html"]).text) for r in pages.collect()}
+    got = {r["page_id"]: (r["url"], r["text"]) for r in html_extract.extract_pages(pages).collect()}
+    assert got == want and len(want) == pages.count()
+
+
 # -- conversations ----------------------------------------------------------------------
 
 def test_snapshots(spark):
