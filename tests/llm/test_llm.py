@@ -181,6 +181,35 @@ def test_packing_round_trip(spark, odd):
     assert packing.pack_documents(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("max_loss", [1, 50, 400])
+def test_packing_limits_loss_tokens(spark, odd, max_loss):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.default_tokenizer_path())
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").withColumn(
+        "answer", F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, -3).otherwise(F.col("doc_id") % 5 * 37))
+    answer = {r["doc_id"]: r["answer"] for r in docs.collect()}
+    by, bins = {}, {}
+    for r in packing.pack_documents(docs, loss_col="answer", max_loss=max_loss).collect():
+        by.setdefault(r["doc_id"], []).append(r)
+        bins.setdefault(r["sequence_id"], []).append(r)
+    for i, t in texts_of(docs):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        bears = np.arange(len(ids)) >= (0 if answer[i] is None else len(ids) - max(answer[i], 0))
+        at = 0
+        for r in sorted(by.pop(i), key=lambda r: r["start"]):
+            end = at + r["length"]
+            assert (r["start"], r["ids_crc32"]) == (at, zlib.crc32(ids[at:end].tobytes()))
+            assert r["loss_tokens"] == bears[at + 1:end].sum()
+            at = end
+        assert at == len(ids)
+    assert not by
+    for g in bins.values():
+        assert sum(r["length"] for r in g) <= 2048 and len(g) <= packing.MAX_SEGMENTS
+        assert sum(r["loss_tokens"] for r in g) <= max_loss
+    with pytest.raises(ValueError):
+        packing.pack_documents(docs, max_loss=0)
+
+
 def test_plain_characters_encode_alike():
     tok = packing.PieceTokenizer(packing.default_tokenizer_path())
     chars = [c for c in map(chr, range(0x3000)) if not packing._PLAIN.search(c)]
