@@ -8,7 +8,9 @@ wins; the score is its share after a softmax over the languages.
 The model is fitted on a bounded sample of the labelled training fold (about
 ``train_docs`` documents of each language, chosen by a hash of the id) and keeps at most
 ``max_words`` words and ``max_grams`` n-grams of each length, so its size has a bound that
-does not grow with the input. The sample's counts are aggregated by Spark.
+does not grow with the input. The languages take turns to choose them, each by its own
+counts, so one with few documents gets as many as the others, or all that it has. The
+sample's counts are aggregated by Spark.
 
 Cases: ``und`` with score 0 for a null text, a text without letters, or when nothing could
 be learned; a text with letters of which no n-gram is known gets the most frequent
@@ -186,9 +188,11 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WO
 
     counts = (sample.mapInArrow(count, "kind int, h bigint, lang string, c bigint")
               .groupBy("kind", "h", "lang").agg(F.sum("c").alias("c"))
-              .groupBy("kind", "h").agg(F.sum("c").alias("total"), F.collect_list(F.struct("lang", "c")).alias("by")))
+              .withColumn("turn", F.row_number().over(Window.partitionBy("kind", "lang").orderBy(F.desc("c"), "h")))
+              .groupBy("kind", "h").agg(F.min("turn").alias("turn"), F.sum("c").alias("total"),
+                                        F.collect_list(F.struct("lang", "c")).alias("by")))
     # the sample is bounded, so are these six partitions
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("total"), "h"))
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("turn", F.desc("total"), "h"))
     limit = F.when(F.col("kind") == 0, max_words).otherwise(max_grams)
     kept = (counts.withColumn("r", rank).filter(F.col("r") <= limit)
             .select("kind", "h", F.explode("by").alias("x")).select("kind", "h", "x.lang", "x.c").toArrow())

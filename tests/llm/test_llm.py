@@ -247,6 +247,23 @@ def test_language(spark, odd):
     assert langid.identify(odd.limit(0), model).count() == 0
 
 
+def test_small_language_keeps_its_words(spark):
+    rng = random.Random(4)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(6))
+
+    words = {"big": [word("abcdefgh") for _ in range(400)], "large": [word("ijklmnop") for _ in range(400)],
+             "small": [word("qrstuvwx") for _ in range(30)]}
+    rows = [(lang, " ".join(rng.choice(words[lang]) for _ in range(40))) for lang, n in (("big", 600), ("large", 600), ("small", 15))
+            for _ in range(n)]
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id bigint, lang string, text string")
+    model = langid.train(docs, max_words=90, max_grams=90)
+    known = {lang: int((model._look(0, langid._words(w)[3]) >= 0).sum()) for lang, w in words.items()}
+    assert known == {"big": 30, "large": 30, "small": 30}
+    assert all(len(keys) <= 90 for keys, _ in model.tables.values())
+
+
 def test_unseen_words_back_off():
     model = langid.Model(["a", "b"], {1: (np.sort(textkit.mix(textkit.values_of(np.array([120], np.uint32)) ^ np.uint64(1))),
                                           np.array([[-5.0, -1.0]], np.float32))})
