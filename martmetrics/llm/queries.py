@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, quality, sharding, topk
+from . import (centroids, chat, exact_dedup, html_extract, jaccard, langid, minhash, mixing, packing, quality, sharding,
+               spelling, topk)
 from .common import held_out, table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -165,3 +166,52 @@ def op6_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op7_rare_first_jaccard")
 def op7_rare_first_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register("op11_minhash_near_dedup")
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register("op12_bit_sliced_spelling")
+def op12_bit_sliced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def _centroid_sql(rounds: int = 5, clusters: int = 40) -> str:
+    """The rounds written out: assign to c0, move to c1, and so on."""
+    steps = [f"""
+v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS cluster, q FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id), q) <= {clusters}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (
+  SELECT v.vec_id, v.q, c.cluster, list_dot_product(v.q, v.q) - 2 * list_dot_product(v.q, c.q) + list_dot_product(c.q, c.q) AS distance
+  FROM v, c{r} c
+), a{r} AS (
+  SELECT vec_id, q, cluster, distance FROM d{r}
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT cluster, i, floor(sum(x) / count(*)) AS x
+  FROM (SELECT cluster, generate_subscripts(q, 1) AS i, unnest(q) AS x FROM a{r}) GROUP BY cluster, i
+), c{r + 1} AS (
+  SELECT c.cluster, coalesce(m.q, c.q) AS q
+  FROM c{r} c LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS q FROM m{r} GROUP BY cluster) m ON c.cluster = m.cluster
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.distance::BIGINT AS distance,
+       sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia, sum(a.distance) OVER ()::BIGINT AS inertia,
+       sha256(list_aggregate(list_transform(c.q, lambda x: x::BIGINT::VARCHAR), 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
+@_register("op13_simplex_centroids", _centroid_sql())
+def op13_simplex_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
