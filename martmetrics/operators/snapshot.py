@@ -21,12 +21,13 @@ LEVEL_ORDER = ("overall", "bu", "bg", "category")
 
 
 def read_export(spark, path: str, id_type=None) -> DataFrame:
-    """The snapshot job's CSV export (header row, fixed schema — no inference pass)."""
+    """The rows of the snapshot job's CSV export, its columns found by the header's names
+    (``sources.exports`` has the lines that do not parse as well)."""
     from pyspark.sql import types as T
 
     from .. import schemas
-    from ..sources.files import read_csv
-    return read_csv(spark, path, schemas.snapshot_csv(id_type or T.StringType()))
+    from ..sources import exports
+    return exports.read_export(spark, path, schemas.snapshot_csv(id_type or T.StringType())).rows
 
 
 def latest_day(df: DataFrame, col: str = "order_date") -> DataFrame:

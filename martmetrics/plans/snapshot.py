@@ -10,7 +10,7 @@ from ..functions.scalars import fill_blank, format_indian
 from ..operators import categorise as cat
 from ..operators import overrides as ov
 from ..operators import snapshot as sn
-from ..sources import files
+from ..sources import exports, files
 from ..sources import testdata as td
 from . import ladders
 from .params import CFG
@@ -79,6 +79,30 @@ def q_scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, files.SNAPSHOT_CSV_SCHEMA)
 
 
+def _mixed_exports(spark: SparkSession, sf: str) -> exports.Export:
+    """The export as two systems would write it: even orders in the usual column order with a
+    column more, odd ones in another order and unquoted. Some amounts are no numbers, some have
+    an unquoted thousands separator."""
+    t = _raw(spark, sf)
+    names = t.columns
+    amount, odd = F.col("total_line_amount").cast("string"), F.col("order_id") % 2 == 1
+    first = t.filter(~odd).withColumn("total_line_amount", F.when(F.col("order_id") % 7 == 0, F.lit("n/a")).otherwise(amount))
+    second = t.filter(odd).withColumn(
+        "total_line_amount", F.when(F.col("order_id") % 21 == 0, F.concat(F.lit("1,"), amount)).otherwise(amount))
+    path = files.scratch_path(spark, "exports")
+    first.select(*names[:3], F.lit("x, y").alias("note"), *names[3:]).write.option("header", True).csv(f"{path}/a")
+    second.select(*reversed(names)).write.option("header", True).option("quote", "").csv(f"{path}/b")
+    return exports.read_export(spark, path, files.SNAPSHOT_CSV_SCHEMA)
+
+
+def q_csv_by_header(spark: SparkSession, sf: str) -> DataFrame:
+    return _mixed_exports(spark, sf).rows
+
+
+def q_csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return _mixed_exports(spark, sf).bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # ---------------------------------------------------------------------------
 # Oracle SQL
 # ---------------------------------------------------------------------------
@@ -150,6 +174,11 @@ SQL = {
         "SELECT t.order_id, t.listing_id, t.category, coalesce(m.business_unit, 'Blank') AS business_unit "
         "FROM txn t LEFT JOIN custom_mapping m ON t.category = m.category"),
     "scan_csv_roundtrip": td.with_adapter("SELECT * FROM snapshot_csv"),
+    "csv_by_header": td.with_adapter(
+        "SELECT * FROM snapshot_csv WHERE CASE WHEN order_id % 2 = 0 THEN order_id % 7 <> 0 ELSE order_id % 21 <> 0 END"),
+    "csv_bad_lines": td.with_adapter(
+        "SELECT CASE WHEN order_id % 2 = 0 THEN 'not of its type: total_line_amount' ELSE 'number of cells' END AS reason, "
+        "count(*) AS lines FROM snapshot_csv WHERE order_id % 14 = 0 OR order_id % 42 = 21 GROUP BY 1"),
 }
 
 QUERIES = {
@@ -164,4 +193,6 @@ QUERIES = {
     "format_indian": (q_format_indian, SQL["format_indian"]),
     "fill_blank": (q_fill_blank, SQL["fill_blank"]),
     "scan_csv_roundtrip": (q_scan_csv_roundtrip, SQL["scan_csv_roundtrip"]),
+    "csv_by_header": (q_csv_by_header, SQL["csv_by_header"]),
+    "csv_bad_lines": (q_csv_bad_lines, SQL["csv_bad_lines"]),
 }
