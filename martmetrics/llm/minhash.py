@@ -9,21 +9,24 @@ copies meet once. A class enters ``HASHES / ROWS`` bands, each keyed by the hash
 these hang on many pairs).
 
 Candidates are verified twice: by the share of equal minima (at least s - 0.15, which
-with 240 functions refuses about one true pair in 10**9), then by the full sets,
-read again from the texts of the documents concerned. Only confirmed links count.
-
-Pairs of a band are never all listed. In two star rounds each member meets one pivot of its
-band, and links confirmed so far are joined to components by alternating large-star and
-small-star steps. In the last round the bands whose members are still in several components
-are compared whole, across components: pairs by a join in bands of few members; in the
-others blocks of at most ``BLOCK`` members meet block by block inside tasks, which return
-the pairs that pass the signature test.
+with 240 functions refuses about one true pair in 10**9), then by the full sets, read
+again from the texts of the documents concerned. Only confirmed links count.
+
+Pairs of a band are never all listed. First every member meets one pivot of its band, the
+member that shares the most bands with others (of an original and its noisy copies, the
+original). Links confirmed so far become components by alternating large-star and
+small-star. Then the bands whose members are still in several components are compared
+whole, across components and each pair in the first band it shares: bands of few members
+as one block inside a task, which returns the pairs that pass the signature test; the
+others in blocks of about ``BLOCK`` members, block by block. A pair of blocks in which
+candidates are left is one row with their places; the sets of the members named there are
+joined once a block pair, and only links that join components come out.
 
 Cases: null and empty texts and texts of white space have an empty set and are linked with
 nothing; with fewer than ``words`` words the whole sequence is the one shingle; repeated
-rows are equal sets (one id is one node); a row without an id is counted but not linked (its
-component is null, and it is kept); an empty table gives an empty result; other columns are
-ignored.
+rows are equal sets; an id with several texts is one node with the links of all of them; a
+row without an id is counted but not linked (its component is null, and it is kept); an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage_table
-from .components import components, grow_components
 from .jaccard import shingle_hashes
+from .stars import star_components
 from .textkit import mix, small_batches
 
 WORDS = 5
@@ -47,9 +50,9 @@ ROWS = 6
 #: Bytes of text hashed at a time, and shingles that meet all functions at a time.
 CHUNK_BYTES = 1_500_000
 _AT_ONCE = 256
-#: Members of a band up to which the last round joins pairs, and the block size beyond.
+#: Members of a band up to which a task returns pairs, and the usual block size beyond.
 FEW = 32
-BLOCK = 512
+BLOCK = 256
 #: Ids up to which the documents to read again are picked by a broadcast (8 bytes each).
 PICKED = 250_000
 #: How far the share of equal minima may lie below the similarity.
@@ -132,30 +135,30 @@ def _reader(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _texts(batches):
             sets = _sets(texts, words)
-            digests = [np.array([mix(s ^ _U(salt)).sum(dtype=_U) for s in sets], dtype=_U).view(np.int64)
-                       for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, digests),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["rep", "n", "d1", "d2", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
+                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                                             names=["rep", "members"])
 
     return run
 
 
-def _bander(hashes: int, rows: int):
-    """(rep, n, band) for every band of a class; the band's number is part of the hash."""
-    bands = hashes // rows
-    salt = mix(np.arange(1, bands + 1, dtype=_U) * _U(0x9FB21C651E98DF25))
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """The band hashes of signatures, one row each; a band's number is part of its hash."""
+    bands = sig.shape[1] // rows
+    part = sig[:, :bands * rows].reshape(-1, bands, rows).astype(_U)
+    key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=_U) * _U(0x9FB21C651E98DF25)), part.shape[:2]).copy()
+    for k in range(rows):
+        key = mix(key * _U(0x9E3779B97F4A7C15) + part[:, :, k])
+    return key
 
+
+def _bander(hashes: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(-1, hashes)
-            part = sig[:, :bands * rows].reshape(-1, bands, rows).astype(_U)
-            key = np.broadcast_to(salt, part.shape[:2]).copy()
-            for k in range(rows):
-                key = mix(key * _U(0x9E3779B97F4A7C15) + part[:, :, k])
+            key = band_keys(np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(-1, hashes), rows)
+            bands = key.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(batch.column(0).to_numpy(), bands)), pa.array(np.repeat(batch.column(1).to_numpy(), bands)),
                  pa.array(key.ravel().view(np.int64))], names=["rep", "n", "band"])
@@ -176,47 +179,112 @@ def _equal_minima(least: int):
     return run
 
 
-def _packed_block(hashes: int):
-    """The rows of one block (at most ``BLOCK``) as four arrays."""
-    def run(group: pa.Table) -> pa.Table:
-        return pa.table({
-            "band": group.column("band")[:1], "block": group.column("block")[:1],
-            "reps": pa.array([group.column("rep").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "ns": pa.array([group.column("n").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "comps": pa.array([group.column("comp").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "sigs": pa.array([b"".join(group.column("sig").to_pylist())], pa.binary())})
+class _Block:
+    """One side of a comparison: the members of a block of one band."""
+
+    def __init__(self, members: list[dict], hashes: int, rows: int):
+        self.rep, self.n, self.comp = (np.array([m[c] for m in members], np.int64) for c in ("rep", "n", "comp"))
+        self.sig = np.frombuffer(b"".join(m["sig"] for m in members), "<u2").reshape(-1, hashes)
+        self.keys = band_keys(self.sig, rows).view(np.int64)
+
+
+def _candidates(x: _Block, y: _Block, band: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs across components that share no earlier band and pass length and signature."""
+    small, large = np.minimum(x.n[:, None], y.n[None, :]), np.maximum(x.n[:, None], y.n[None, :])
+    may = (small * 100 >= large * percent) & (x.comp[:, None] != y.comp[None, :])
+    if x is y:
+        may &= x.rep[:, None] < x.rep[None, :]
+    place = int(np.flatnonzero(x.keys[0] == band)[0])
+    i, j = np.nonzero(may)
+    found = []
+    for at in range(0, len(i), 16384):
+        p, q = i[at:at + 16384], j[at:at + 16384]
+        ok = ((x.keys[p, :place] != y.keys[q, :place]).all(1)) if place else np.ones(len(p), bool)
+        p, q = p[ok], q[ok]
+        ok = (x.sig[p] == y.sig[q]).sum(1) >= least
+        found.append((p[ok], q[ok]))
+    if not found:
+        return i, j
+    return np.concatenate([p for p, _ in found]), np.concatenate([q for _, q in found])
+
+
+def _band_pairs(hashes: int, rows: int, least: int, percent: int):
+    """For whole bands: the candidate pairs (at most FEW members, so a bounded number a band)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for k in range(batch.num_rows):
+                block = _Block(batch.column(1)[k].as_py(), hashes, rows)
+                p, q = _candidates(block, block, batch.column(0)[k].as_py(), least, percent)
+                a.append(block.rep[p])
+                b.append(block.rep[q])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return run
 
 
-def _block_pairs(hashes: int, least: int, percent: int):
-    """Pairs across components of two blocks (or within one) that pass length and signature."""
+def _block_pairs(hashes: int, rows: int, least: int, percent: int):
+    """For pairs of blocks with candidates: the members concerned, and each pair's places among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(whole.num_rows):
-                row = {c: whole.column(c)[k].as_py() for c in whole.schema.names}
-                (ra, na, ca), (rb, nb, cb) = ([np.frombuffer(row[f"{c}_{s}"], "<i8") for c in ("reps", "ns", "comps")]
-                                              for s in "xy")
-                x, y = (np.frombuffer(row[f"sigs_{s}"], "<u2").reshape(-1, hashes) for s in "xy")
-                may = ((np.minimum(na[:, None], nb[None, :]) * 100 >= np.maximum(na[:, None], nb[None, :]) * percent)
-                       & (ca[:, None] != cb[None, :]))
-                if row["x"] == row["y"]:
-                    may &= ra[:, None] < rb[None, :]
-                i, j = np.nonzero(may)
-                for at in range(0, len(i), 65536):
-                    p, q = i[at:at + 65536], j[at:at + 65536]
-                    ok = (x[p] == y[q]).sum(1) >= least
-                    if ok.any():
-                        u, v = ra[p[ok]], rb[q[ok]]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
-                                                         names=["a", "b"])
+        for batch in batches:
+            out = []
+            for k in range(batch.num_rows):
+                band, i, j = (batch.column(c)[k].as_py() for c in ("band", "x", "y"))
+                x = _Block(batch.column("xs")[k].as_py(), hashes, rows)
+                y = x if i == j else _Block(batch.column("ys")[k].as_py(), hashes, rows)
+                p, q = _candidates(x, y, band, least, percent)
+                if not len(p):
+                    continue
+                reps, at = np.unique(np.concatenate((x.rep[p], y.rep[q])), return_inverse=True)
+                comps = dict(zip(np.concatenate((x.rep, y.rep)).tolist(), np.concatenate((x.comp, y.comp)).tolist(), strict=True))
+                out.append((f"{band}:{i}:{j}", reps.tolist(), [comps[r] for r in reps.tolist()],
+                            at.astype("<u2").tobytes()))
+            if out:
+                names, reps, comps, places = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array(reps, pa.list_(pa.int64())), pa.array(comps, pa.list_(pa.int64())),
+                     pa.array(places, pa.binary())], names=["pair", "reps", "comps", "places"])
 
     return run
 
 
-def _alike(x: str, y: str, percent: int) -> Column:
-    """Length filter."""
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """The exact test on two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return both * (100 + percent) >= (len(x) + len(y)) * percent
+
+
+def _joining_links(percent: int):
+    """Of the candidates of one pair of blocks, confirmed links that join components."""
+    def run(group: pa.Table) -> pa.Table:
+        where = {}
+        for k, r in enumerate(group.column("rep").to_pylist()):
+            where.setdefault(r, []).append(k)  # an id with several texts has several sets
+        sets = [np.asarray(x.values) if x.is_valid else np.zeros(0, np.int64) for x in group.column("members")]
+        reps, comps = group.column("reps")[0].as_py(), group.column("comps")[0].as_py()
+        places = np.frombuffer(group.column("places")[0].as_py(), "<u2").reshape(2, -1)
+        root: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            while root.setdefault(v, v) != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        out = []
+        for i, j in places.T.tolist():
+            a, b = find(comps[i]), find(comps[j])
+            if a != b and any(_linked(sets[s], sets[t], percent) for s in where.get(reps[i], ()) for t in where.get(reps[j], ())):
+                root[a] = b
+                out.append((reps[i], reps[j]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
 
 
 def link_components(docs: DataFrame, signed: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES,
@@ -230,9 +298,6 @@ def link_components(docs: DataFrame, signed: DataFrame, words: int = WORDS, perc
     may = signed.filter("sig IS NOT NULL")
     classes = stage_table(may.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                  F.first("sig").alias("sig")), "minhash-classes")
-    bands = classes.select("rep", "n", "sig").mapInArrow(_bander(hashes, rows), "rep bigint, n bigint, band bigint")
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    bands = stage_table(bands.join(shared, "band"), "minhash-bands")
     sigs = classes.select("rep", "n", "sig")
     match = [F.col(c) == F.col(f"_{c}") for c in same]
     member = stage_table(
@@ -242,82 +307,67 @@ def link_components(docs: DataFrame, signed: DataFrame, words: int = WORDS, perc
     # an id with several texts joins their classes
     several = member.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi")
     joined = member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found: dict[str, DataFrame | None] = {"comp": None, "checked": None, "sets": None}
-
-    def test(pairs: DataFrame) -> DataFrame:
-        """Pairs not met before that pass the signature test, as a written table."""
-        if found["checked"] is not None:
-            pairs = pairs.join(found["checked"], ["a", "b"], "left_anti")
-        x = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-        y = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(_equal_minima(least), "a bigint, b bigint")
-
-    def confirm(passed: DataFrame) -> None:
-        """Links among the pairs, by the full sets, and the components with them."""
-        passed = stage_table(passed, "minhash-passed")
-        found["checked"] = passed if found["checked"] is None else found["checked"].unionByName(passed)
-        need = passed.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        if found["sets"] is not None:
-            need = need.join(found["sets"].select("rep").distinct(), "rep", "left_anti")
-        need = stage_table(need, "minhash-needed")
+
+    bands = sigs.mapInArrow(_bander(hashes, rows), "rep bigint, n bigint, band bigint")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    bands = stage_table(bands.join(shared, "band"), "minhash-bands")
+
+    def read_sets(need: DataFrame) -> DataFrame:
+        """(rep, members): the full sets of the needed ids, from their texts."""
+        need = stage_table(need.distinct(), "minhash-needed")
         few = need.count() <= PICKED
         picked = docs.join(F.broadcast(need) if few else need, docs["doc_id"] == need["rep"], "left_semi")
-        # an id with several texts is read once for each; the classes tell which set is meant
-        sets = stage_table(
-            picked.mapInArrow(_reader(words), "rep bigint, n bigint, d1 bigint, d2 bigint, members array<bigint>")
-            .dropDuplicates(["rep", *same]).join(classes.select("rep", *same), ["rep", *same], "left_semi")
-            .select("rep", "n", "d1", "d2", "members"), "minhash-sets")
-        found["sets"] = sets if found["sets"] is None else found["sets"].unionByName(sets)
-        x = found["sets"].select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("members").alias("x"))
-        y = found["sets"].select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("members").alias("y"))
+        return stage_table(picked.mapInArrow(_reader(words), "rep bigint, members array<bigint>"), "minhash-sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The links among pairs that passed the signature test, by their full sets."""
+        passed = stage_table(pairs, "minhash-passed")
+        sets = read_sets(passed.select(F.explode(F.array("a", "b")).alias("rep")))
+        x = sets.select(F.col("rep").alias("a"), F.col("members").alias("x"))
+        y = sets.select(F.col("rep").alias("b"), F.col("members").alias("y"))
         both = F.size(F.array_intersect("x", "y")).cast("bigint")
-        links = stage_table(
-            passed.join(x, "a").join(y, "b").withColumn("both", both)
-            .filter(F.col("both") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b"),
-            "minhash-links")
-        found["comp"] = (stage_table(components(links.unionByName(joined)), "minhash-components") if found["comp"] is None
-                         else grow_components(found["comp"], links))
-
-    def star(t: DataFrame, salt: int) -> DataFrame:
-        """Every member of a band with the band's pivot, once over all bands."""
-        h = F.xxhash64("rep", F.lit(salt))
-        own = [c for c in ("comp",) if c in t.columns]
-        pivots = t.groupBy("band").agg(F.min(F.struct(h.alias("h"), "rep", "n", *own)).alias("p"))
-        met = t.join(pivots, "band").filter((F.col("rep") != F.col("p.rep")) & _alike("n", "p.n", percent))
-        for c in own:
-            met = met.filter(F.col(c) != F.col(f"p.{c}"))
-        return met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
-
-    def apart() -> DataFrame:
-        """The bands whose members lie in several components."""
-        comp = found["comp"].select(F.col("node").alias("rep"), "component")
-        t = bands.join(comp, "rep", "left").select("band", "rep", "n", "m", F.coalesce("component", "rep").alias("comp"))
-        split = t.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        return stage_table(t.join(split.select("band"), "band", "left_semi"), "minhash-open")
-
-    confirm(test(star(bands, 1)))
-    confirm(test(star(apart(), 2)))
-    still = apart()
-    few = still.filter(F.col("m") <= FEW)
-    other = few.select("band", F.col("rep").alias("o_rep"), F.col("n").alias("o_n"), F.col("comp").alias("o_comp"))
-    pairs = (few.join(other, "band").filter((F.col("rep") < F.col("o_rep")) & (F.col("comp") != F.col("o_comp"))
-                                           & _alike("n", "o_n", percent))
-             .select(F.col("rep").alias("a"), F.col("o_rep").alias("b")).distinct())
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK / 2.0)).cast("int")  # blocks of half the size on average
-    many = (still.filter(F.col("m") > FEW).withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")))
+        return (passed.join(x, "a").join(y, "b").withColumn("both", both)
+                .filter(F.col("both") * (100 + percent) >= (F.size("x") + F.size("y")) * percent).select("a", "b"))
+
+    # every member with its band's pivot
+    crowd = bands.groupBy("rep").agg(F.sum("m").alias("crowd"))
+    ranked = bands.join(crowd, "rep")
+    h = F.xxhash64("rep")
+    pivots = ranked.groupBy("band").agg(F.min(F.struct((-F.col("crowd")).alias("c"), h.alias("h"), "rep", "n")).alias("p"))
+    met = (bands.join(pivots.select("band", F.col("p.rep").alias("p_rep"), F.col("p.n").alias("p_n")), "band")
+           .filter((F.col("rep") != F.col("p_rep")) & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent))
+           .select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct())
+    tested = (met.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
+              .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
+              .mapInArrow(_equal_minima(least), "a bigint, b bigint"))
+    links = stage_table(confirmed(tested).unionByName(joined), "minhash-links")
+    comp = stage_table(star_components(links), "minhash-components")
+
+    # the bands whose members lie in several components
+    t = bands.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "band", "rep", "n", "m", F.coalesce("component", "rep").alias("comp"))
+    split = t.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    blocks = F.when(F.col("m") <= FEW, 1).otherwise(F.ceil(F.col("m") / F.lit(float(BLOCK)))).cast("int")
+    still = (t.join(split.select("band"), "band", "left_semi").withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")))
     packed = stage_table(
-        many.join(sigs.select("rep", "sig"), "rep").select("band", "block", "rep", "n", "comp", "sig")
-        .groupBy("band", "block").applyInArrow(
-            _packed_block(hashes), "band bigint, block int, reps binary, ns binary, comps binary, sigs binary"),
+        still.join(sigs.select("rep", "sig"), "rep").groupBy("band", "block").agg(
+            F.max("m").alias("m"), F.collect_list(F.struct("rep", "n", "comp", "sig")).alias("members")),
         "minhash-blocks")
-    named = ["reps", "ns", "comps", "sigs"]
-    left = packed.select("band", F.col("block").alias("x"), *[F.col(c).alias(f"{c}_x") for c in named])
-    right = packed.select("band", F.col("block").alias("y"), *[F.col(c).alias(f"{c}_y") for c in named])
-    dense = (left.join(right, "band").filter("x <= y")
-             .mapInArrow(_block_pairs(hashes, least, percent), "a bigint, b bigint").distinct())
-    confirm(test(pairs).unionByName(dense.join(found["checked"], ["a", "b"], "left_anti")).distinct())
-    comp = found["comp"]
+    few = packed.filter(F.col("m") <= FEW).select("band", "members").mapInArrow(
+        _band_pairs(hashes, rows, least, percent), "a bigint, b bigint")
+    many = packed.filter(F.col("m") > FEW)
+    dense = stage_table(
+        many.select("band", F.col("block").alias("x"), F.col("members").alias("xs"))
+        .join(many.select("band", F.col("block").alias("y"), F.col("members").alias("ys")), "band").filter("x <= y")
+        .mapInArrow(_block_pairs(hashes, rows, least, percent),
+                    "pair string, reps array<bigint>, comps array<bigint>, places binary"), "minhash-dense")
+    sets = read_sets(dense.select(F.explode("reps").alias("rep")))
+    from_blocks = (dense.withColumn("rep", F.explode("reps")).join(sets, "rep").groupBy("pair")
+                   .applyInArrow(_joining_links(percent), "a bigint, b bigint"))
+    more = stage_table(confirmed(few).unionByName(from_blocks), "minhash-links")
+    if not more.isEmpty():
+        comp = stage_table(star_components(links.unionByName(more)), "minhash-components")
     return (member.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
             .filter((F.col("copies") > 1) | F.col("component").isNotNull())
             .select("doc_id", F.coalesce("component", "rep").alias("component_id")))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martmetrics.llm import centroids, minhash, spelling
+from martmetrics.llm import centroids, minhash, spelling, stars
 from martmetrics.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,27 @@ def test_large_bands_meet_block_by_block(spark, monkeypatch):
     assert 10 < len({r[2] for r in want}) < len(rows) - 10
 
 
+@pytest.mark.parametrize("held", [4, stars.EDGES])
+def test_star_components_equal_a_search(spark, monkeypatch, held):
+    monkeypatch.setattr(stars, "EDGES", held)
+    rng = random.Random(8)
+    edges = ([(k, k + 1) for k in range(100, 130)] + [(7, 7), (9, 3)]
+             + [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(40)])
+    root = {v: v for e in edges for v in e if e[0] != e[1]}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    got = stars.star_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(6))
+    assert sorted(map(tuple, got.collect())) == sorted((v, find(v)) for v in root)
+    assert stars.star_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def test_minima_agree_as_often_as_the_sets():
     a, b = minhash.hash_functions(240)
     rng = np.random.default_rng(1)
