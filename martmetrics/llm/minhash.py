@@ -182,9 +182,9 @@ def _equal_minima(least: int):
 class _Block:
     """One side of a comparison: the members of a block of one band."""
 
-    def __init__(self, members: list[dict], hashes: int, rows: int):
-        self.rep, self.n, self.comp = (np.array([m[c] for m in members], np.int64) for c in ("rep", "n", "comp"))
-        self.sig = np.frombuffer(b"".join(m["sig"] for m in members), "<u2").reshape(-1, hashes)
+    def __init__(self, members: list[tuple[int, int, int, bytes]], hashes: int, rows: int):
+        self.rep, self.n, self.comp = (np.array([m[c] for m in members], np.int64) for c in range(3))
+        self.sig = np.frombuffer(b"".join(m[3] for m in members), "<u2").reshape(-1, hashes)
         self.keys = band_keys(self.sig, rows).view(np.int64)
 
 
@@ -208,43 +208,50 @@ def _candidates(x: _Block, y: _Block, band: int, least: int, percent: int) -> tu
     return np.concatenate([p for p, _ in found]), np.concatenate([q for _, q in found])
 
 
-def _band_pairs(hashes: int, rows: int, least: int, percent: int):
-    """For whole bands: the candidate pairs (at most FEW members, so a bounded number a band)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for k in range(batch.num_rows):
-                block = _Block(batch.column(1)[k].as_py(), hashes, rows)
-                p, q = _candidates(block, block, batch.column(0)[k].as_py(), least, percent)
-                a.append(block.rep[p])
-                b.append(block.rep[q])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+_FOUND = "pair string, a array<bigint>, b array<bigint>, reps array<bigint>, comps array<bigint>, places binary"
+_FOUND_TYPES = (pa.string(), *[pa.list_(pa.int64())] * 4, pa.binary())
 
-    return run
 
-
-def _block_pairs(hashes: int, rows: int, least: int, percent: int):
-    """For pairs of blocks with candidates: the members concerned, and each pair's places among them."""
+def _compare(hashes: int, rows: int, least: int, percent: int, few: int):
+    """For rows sorted by pair of blocks: its candidates. A whole band of at most ``few``
+    members gives them as pairs (a, b); other pairs of blocks give the members concerned,
+    their components, and the places of both ends of every candidate among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sides, m, out = None, ([], []), 0, []
+
+        def settle() -> None:
+            x = _Block(sides[0], hashes, rows)
+            y = _Block(sides[1], hashes, rows) if sides[1] else x
+            p, q = _candidates(x, y, now[0], least, percent)
+            if not len(p):
+                return
+            pair = ":".join(map(str, now))
+            if m <= few:
+                out.append((pair, x.rep[p].tolist(), y.rep[q].tolist(), None, None, None))
+                return
+            reps, at = np.unique(np.concatenate((x.rep[p], y.rep[q])), return_inverse=True)
+            comps = dict(zip(np.concatenate((x.rep, y.rep)).tolist(), np.concatenate((x.comp, y.comp)).tolist(), strict=True))
+            out.append((pair, None, None, reps.tolist(), [comps[r] for r in reps.tolist()], at.astype("<u2").tobytes()))
+
+        def flush() -> pa.RecordBatch:
+            rows_out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _FOUND_TYPES, strict=True)],
+                                                  names=["pair", "a", "b", "reps", "comps", "places"])
+            out.clear()
+            return rows_out
+
         for batch in batches:
-            out = []
-            for k in range(batch.num_rows):
-                band, i, j = (batch.column(c)[k].as_py() for c in ("band", "x", "y"))
-                x = _Block(batch.column("xs")[k].as_py(), hashes, rows)
-                y = x if i == j else _Block(batch.column("ys")[k].as_py(), hashes, rows)
-                p, q = _candidates(x, y, band, least, percent)
-                if not len(p):
-                    continue
-                reps, at = np.unique(np.concatenate((x.rep[p], y.rep[q])), return_inverse=True)
-                comps = dict(zip(np.concatenate((x.rep, y.rep)).tolist(), np.concatenate((x.comp, y.comp)).tolist(), strict=True))
-                out.append((f"{band}:{i}:{j}", reps.tolist(), [comps[r] for r in reps.tolist()],
-                            at.astype("<u2").tobytes()))
-            if out:
-                names, reps, comps, places = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(reps, pa.list_(pa.int64())), pa.array(comps, pa.list_(pa.int64())),
-                     pa.array(places, pa.binary())], names=["pair", "reps", "comps", "places"])
+            for band, i, j, side, size, *member in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (band, i, j):
+                    if sides[0] and (len(sides[0]) > 1 or sides[1]):
+                        settle()
+                        if len(out) >= 64:
+                            yield flush()
+                    now, sides, m = (band, i, j), ([], []), size
+                sides[side].append(tuple(member))
+        if sides[0] and (len(sides[0]) > 1 or sides[1]):
+            settle()
+        if out:
+            yield flush()
 
     return run
 
@@ -262,13 +269,13 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _joining_links(percent: int):
     """Of the candidates of one pair of blocks, confirmed links that join components."""
-    def run(group: pa.Table) -> pa.Table:
+    def run(found: pa.Table, group: pa.Table) -> pa.Table:
         where = {}
         for k, r in enumerate(group.column("rep").to_pylist()):
             where.setdefault(r, []).append(k)  # an id with several texts has several sets
         sets = [np.asarray(x.values) if x.is_valid else np.zeros(0, np.int64) for x in group.column("members")]
-        reps, comps = group.column("reps")[0].as_py(), group.column("comps")[0].as_py()
-        places = np.frombuffer(group.column("places")[0].as_py(), "<u2").reshape(2, -1)
+        reps, comps = found.column("reps")[0].as_py(), found.column("comps")[0].as_py()
+        places = np.frombuffer(found.column("places")[0].as_py(), "<u2").reshape(2, -1)
         root: dict[int, int] = {}
 
         def find(v: int) -> int:
@@ -348,22 +355,19 @@ def link_components(docs: DataFrame, signed: DataFrame, words: int = WORDS, perc
         "band", "rep", "n", "m", F.coalesce("component", "rep").alias("comp"))
     split = t.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     blocks = F.when(F.col("m") <= FEW, 1).otherwise(F.ceil(F.col("m") / F.lit(float(BLOCK)))).cast("int")
-    still = (t.join(split.select("band"), "band", "left_semi").withColumn("blocks", blocks)
-             .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")))
-    packed = stage_table(
-        still.join(sigs.select("rep", "sig"), "rep").groupBy("band", "block").agg(
-            F.max("m").alias("m"), F.collect_list(F.struct("rep", "n", "comp", "sig")).alias("members")),
-        "minhash-blocks")
-    few = packed.filter(F.col("m") <= FEW).select("band", "members").mapInArrow(
-        _band_pairs(hashes, rows, least, percent), "a bigint, b bigint")
-    many = packed.filter(F.col("m") > FEW)
-    dense = stage_table(
-        many.select("band", F.col("block").alias("x"), F.col("members").alias("xs"))
-        .join(many.select("band", F.col("block").alias("y"), F.col("members").alias("ys")), "band").filter("x <= y")
-        .mapInArrow(_block_pairs(hashes, rows, least, percent),
-                    "pair string, reps array<bigint>, comps array<bigint>, places binary"), "minhash-dense")
-    sets = read_sets(dense.select(F.explode("reps").alias("rep")))
-    from_blocks = (dense.withColumn("rep", F.explode("reps")).join(sets, "rep").groupBy("pair")
+    still = (t.join(split.select("band"), "band", "left_semi").join(sigs.select("rep", "sig"), "rep")
+             .withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int"))
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
+                     (F.col("own") > F.col("with")).cast("int").alias("side"), "m", "rep", "n", "comp", "sig"))
+    by = ["band", "x", "y"]
+    near = stage_table(still.repartition(*by).sortWithinPartitions(*by)
+                       .mapInArrow(_compare(hashes, rows, least, percent, FEW), _FOUND), "minhash-near")
+    few = near.filter("a IS NOT NULL").select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b")
+    dense = near.filter("reps IS NOT NULL").select("pair", "reps", "comps", "places")
+    named = dense.select(F.col("pair").alias("of"), F.explode("reps").alias("rep"))
+    sets = read_sets(named.select("rep"))
+    from_blocks = (dense.groupBy("pair").cogroup(named.join(sets, "rep").groupBy("of"))
                    .applyInArrow(_joining_links(percent), "a bigint, b bigint"))
     more = stage_table(confirmed(few).unionByName(from_blocks), "minhash-links")
     if not more.isEmpty():
