@@ -84,9 +84,11 @@ def level_rank(names: Sequence[str]) -> Column:
 
 def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
                       order_key: str = "order_id", buyer_key: str = "buyer_org_id",
-                      anchors: Sequence[Sequence[str]] = ()) -> DataFrame:
+                      anchors: Sequence[Sequence[str]] = (), exact: bool = False) -> DataFrame:
     """Grouped measures of ``m`` by ``keys`` (two-level distinct; see module doc).
 
+    ``exact``: decimal sums stay decimal instead of becoming double.
+
     ``anchors``: key tuples (string literals) whose group must exist even when no input
     row has them — e.g. a Grand Total on empty input. Each adds one neutral row (no key,
     no amount) to the level-1 input, so no join is needed to materialise the group.
@@ -134,19 +136,21 @@ def distinct_measures(df: DataFrame, keys: Sequence[str], m: Measures,
         *[F.expr(f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}") for n in bf],
         *[F.expr(f"sum(CAST(s_{n} AS DECIMAL(28, 0))) / {unit[n]} AS {n}" if n in unit else f"sum(s_{n}) AS {n}")
           for n in sums])
-    return _finish(lvl2, keys, m)
+    if exact:
+        lvl2 = lvl2.withColumns({n: F.col(n).cast(f"decimal(38, {types[n].dataType.scale})") for n in unit})
+    return _finish(lvl2, keys, m, unit if exact else ())
 
 
-def _finish(agg: DataFrame, keys: Sequence[str], m: Measures) -> DataFrame:
-    cols = {n: F.col(n).cast("double") for n in m.sums}
+def _finish(agg: DataFrame, keys: Sequence[str], m: Measures, exact: Sequence[str] = ()) -> DataFrame:
+    cols = {n: F.col(n).cast("double") for n in m.sums if n not in exact}
     cols.update({n: safe_ratio(F.col(a), F.col(b)) for n, (a, b) in m.ratios.items()})
-    out = agg.withColumns(cols)
+    out = agg.withColumns(cols) if cols else agg
     order = list(m.order) or [*m.order_flags, *m.buyer_flags, *m.sums, *m.ratios]
     return out.select(*keys, *order)
 
 
 def stacked_report(df: DataFrame, levels: Sequence[tuple[str, Column]], m: Measures,
-                   total_label: str = "Grand Total") -> DataFrame:
+                   total_label: str = "Grand Total", exact: bool = False) -> DataFrame:
     """Grand-total row + one block per level, as (level, entity, measures..., level_rank).
 
     The total comes out of the same single pass as the levels; a neutral anchor row
@@ -155,5 +159,5 @@ def stacked_report(df: DataFrame, levels: Sequence[tuple[str, Column]], m: Measu
     """
     all_levels = [("total", F.lit(total_label)), *levels]
     return distinct_measures(stack_levels(df, all_levels), ["level", "entity"], m,
-                             anchors=[("total", total_label)]).select(
+                             anchors=[("total", total_label)], exact=exact).select(
                                  "level", "entity", *m.order, level_rank([n for n, _ in all_levels]))

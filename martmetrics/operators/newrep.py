@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .joins import unique_by
 
-# (segment column, output flag column) — the HNK flag is computed by the source but not
-# carried into its output table, so it is left out here as well.
+# (segment column, output flag column) of the report's table — the HNK flag is computed by the
+# source but not carried into its output table; ``ALL_SEGMENTS`` has it.
 SEGMENTS = (
     ("category", "buyer_cat_month_newrep"),
     ("cust_cat_phones", "buyer_cust_cat_phones_month_newrep"),
@@ -25,6 +25,7 @@ SEGMENTS = (
     ("business_group", "buyer_business_group_month_newrep"),
     (None, "buyer_month_newrep"),
 )
+ALL_SEGMENTS = (*SEGMENTS, ("cust_cat_hnk", "buyer_cust_cat_hnk_month_newrep"))
 ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
 
 
@@ -53,7 +54,32 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
     return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()])
 
 
-def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id") -> DataFrame:
+def newrep_all_segments(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id",
+                        segments=ALL_SEGMENTS, placed: bool = False) -> DataFrame:
+    """The New/Repeat table with the flags of all six segments, from one window.
+
+    Every (buyer, category, month) becomes one row a segment with that segment's value, so
+    one specification — buyer, segment, value — serves all segments with one sort; the rows
+    are then folded back to one a cell, on the same partitioning. ``placed``: the fact is
+    already partitioned by buyer (a bucketed table), and no exchange is added.
+    """
+    d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
+         .select(buyer, "category", "order_month").distinct())
+    d = d.join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
+    if not placed:
+        d = d.repartition(buyer)
+    values = F.array(*[F.struct(F.lit(i).alias("_segment"), (F.col(seg) if seg else F.lit("")).cast("string").alias("_value"))
+                       for i, (seg, _) in enumerate(segments)])
+    long = d.select("*", F.inline(values))
+    first = F.min("order_month").over(Window.partitionBy(buyer, "_segment", "_value"))
+    flagged = long.withColumn("_new", F.col("order_month") == first)
+    flags = [_newrep(F.lit(True), F.max(F.when(F.col("_segment") == i, F.col("_new")))).alias(name)
+             for i, (_, name) in enumerate(segments)]
+    return (flagged.groupBy(buyer, "order_month", "category", *ATTRS).agg(*flags))
+
+
+def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id",
+                          segments=SEGMENTS) -> DataFrame:
     """The same table computed the long way (lag / rank / collect_set windows per segment),
     kept to check the closed form and for callers that need the gap and rank columns.
 
@@ -68,21 +94,22 @@ def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buye
          .repartition(buyer))
     od = F.col("order_date")
     rank_parts = {"category": ("order_month", "business_unit", "category"),
-                  "cust_cat_phones": ("order_month", "cust_cat_phones"),
+                  "cust_cat_phones": ("order_month", "cust_cat_phones"), "cust_cat_hnk": ("order_month", "cust_cat_hnk"),
                   "business_unit": ("order_month", "business_unit"),
                   "business_group": ("order_month", "business_group"), None: ("order_month",)}
     set_parts = {"category": ("order_month", "category"), "cust_cat_phones": ("order_month", "cust_cat_phones"),
+                 "cust_cat_hnk": ("order_month", "cust_cat_hnk"),
                  "business_unit": ("order_month", "business_unit"), "business_group": ("order_month", "business_group"),
                  None: ("order_month",)}
     cols = {}
-    for seg, name in SEGMENTS:
+    for seg, name in segments:
         lag_w = Window.partitionBy(buyer, *([seg] if seg else [])).orderBy(od)
         gap = F.datediff(od, F.lag(od, 1).over(lag_w))
         rk = F.rank().over(Window.partitionBy(buyer, *rank_parts[seg]).orderBy(od))
         cols[f"_m_{name}"] = F.when((rk == 1) & gap.isNull(), F.lit("NEW")).otherwise(F.lit("REPEAT"))
     d = d.withColumns(cols)
     flags = {}
-    for seg, name in SEGMENTS:
+    for seg, name in segments:
         s = F.concat_ws("+", F.collect_set(f"_m_{name}").over(Window.partitionBy(buyer, *set_parts[seg])))
         flags[name] = F.when(s.like("%NEW%"), F.lit("New")).otherwise(F.lit("Repeat"))
     return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()]).distinct()

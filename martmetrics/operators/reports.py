@@ -29,13 +29,13 @@ def _levels():
     return [(c, F.col(c)) for c in LEVEL_COLUMNS]
 
 
-def daily_report(categorised: DataFrame) -> DataFrame:
+def daily_report(categorised: DataFrame, exact: bool = False) -> DataFrame:
     """Grand Total + category + type + type2 blocks: (level, entity, orders, buyers, gmv, aov,
-    level_rank).
+    level_rank). ``exact``: ``gmv`` stays decimal, for ``text_report``.
 
     No include filter: relabelled copies count in every block, as in the source job.
     """
-    return stacked_report(categorised, _levels(), daily_measures())
+    return stacked_report(categorised, _levels(), daily_measures(), exact=exact)
 
 
 def period_report(categorised: DataFrame) -> DataFrame:
@@ -52,7 +52,8 @@ def text_report(report: DataFrame, as_of=None) -> DataFrame:
     """The stacked report as text with the run-stamp row on top (entity, orders, buyers,
     gmv, aov all strings): the source unions a text stamp into numeric columns, which an
     ANSI engine rejects, so every measure is rendered as text first. Money is shown with
-    two decimals, ``aov`` rounded half-up to the cent. The stamp has ``level_rank`` 0.
+    two decimals, ``aov`` rounded half-up to the cent; from an ``exact`` report it never goes
+    through double. The stamp has ``level_rank`` 0.
     """
     money = lambda c: F.col(c).cast("decimal(38,2)").cast("string")
     body = report.select(

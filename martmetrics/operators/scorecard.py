@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import predicates as P
+from ..sources import stage
 from .joins import unique_by
 
 ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
@@ -102,6 +103,26 @@ def merge_first_purchases(*tables: DataFrame) -> DataFrame:
                                             F.min("first_date").alias("first_date"))
 
 
+def carry_first_purchases(txn: DataFrame, base: str, upto) -> DataFrame:
+    """Brings the first-purchase state table at ``base`` forward to ``upto`` and returns it.
+
+    The state is a stage table that knows the day it reaches to: only the fact after that day
+    is read, and readers of the earlier state are not disturbed. With no table yet the history
+    is read once; a table that already reaches to ``upto`` is returned as it is.
+    """
+    spark, upto = txn.sparkSession, str(upto)
+    now = stage.current(spark, base)
+    if now is None:
+        return stage.publish(first_purchases(txn, upto), base, about={"upto": upto})
+    since = now.about["upto"]
+    if since > upto:
+        raise ValueError(f"the state at {base} already reaches to {since}")
+    old = stage.read(spark, base, now)
+    if since == upto:
+        return old
+    return stage.publish(merge_first_purchases(old, first_purchases(txn, upto, since=since)), base, about={"upto": upto})
+
+
 def first_purchase_cells(txn: DataFrame, mp: DataFrame, lines: DataFrame, end,
                          state: DataFrame | None = None, state_upto=None) -> DataFrame:
     """History pairs (``_src='h'``: buyer, category, first month/date up to ``end``) and

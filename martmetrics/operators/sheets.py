@@ -5,13 +5,17 @@ partitions), each with ``row_no, label, v1..vN``. ``normalise_sheets`` turns the
 one long table — a row per (sheet, date) with one column per parameter — which is an
 ``unpivot`` of the date columns followed by a pivot on the labels. No cell is lost: the width
 comes from the files, all labels are kept by default, and repeated labels or bad dates raise.
+
+``raw_cells`` reads workbooks as they are exported: one CSV file a sheet, each as wide as it
+happens to be, with the columns of the report layout around the dates. Its files go straight
+to long cells, without a schema as wide as the widest sheet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +81,68 @@ def _one_cell(value: str, *names: str) -> Column:
     return F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(value))
 
 
+_RECORD = r'(?:[^"\r\n]++|"[^"]*+(?:""[^"]*+)*+")++'
+_FIELD = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+
+
+def _sheet_name(path: str) -> Column:
+    """``sheet=<name>/`` in the file's path, or else the file's name without its ending."""
+    p = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(p, r"/sheet=([^/]+)/[^/]*$", 1)
+    unescaped = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))  # the folder's own escapes
+    return F.when(folder != "", unescaped).otherwise(F.regexp_extract(p, r"([^/]+?)(?:\.[^./]*)?$", 1))
+
+
+def raw_cells(spark: SparkSession, path: str, positions: Sequence[int] = DROPPED_POSITIONS,
+              skip: Sequence[str] = SKIP_SHEETS) -> DataFrame:
+    """(sheet, row_no, label, pos, value): the cells of a folder of raw sheets, one CSV file each.
+
+    A sheet's first line is its header, which the report does not use; data rows count from 0.
+    Columns at ``positions`` are left out, the first column left is the label, the others are
+    the date columns, numbered from 1. Each file is read whole, as one row (a sheet is bounded
+    by what a workbook can hold), and cut into records and cells by quotes, commas and line
+    ends, so quoted cells may hold commas, quotes and line ends. Rows shorter than their sheet
+    have blank cells at the end; an empty cell is NULL. Files of any widths stand side by side.
+    """
+    unused = F.array(*[F.lit(p) for p in positions]) if positions else F.array().cast("array<int>")
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    files = whole.select(_sheet_name("_metadata.file_path").alias("sheet"),
+                         F.regexp_extract_all(F.ltrim(F.col("value"), F.lit("\ufeff")), F.lit(_RECORD), F.lit(0)).alias("records"))
+    files = files.filter(~F.col("sheet").isin(list(skip)))
+
+    def unquoted(c: Column) -> Column:
+        inner = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(c.startswith('"'), inner).otherwise(c), F.lit(""))
+
+    def kept(record: Column) -> Column:
+        cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1))
+        return F.filter(F.transform(cells, lambda c, i: F.struct(i.alias("i"), unquoted(c).alias("v"))),
+                        lambda c: ~F.array_contains(unused, c["i"]))
+
+    rows = files.select("sheet", F.transform("records", kept).alias("rows"))
+    width = F.array_max(F.transform("rows", F.size))
+    data = rows.select("sheet", width.alias("width"), F.posexplode(F.slice("rows", 2, F.greatest(F.size("rows"), F.lit(1)))))
+    padded = F.concat(F.transform("col", lambda c: c["v"]),
+                      F.array_repeat(F.lit(None).cast("string"), F.col("width") - F.size("col")))
+    cells = data.select("sheet", F.col("pos").alias("row_no"), padded.alias("cells"))
+    return (cells.filter(F.size("cells") > 0)
+            .select("sheet", "row_no", F.get("cells", F.lit(0)).alias("label"),
+                    F.posexplode(F.slice("cells", F.lit(2), F.size("cells"))))
+            .select("sheet", "row_no", "label", (F.col("pos") + 1).alias("pos"), F.col("col").alias("value")))
+
+
+def normalise_cells(cells: DataFrame, labels: Sequence[str] | None = None, skip: Sequence[str] = SKIP_SHEETS,
+                    drop_row: int = 1, csv_path: str | None = None) -> DataFrame:
+    """``normalise_sheets`` for long cells (sheet, row_no, label, pos, value), as ``raw_cells`` gives them."""
+    s = kept_sheets(cells, skip).filter(F.coalesce(F.col("row_no") != drop_row, F.lit(True)))
+    # a row without label and cells is no row
+    some = F.max(F.when(F.coalesce("label", "value").isNotNull(), 1)).over(Window.partitionBy("sheet", "row_no"))
+    s = s.withColumn("_some", some).filter("_some = 1")
+    long = s.select("sheet", F.col("pos").cast("string").alias("pos"), F.coalesce(F.col("label"), F.lit(BLANK_FILL)).alias("label"),
+                    F.coalesce(F.col("value"), F.lit(BLANK_FILL)).alias("value"))
+    return _normalise(long, labels, csv_path)
+
+
 def normalise_sheets(sheets: DataFrame, labels: Sequence[str] | None = None, skip: Sequence[str] = SKIP_SHEETS,
                      drop_row: int = 1, csv_path: str | None = None) -> DataFrame:
     """(sheet, order_date, dow, <label>...) — one row per sheet and date column.
@@ -94,10 +160,14 @@ def normalise_sheets(sheets: DataFrame, labels: Sequence[str] | None = None, ski
         s = s.filter(F.coalesce("label", *vcols).isNotNull())
     s = s.select("sheet", F.coalesce(F.col("label"), F.lit(BLANK_FILL)).alias("label"),
                  *[F.coalesce(F.col(c), F.lit(BLANK_FILL)).alias(c) for c in vcols])
-    long = s.unpivot(["sheet", "label"], vcols, "pos", "value")
+    return _normalise(s.unpivot(["sheet", "label"], vcols, "pos", "value"), labels, csv_path)
+
+
+def _normalise(long: DataFrame, labels: Sequence[str] | None, csv_path: str | None) -> DataFrame:
+    """The pivot on the labels, from (sheet, pos, label, value) without NULLs."""
     cells = long.groupBy("sheet", "pos", "label").agg(_one_cell("value", "sheet", "label").alias("value"))
     if labels is None:
-        names = sorted(r[0] for r in s.select("label").distinct().collect())   # the rows of a report
+        names = sorted(r[0] for r in long.select("label").distinct().collect())   # the rows of a report
     else:
         names = list(dict.fromkeys(labels))
     names = [x for x in names if x not in (DATE_LABEL, BLANK_FILL)]

@@ -6,11 +6,15 @@ shares no expression, list or label with the operators it checks.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import newrep, scorecard
+from ..operators import bitmaps, newrep, scorecard, scorecard_counts
+from ..sources import bucketed, files
 from ..sources import testdata as td
-from .params import CFG, MONTH_LABEL, SC_END, SC_START
+from .params import CFG, MONTH_LABEL, SC_END, SC_MONTHS, SC_START
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -21,6 +25,35 @@ def q_newrep_flags(spark: SparkSession, sf: str) -> DataFrame:
     return newrep.newrep_flags(td.txn(spark, sf), td.custom_mapping(spark, sf))
 
 
+def q_newrep_all_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return newrep.newrep_all_segments(td.txn(spark, sf), td.custom_mapping(spark, sf))
+
+
+def q_newrep_windowed_all(spark: SparkSession, sf: str) -> DataFrame:
+    return newrep.newrep_flags_windowed(td.txn(spark, sf), td.custom_mapping(spark, sf), segments=newrep.ALL_SEGMENTS)
+
+
+def _bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact as a table bucketed by buyer, in a session that joins bucketed tables in place."""
+    name = td.bucketed_txn(spark, sf)
+    return bucketed.co_located(spark).table(name)
+
+
+def q_newrep_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    t = _bucketed(spark, sf)
+    return newrep.newrep_all_segments(t, td.custom_mapping(t.sparkSession, sf), placed=True)
+
+
+def q_join_composite_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The period's lines with their New/Repeat flag: scan, window and join on one placement."""
+    t = _bucketed(spark, sf)
+    flags = newrep.newrep_all_segments(t, td.custom_mapping(t.sparkSession, sf), placed=True).select(
+        "buyer_org_id", "category", "order_month", "buyer_cat_month_newrep", "buyer_cust_cat_hnk_month_newrep")
+    lines = t.filter(F.col("order_date").between(F.to_date(F.lit(SC_START)), F.to_date(F.lit(SC_END))))
+    return lines.join(flags, ["buyer_org_id", "category", "order_month"], "left").select(
+        "order_id", "listing_id", "buyer_org_id", "category", "buyer_cat_month_newrep", "buyer_cust_cat_hnk_month_newrep")
+
+
 def q_buyer_cuts_raw(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.buyer_cuts_raw(td.txn(spark, sf), td.custom_mapping(spark, sf), td.cnc_org(spark, sf),
                                     SC_START, SC_END, CFG.fulfilment)
@@ -39,6 +72,41 @@ def q_scorecard_long(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.scorecard_long(q_entity_scorecard(spark, sf), MONTH_LABEL)
 
 
+def q_scorecard_carried_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Scorecards of consecutive months, each from the first-purchase state carried by the one
+    before: the history is read once, for the first state, and then a month at a time."""
+    t, mp, cn = td.txn(spark, sf), td.custom_mapping(spark, sf), td.cnc_org(spark, sf)
+    base = files.scratch_path(spark, "first_purchases")
+    months, reached = [], str(date.fromisoformat(SC_MONTHS[0][0]) - timedelta(days=1))
+    for start, end in SC_MONTHS:
+        state = scorecard.carry_first_purchases(t, base, reached)
+        sc = scorecard.entity_scorecard(t, mp, cn, start, end, CFG.fulfilment, CFG.cuts, state=state, state_upto=reached)
+        months.append(sc.withColumn("month", F.lit(start[:7])))
+        reached = end
+    return months[0].unionByName(months[1]).unionByName(months[2])
+
+
+def q_scorecard_distinct_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    return scorecard_counts.scorecard_counts(td.txn(spark, sf), td.custom_mapping(spark, sf), td.cnc_org(spark, sf),
+                                             SC_START, SC_END, CFG.fulfilment, CFG.cuts)
+
+
+def q_buyers_by_year_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Buyers of each year and category, and of each year, from monthly bitmaps. The months up
+    to ``SC_START`` and those after it are two runs; the second only adds to the dictionary."""
+    t = td.txn(spark, sf).filter("include IS NULL AND order_date IS NOT NULL")
+    cell = ("order_month", "category")
+    ids, months = None, []
+    for run in (t.filter(F.col("order_date") < SC_START), t.filter(F.col("order_date") >= SC_START)):
+        ids = bitmaps.dictionary(run, "buyer_org_id", ids)
+        folded = bitmaps.fold(run, cell, "buyer_org_id", {"buyers": "true"}).drop(bitmaps.BUCKET)
+        months.append(bitmaps.bitmap_cells(bitmaps.with_ids(folded, "buyer_org_id", ids), cell, "buyer_org_id", ["buyers"]))
+    cells = months[0].unionByName(months[1]).withColumn("year", F.floor(F.col("order_month") / 100).cast("int"))
+    levels = F.array(F.struct(F.lit("category").alias("level"), F.col("category").alias("entity")),
+                     F.struct(F.lit("total").alias("level"), F.lit("All").alias("entity")))
+    return bitmaps.counts(cells.select("year", F.inline(levels), bitmaps.CHUNK, "buyers"), ("year", "level", "entity"), ["buyers"])
+
+
 # ---------------------------------------------------------------------------
 # Oracle SQL (DuckDB): first purchase dates by ``min``, one long table of cuts, one list of
 # measures; expected labels are written out here, not taken from the configuration
@@ -53,7 +121,10 @@ _FLAGS = {  # New/Repeat flag -> the column whose first purchase it looks at (No
 }
 
 
-def newrep_sql() -> str:
+_ALL_FLAGS = {**_FLAGS, "buyer_cust_cat_hnk_month_newrep": "cust_cat_hnk"}
+
+
+def newrep_sql(flags: dict = _FLAGS) -> str:
     """``buyer_months``: a buyer's cell is New in the month of their first day in the segment."""
     def flag(name: str, seg: str | None) -> str:
         who = "buyer_org_id" + (f", {seg}" if seg else "")
@@ -67,11 +138,11 @@ def newrep_sql() -> str:
   FROM txn t LEFT JOIN custom_mapping cmap USING (category)
   WHERE t.include IS NULL GROUP BY 1, 2, 3
 ), buyer_months AS (
-  SELECT * EXCLUDE (first_day), {", ".join(flag(n, s) for n, s in _FLAGS.items())} FROM bought
+  SELECT * EXCLUDE (first_day), {", ".join(flag(n, s) for n, s in flags.items())} FROM bought
 )"""
 
 
-def _cells_sql() -> str:
+def _cells_sql(start: str = SC_START, end: str = SC_END) -> str:
     fc = CFG.fulfilment
     codes = [(c, "seller") for c in fc.seller] + [(c, "wh") for c in fc.warehouse]
     return f"""centre (code, kind) AS (VALUES {", ".join(str(c) for c in codes)}),
@@ -83,7 +154,7 @@ period_cells AS (
          sum(p.total_line_amount) FILTER (WHERE p.first_shipped IS NOT NULL) AS shipped_gmv,
          sum(p.total_line_amount) AS gmv
   FROM (SELECT * FROM txn WHERE include IS NULL
-        AND order_date >= DATE '{SC_START}' AND order_date <= DATE '{SC_END}') p
+        AND order_date >= DATE '{start}' AND order_date <= DATE '{end}') p
   LEFT JOIN centre ON centre.code = p.fulfillment_center
   LEFT JOIN (SELECT b.* FROM buyer_months b SEMI JOIN custom_mapping USING (category)) f
          ON f.buyer_org_id = p.buyer_org_id AND f.category = p.category AND f.order_month = p.order_month
@@ -100,12 +171,12 @@ _CUTS = (  # cut, label prefix, label where it is NULL, New/Repeat flag
 )
 
 
-def _past_sql() -> str:
+def _past_sql(start: str = SC_START) -> str:
     rows = [f"SELECT '{c}' AS dim, '{prefix}' || {c} AS entity, buyer_org_id FROM earlier"
             + (f" WHERE {c} <> 'Ignore'" if c.startswith("cust_cat") else "") for c, prefix, _, _ in _CUTS]
     return f"""earlier AS (
   SELECT t.buyer_org_id, t.category, cmap.* EXCLUDE (category) FROM txn t LEFT JOIN custom_mapping cmap USING (category)
-  WHERE t.include IS NULL AND t.order_date < DATE '{SC_START}'
+  WHERE t.include IS NULL AND t.order_date < DATE '{start}'
 ), past AS (
   SELECT dim, entity, count(DISTINCT buyer_org_id) AS past_buyers
   FROM ({" UNION ALL ".join(rows)} UNION ALL SELECT 'overall', 'Overall', buyer_org_id FROM earlier)
@@ -146,12 +217,26 @@ def _scorecard_sql() -> str:
 
 
 SQL_NEWREP_FLAGS = td.with_adapter("SELECT * FROM buyer_months", newrep_sql())
+SQL_NEWREP_ALL = td.with_adapter("SELECT * FROM buyer_months", newrep_sql(_ALL_FLAGS))
+SQL_JOIN_COMPOSITE = td.with_adapter(
+    "SELECT t.order_id, t.listing_id, t.buyer_org_id, t.category, r.buyer_cat_month_newrep, r.buyer_cust_cat_hnk_month_newrep "
+    "FROM txn t LEFT JOIN buyer_months r USING (buyer_org_id, category, order_month) "
+    f"WHERE t.order_date BETWEEN DATE '{SC_START}' AND DATE '{SC_END}'", newrep_sql(_ALL_FLAGS))
 SQL_BUYER_CUTS_RAW = td.with_adapter(
     "SELECT * REPLACE (CAST(shipped_gmv AS DOUBLE) AS shipped_gmv, CAST(gmv AS DOUBLE) AS gmv) FROM period_cells",
     newrep_sql(), _cells_sql())
 SQL_PAST_BUYERS = td.with_adapter("SELECT * FROM past", _past_sql())
 _SC_CTES = (newrep_sql(), _cells_sql(), _past_sql(), _scorecard_sql())
 SQL_ENTITY_SCORECARD = td.with_adapter("SELECT * FROM scored", *_SC_CTES)
+SQL_SCORECARD_MONTHS = td.with_adapter(" UNION ALL ".join(
+    f"SELECT *, '{start[:7]}' AS month FROM (WITH {_cells_sql(start, end)}, {_past_sql(start)}, {_scorecard_sql()} "
+    "SELECT * FROM scored)" for start, end in SC_MONTHS), newrep_sql())
+SQL_SCORECARD_COUNTS = td.with_adapter(
+    f"SELECT dim, entity, {', '.join(n for n, (what, _) in _MEASURES.items() if what.endswith('_id'))}, past_buyers "
+    "FROM scored", *_SC_CTES)
+_YEARS = "SELECT CAST(year(order_date) AS INTEGER) AS year, {} AS level, {} AS entity, count(DISTINCT buyer_org_id) AS buyers FROM txn GROUP BY 1, 3"
+SQL_BUYERS_BY_YEAR = td.with_adapter(
+    _YEARS.format("'category'", "category") + " UNION ALL " + _YEARS.format("'total'", "'All'"))
 
 # expected rows of the long format, in output order
 _LONG = """(1, 'Placed GMV', placed_gmv), (2, 'Shipped GMV', shipped_gmv), (3, 'Delivered GMV', delivered_gmv),
@@ -178,4 +263,11 @@ QUERIES = {
     "past_buyers": (q_past_buyers, SQL_PAST_BUYERS),
     "entity_scorecard": (q_entity_scorecard, SQL_ENTITY_SCORECARD),
     "scorecard_long": (q_scorecard_long, SQL_SCORECARD_LONG),
+    "scorecard_carried_state": (q_scorecard_carried_state, SQL_SCORECARD_MONTHS),
+    "newrep_all_segments": (q_newrep_all_segments, SQL_NEWREP_ALL),
+    "newrep_bucketed": (q_newrep_bucketed, SQL_NEWREP_ALL),
+    "join_composite_bucketed": (q_join_composite_bucketed, SQL_JOIN_COMPOSITE),
+    "newrep_windowed_all": (q_newrep_windowed_all, SQL_NEWREP_ALL),
+    "scorecard_distinct_bitmaps": (q_scorecard_distinct_bitmaps, SQL_SCORECARD_COUNTS),
+    "buyers_by_year_merged": (q_buyers_by_year_merged, SQL_BUYERS_BY_YEAR),
 }

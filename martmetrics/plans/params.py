@@ -8,6 +8,8 @@ CFG = TESTDATA
 
 # Month-end scorecard period (one month: New + Repeat = distinct buyers per cell).
 SC_START, SC_END, MONTH_LABEL = "1998-07-01", "1998-07-31", "July-98"
+# Months run one after the other from a carried state.
+SC_MONTHS = (("1998-05-01", "1998-05-31"), ("1998-06-01", "1998-06-30"), ("1998-07-01", "1998-07-31"))
 # Period (month-to-date) report.
 PERIOD_START, PERIOD_END = "1998-07-01", "1998-07-31"
 # Daily report: the local day of AS_OF minus N days.

@@ -12,7 +12,7 @@ from ..functions.hierarchy import tag
 from ..functions.scalars import (entity_label, iso_date, local_date_from_epoch_ms, local_stamp_from_epoch_ms,
                                  safe_ratio, weekday_label)
 from ..operators import categorise as cat
-from ..operators import newrep
+from ..operators import explore, newrep
 from ..operators import overrides as ov
 from ..sources import files, stage
 from ..sources import testdata as td
@@ -49,6 +49,32 @@ def param_period_filter(spark: SparkSession, sf: str) -> DataFrame:
             .select("order_id", "buyer_org_id", "category", "order_date", "total_line_amount"))
 
 
+_PROFILED = (  # columns of the fact, in order, with their types
+    ("order_id", "bigint"), ("buyer_org_id", "bigint"), ("seller_org_id", "bigint"), ("listing_id", "bigint"),
+    ("category", "string"), ("order_status", "string"), ("shipment_status", "string"), ("payment_mode", "string"),
+    ("fulfillment_center", "string"), ("first_shipped", "date"), ("total_line_amount", "decimal(18,2)"),
+    ("order_date", "date"), ("order_month", "int"), ("order_date_time", "bigint"), ("include", "string"))
+
+
+@q("txn_profile", W(" UNION ALL ".join(
+    f"SELECT {i} AS place, '{c}' AS column_name, '{t}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_values, min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM txn"
+    for i, (c, t) in enumerate(_PROFILED, 1))))
+def txn_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.profile(td.txn(spark, sf))
+
+
+@q("txn_shape", W(f"SELECT count(*) AS n_rows, {len(_PROFILED)} AS n_columns FROM txn"))
+def txn_shape(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.shape(td.txn(spark, sf))
+
+
+@q("txn_head", W("SELECT * FROM txn ORDER BY total_line_amount NULLS FIRST, order_id, listing_id, seller_org_id, "
+                 "first_shipped NULLS FIRST LIMIT 5"))
+def txn_head(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.head(td.txn(spark, sf), ["total_line_amount", "order_id", "listing_id", "seller_org_id", "first_shipped"])
+
+
 @q("distinct_categories", W("SELECT DISTINCT category FROM txn"))
 def distinct_categories(spark: SparkSession, sf: str) -> DataFrame:
     return td.txn(spark, sf).select("category").distinct()
@@ -286,7 +312,8 @@ def agg_grand_total(spark: SparkSession, sf: str) -> DataFrame:
 @q("agg_overall_const", W(f"SELECT 'Overall' AS entity, count(DISTINCT buyer_org_id) AS past_buyers FROM txn "
                           f"WHERE order_date < DATE '{SC_START}' AND include IS NULL GROUP BY 1"))
 def agg_overall_const(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).filter((F.col("order_date") < F.to_date(F.lit(SC_START))) & F.col("include").isNull())
+    t = td.txn(spark, sf).filter(P.month_prune(None, SC_START) & (F.col("order_date") < F.to_date(F.lit(SC_START)))
+                                 & F.col("include").isNull())
     # GROUP BY a constant: no row at all on empty input (unlike a global aggregate)
     return t.groupBy(F.lit("Overall").alias("entity")).agg(F.count_distinct("buyer_org_id").alias("past_buyers"))
 
@@ -294,7 +321,7 @@ def agg_overall_const(spark: SparkSession, sf: str) -> DataFrame:
 @q("agg_by_expr", W("SELECT 'category-' || category AS entity, count(DISTINCT buyer_org_id) AS buyers "
                     f"FROM txn WHERE order_date < DATE '{SC_START}' GROUP BY 1"))
 def agg_by_expr(spark: SparkSession, sf: str) -> DataFrame:
-    t = td.txn(spark, sf).filter(F.col("order_date") < F.to_date(F.lit(SC_START)))
+    t = td.txn(spark, sf).filter(P.month_prune(None, SC_START) & (F.col("order_date") < F.to_date(F.lit(SC_START))))
     return t.groupBy(F.concat(F.lit("category-"), F.col("category")).alias("entity")).agg(
         F.count_distinct("buyer_org_id").alias("buyers"))
 

@@ -25,7 +25,7 @@ def _raw(spark, sf) -> DataFrame:
 
 
 def q_hourly_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return sn.hourly_snapshot(_raw(spark, sf), CFG)
+    return sn.hourly_snapshot(td.snapshot_csv_frame(spark, sf, month=True), CFG, "order_month")
 
 
 def q_anti_high_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,7 +33,7 @@ def q_anti_high_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_latest_day_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return sn.latest_day(_raw(spark, sf))
+    return sn.latest_day(td.snapshot_csv_frame(spark, sf, month=True), month_col="order_month").drop("order_month")
 
 
 def q_relabel_subset(spark: SparkSession, sf: str) -> DataFrame:

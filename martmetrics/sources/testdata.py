@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..config import TESTDATA
 from ..session import checkpoint_dir
+from . import bucketed, files
 
 FC_SELLER, FC_WAREHOUSE = TESTDATA.fulfilment.seller[0], TESTDATA.fulfilment.warehouse[0]
 
@@ -187,6 +188,17 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, base, build)
 
 
+_BUCKETED: dict = {}
+
+
+def bucketed_txn(spark: SparkSession, sf_dir: str) -> str:
+    """The name of the fact's table bucketed by buyer, written once a session's application."""
+    k = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir))
+    if k not in _BUCKETED:
+        _BUCKETED[k] = bucketed.write_bucketed(txn(spark, sf_dir), path=files.scratch_path(spark, "by_buyer"))
+    return _BUCKETED[k]
+
+
 def rt_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily table : ``order_date_time`` is a date-valued day."""
     t = _canonical(spark, sf_dir)
@@ -218,14 +230,15 @@ def cnc_org(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("s_suppkey").alias("org_id")))
 
 
-def snapshot_csv_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot job's CSV export shape, derived from the daily table."""
+def snapshot_csv_frame(spark: SparkSession, sf_dir: str, month: bool = False) -> DataFrame:
+    """The snapshot job's CSV export shape, derived from the daily table; ``month``: with the
+    table's partition column."""
     t = rt_txn(spark, sf_dir)
     lst = listing(spark, sf_dir)
     return (t.join(lst.select("listing_id", "brand", "vertical"), "listing_id", "left")
             .select("order_id", F.col("order_date_time").alias("order_date"), "category", "brand",
                     F.col("category").alias("rt_mis_category"), "seller_org_id", "buyer_org_id",
-                    "vertical", "total_line_amount"))
+                    "vertical", "total_line_amount", *(["order_month"] if month else [])))
 
 
 # ---------------------------------------------------------------------------
