@@ -46,10 +46,10 @@ def op4_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
-MIX_SQL = r"""
+_MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS h
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -70,17 +70,33 @@ WITH d AS (
               ELSE w * (total - sum(CASE WHEN is_full THEN cap ELSE 0.0 END) OVER ())
                    / (w_all - sum(CASE WHEN is_full THEN w ELSE 0.0 END) OVER ()) END AS target
   FROM clamped
-), ranked AS (
-  SELECT d.doc_id, d.size, g.source_size, g.target,
-         CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END AS whole,
-         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
-  FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source
+), p0 AS (
+  SELECT d.doc_id, d.size, g.source, g.source_size, g.target, whole, target - whole * source_size AS gap, false AS more,
+         row_number() OVER (PARTITION BY g.source ORDER BY d.h, d.size) AS place
+  FROM d JOIN (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM goal) g
+       ON d.source IS NOT DISTINCT FROM g.source
+)"""
+
+
+def _pass_sql(p: int) -> str:
+    """Documents not taken yet and no larger than the gap, in hash order while they fit."""
+    may = "gap > 0 AND NOT more" + (" AND size <= gap" if p else "")
+    return f""", f{p} AS (
+  SELECT *, {may} AS may,
+         sum(CASE WHEN {may} THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY place) AS upto FROM p{p}
+), t{p} AS (
+  SELECT * EXCLUDE (more, may, upto), more OR (may AND upto <= gap) AS more,
+         CASE WHEN may AND upto <= gap THEN size ELSE 0 END AS now FROM f{p}
+), p{p + 1} AS (
+  SELECT * EXCLUDE (gap, now), gap - sum(now) OVER (PARTITION BY source) AS gap FROM t{p}
+)"""
+
+
+MIX_SQL = _MIX_SQL + "".join(_pass_sql(p) for p in range(mixing.PASSES)) + f""", spare AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY more OR size = 0, size, place) = 1
+            AND NOT more AND size > 0 AND gap > 0 AND size < 2 * gap AS close FROM p{mixing.PASSES}
 )
-SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN target - whole * source_size > 0
-                              AND earlier + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM ranked
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN more OR close THEN 1 ELSE 0 END))::BIGINT AS taken FROM spare
 """
 
 

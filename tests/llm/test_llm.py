@@ -151,6 +151,43 @@ def test_mix(spark, odd):
     assert mixing.mix_documents(odd.limit(0)).count() == 0
 
 
+def by_source(rows):
+    taken, target, smallest = Counter(), {}, {}
+    for r in rows:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["repetitions"] <= 2
+    return {s: (taken[s], target[s]) for s in target}
+
+
+@pytest.mark.parametrize("case", ["null ids", "one id", "equal rows", "one long text", "few documents", "all large"])
+def test_mix_comes_near_every_target(spark, case):
+    """Groups of equal rows are split row by row, and one long document at the end costs nothing."""
+    text = lambda n: " ".join(["w"] * n)
+    rng = random.Random(1)
+    rows, near = {
+        "null ids": lambda: ([(None, text(20), s) for s in "abc" for _ in range(500)], 20),
+        "one id": lambda: ([(7, text(20), s) for s in "abc" for _ in range(500)], 20),
+        "equal rows": lambda: ([(k % 3, text(10 + k % 3), "abc"[k % 2]) for k in range(1200)], 10),
+        "one long text": lambda: ([(k, text(10), "a") for k in range(1000)] + [(2000 + k, text(10), "b") for k in range(1000)]
+                                  + [(9999 + k, text(6000), "ab"[k]) for k in range(2)], 10),
+        "few documents": lambda: ([(k, text(rng.randrange(1, 60)), "abcd"[k % 4]) for k in range(12)], 60),
+        "all large": lambda: ([(k, text(1000 + k), "abc"[k % 3]) for k in range(9)], 1010)}[case]()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    got = mixing.mix_documents(df).collect()
+    assert len(got) == len(rows)
+    for taken, target in by_source(got).values():
+        assert abs(taken - target) <= max(near / 2, 0.0) + 1e-6
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    names = ("doc_id", "size", "source_size", "target", "taken")
+    want = con.sql(f"SELECT {', '.join(names)} FROM ({QUERIES['op8_water_filling_mix'][1]})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r[n] for n in names)) for r in got)
+    mixed = mixing.repeat_documents(df)
+    assert Counter(r["source"] for r in mixed.collect()) == Counter(
+        s for r in got for s in [r["source"]] * r["repetitions"])
+
+
 # -- packing ----------------------------------------------------------------------------
 
 def test_packing_round_trip(spark, odd):
