@@ -9,7 +9,8 @@ article or main elements, the core is sought in them. An article around the core
 a whole (with other articles beside it that reach the threshold); a main element without
 articles that hold most of its text only bounds the search.
 
-Scripts, styles, controls and embedded media are always left out. Menus, page headers,
+Scripts, styles, controls and the stand-in texts of embedded media are always left out;
+formulas, drawings' texts, image maps and objects are text like any other. Menus, page headers,
 footers, sidebars, notices, adverts, forms and comments are left out of the tree by element,
 role, class and id before densities are taken, unless the page's text lies in them: a
 wrapper stays where it holds a main element or (for a form, or where nothing outside is
@@ -42,7 +43,7 @@ BLOCK = frozenset(
     "td tfoot th thead tr ul".split())
 DROPPED = frozenset(
     "head script style noscript template nav footer aside form button select option optgroup textarea input label "
-    "iframe svg math canvas object embed audio video dialog menu map datalist noembed noframes title".split())
+    "iframe canvas embed audio video dialog menu datalist noembed noframes title annotation annotation-xml".split())
 WRAPPERS = frozenset("head nav footer aside form dialog menu".split())
 EXTENT = frozenset(("article", "main"))
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -65,8 +66,8 @@ MODIFIERS = frozenset("has no not with without category tag".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT, WRAPPER, FIRM, CONTROL = range(4)
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,65536}+"|'[^']{0,65536}+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)""", re.S)
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -106,6 +107,32 @@ def _unwanted(tag: str, attributes: str, in_extent: bool) -> int:
     return found
 
 
+def _tag_end(source: str, at: int, gone: set[str]) -> int:
+    """Where a tag ends whose name ends at ``at``: the first > outside quotes, however long the
+    quoted values are. A quote that is never closed is no quote: the tag ends at the first >.
+    ``gone`` collects quotes that do not occur further on, so that they are sought only once."""
+    i = at
+    while (m := _STOP.search(source, i)) is not None:
+        quote = m[0]
+        if quote == ">":
+            return m.start()
+        j = -1 if quote in gone else source.find(quote, m.end())
+        if j < 0:
+            gone.add(quote)
+            break
+        i = j + 1
+    return source.find(">", at)
+
+
+def density(chars: int, tags: int, link_chars: int, link_tags: int, body: float) -> float:
+    """Link-adjusted characters per tag of a subtree; ``body`` is the page's share of link characters."""
+    if not chars:
+        return 0.0
+    lc, lt, t = max(link_chars, 1), max(link_tags, 1), max(tags, 1)
+    base = math.log(chars / max(chars - lc, 1) * lc + body * chars + math.e)
+    return chars / t * max(math.log(chars / lc * t / lt), 0.0) / math.log(base)
+
+
 class Page:
     """A repaired tree in document order: node i has tag, parent and items (text or node)."""
 
@@ -116,6 +143,7 @@ class Page:
         extent = [False]  # whether the node lies in an article or main element
         open_tags: Counter[str] = Counter()
         stack, at, last = [0], 0, source.rfind(">") + 1
+        gone: set[str] = set()
 
         def close(depth: int) -> None:
             open_tags.subtract(self.tag[s] for s in stack[depth:])
@@ -134,10 +162,13 @@ class Page:
                 break
             text(source[at:m.start()])
             at = m.end()
-            tag = (m[2] or m[5] or "").lower()
+            tag = (m[2] or "").lower()
             if not tag:
                 continue
-            if m[1] or m[4]:
+            end = _tag_end(source, at, gone)
+            attributes = source[at:end]
+            at = end + 1
+            if m[1]:
                 if not open_tags[tag]:
                     continue
                 for depth in range(len(stack) - 1, 0, -1):
@@ -171,15 +202,14 @@ class Page:
                     self._add(tag, stack[-1], KEPT)
                     extent.append(extent[stack[-1]])
                 continue
-            attributes = m[3] if m[2] else m[6]
             inside = extent[stack[-1]]
-            node = self._add(tag, stack[-1], _unwanted(tag, attributes or "", inside))
+            node = self._add(tag, stack[-1], _unwanted(tag, attributes, inside))
             extent.append(inside or tag in EXTENT)
             if tag in RAW:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                close_tag = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+                at = close_tag.end() if close_tag else len(source)
                 continue
-            if not (attributes or "").rstrip().endswith("/") or tag in BLOCK:
+            if not attributes.rstrip().endswith("/") or tag in BLOCK:
                 stack.append(node)
                 open_tags[tag] += 1
 
@@ -309,14 +339,7 @@ class Page:
             return set()
         body = link_chars[0] / chars[0]
 
-        def density(c: int, t: int, lc: int, lt: int) -> float:
-            if not c:
-                return 0.0
-            lc, lt, t = max(lc, 1), max(lt, 1), max(t, 1)
-            base = math.log(c / max(c - lc, 1) * lc + body * c + math.e)
-            return c / t * max(math.log(c / lc * t / lt), 0.0) / math.log(base)
-
-        dens = [density(*x) for x in zip(chars, tags, link_chars, link_tags, strict=True)]
+        dens = [density(*x, body) for x in zip(chars, tags, link_chars, link_tags, strict=True)]
         sums = [0.0] * n
         for i in range(n - 1, -1, -1):
             if self.gone[i]:
@@ -325,7 +348,7 @@ class Page:
             if not kids:
                 sums[i] += dens[i]
             else:
-                sums[i] += sum(density(c, 1, 0, 0) for c in own[i])
+                sums[i] += sum(density(c, 1, 0, 0, body) for c in own[i])
             if self.parent[i] >= 0:
                 sums[self.parent[i]] += dens[i]
         alive = [i for i in range(n) if not self.gone[i] and chars[i]]
