@@ -256,6 +256,39 @@ def test_plain_characters_encode_alike():
     assert all(got.tolist() == tok.whole(t).tolist() for got, t in zip(tok.plain(texts), texts, strict=True))
 
 
+def test_another_vocabulary_gives_its_own_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Upper and lower Words, don't 12 34!", "", "  two  spaces\n\nlines", "漢字 é"]
+    own = Tokenizer.from_file(path)
+    got = dict(packing.PieceTokenizer(path).documents(texts))
+    assert [got[i].tolist() for i in range(len(texts))] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing.PieceTokenizer(packing.default_tokenizer_path()).piecewise
+
+
+def test_short_documents_leave_little_padding(spark):
+    """Texts of five words, of one word and of none: the segments of a sequence set no limit."""
+    rng = random.Random(2)
+    words = "the of and to a in is it you that".split()
+    for low, high in ((5, 5), (1, 1), (0, 1)):
+        rows = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(low, high)))) for k in range(20_000)]
+        got = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+        bins = Counter()
+        for r in got:
+            bins[r["sequence_id"]] += r["length"]
+        assert len(got) == 20_000
+        assert 1 - sum(bins.values()) / (2048 * len(bins)) < 0.05
+    few = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), max_segments=64).collect()
+    assert max(Counter(r["sequence_id"] for r in few).values()) == 64
+
+
+def test_packing_keeps_null_ids_and_repeated_rows(spark, odd):
+    docs = odd.filter("doc_id IS NULL OR doc_id = 7")
+    got = Counter((r["doc_id"], r["length"], r["doc_tokens"]) for r in packing.pack_documents(docs).collect())
+    assert sorted(got.values()) == [1, 2] and sum(got.values()) == docs.count()
+
+
 def test_bins_respect_every_limit():
     rng = random.Random(5)
     items = [((rng.randint(1, 100), 1, rng.randint(0, 60)), k) for k in range(2000)]
