@@ -60,12 +60,10 @@ _kinds: dict[str, np.ndarray] = {}
 
 def _classes() -> dict[str, np.ndarray]:
     if not _kinds:
-        n = 0x3000
-        chars = [chr(i) for i in range(n)]
-        _kinds["digit"] = np.array([c.isdigit() for c in chars])
-        _kinds["upper"] = np.array([c.isupper() for c in chars])
-        _kinds["space"] = np.array([c.isspace() for c in chars])
-        _kinds["stop"] = np.array([c in ".,;:?!'\"" for c in chars])
+        for name, test in (("digit", str.isdigit), ("upper", str.isupper), ("space", str.isspace)):
+            _kinds[name] = np.fromiter((test(chr(i)) for i in range(0x110000)), dtype=bool, count=0x110000)
+        _kinds["stop"] = np.zeros(0x110000, dtype=bool)
+        _kinds["stop"][[ord(c) for c in ".,;:?!'\"。、，；：？！．"]] = True
     return _kinds
 
 
@@ -93,10 +91,9 @@ def features(texts: list[str | None]) -> Features:
         sizes = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
         bounds = np.cumsum(sizes)
         begin = bounds - sizes
-        low = np.minimum(codes, 0x2FFF)
         is_letter = letters[codes]
-        space = classes["space"][low]
-        upper, digit, stop = classes["upper"][low], classes["digit"][low], classes["stop"][low]
+        space = classes["space"][codes]
+        upper, digit, stop = classes["upper"][codes], classes["digit"][codes], classes["stop"][codes]
         symbol = ~(is_letter | space | digit | stop)
 
         def per_part(mask, begin=begin):
