@@ -1,24 +1,27 @@
 """Month-end entity scorecard: six cuts x 17 measures, past buyers, long format.
 
-Plan of ``entity_scorecard`` (one history scan, two scans of the period slice):
-
-1. period lines: base rows in [start, end] + broadcast mapping / cash-and-carry orgs
-   (both size-checked), fulfilment type, shipped GMV per line;
-2. first purchase per (buyer, category) over history up to ``end`` — a partial
-   aggregation — unioned with the period's (buyer, category, month) cells, exchanged
-   once on the buyer; ``min`` windows per segment give each cell's New/Repeat flag and
-   each history pair its past-buyer label (no join, and a buyer's rows are bounded by
-   categories x months, so a hot buyer cannot swamp a task);
-3. order-grain rows (from 1), buyer-grain rows and past-buyer rows (from 2) are exploded
-   into the six (dim, entity) cuts, folded at (dim, entity, key) with ``max`` / ``sum``
-   — partial aggregation map-side — and counted per (dim, entity).
-
-This replaces six multi-distinct aggregates over a stage table, six past-buyer scans and
-a join with one pass; ``dim`` is carried so cuts sharing a label prefix never collide.
+Plan of ``entity_scorecard`` (one scan of the history, one of the period slice):
+
+1. orders: the period's base lines + cash-and-carry orgs are folded to (order, category,
+   whether there is a buyer) with all order flags and money sums — a partial aggregation, so
+   a hot order is combined before it moves — then placed by order; the mapping, the six cuts
+   and the fold to (dim, entity, order) all happen on that placement;
+2. buyers: base lines up to the period's end are folded to (buyer, category, month of the
+   period or none) with first month and day and the credit flag, then placed by buyer;
+   ``min`` windows per segment give each period cell's New/Repeat flag, and the six cuts and
+   the fold to (dim, entity, buyer) again need no other exchange (a buyer's rows are bounded
+   by categories x months, so a hot buyer cannot swamp a task);
+3. keys are counted per (dim, entity) in each task; only those counts move once more.
+
+No line is copied for a cut before it is folded, and no copy is shuffled. This replaces six
+multi-distinct aggregates over a stage table, six past-buyer scans and a join; ``dim`` is
+carried so cuts sharing a label prefix never collide.
 """
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,30 +126,36 @@ def carry_first_purchases(txn: DataFrame, base: str, upto) -> DataFrame:
     return stage.publish(merge_first_purchases(old, first_purchases(txn, upto, since=since)), base, about={"upto": upto})
 
 
-def first_purchase_cells(txn: DataFrame, mp: DataFrame, lines: DataFrame, end,
+def first_purchase_cells(txn: DataFrame, mp: DataFrame, start, end,
                          state: DataFrame | None = None, state_upto=None) -> DataFrame:
-    """History pairs (``_src='h'``: buyer, category, first month/date up to ``end``) and
-    period cells (``_src='p'``: buyer, category, month, credit-and-shipped flag), with the
-    buyer's first month in every segment (``_first_<segment>``).
+    """One scan of the history as cells: (buyer, category) outside the period (``_src='h'``) and
+    (buyer, category, month) in it (``_src='p'``, with a credit-and-shipped flag), each with its
+    first month and day, and the buyer's first month in every segment (``_first_<segment>``).
 
     ``state``: an optional ``first_purchases`` table covering history up to
-    ``state_upto`` (<= ``end``); only the fact slice after it is read.
+    ``state_upto`` (<= ``end``); only the fact after it, and the period, are read.
     One hash exchange on the buyer, then ``min`` windows per segment that all reuse it.
     """
-    if state is None:
-        fp = first_purchases(txn, end)
-    else:
+    since = None
+    if state is not None:
         if state_upto is None or str(state_upto) > str(end):
             raise ValueError("a first-purchase state must cover history up to a date <= the period end")
-        fp = merge_first_purchases(state.select(BUYER, "category", "first_month", "first_date"),
-                                   first_purchases(txn, end, since=state_upto))
-    fm = fp.select(BUYER, "category", F.col("first_month").alias("_fm"), F.col("first_date").alias("_fd"))
-    pb = lines.groupBy(BUYER, "category", "order_month").agg(
-        F.expr(f"max({P.sql_flag(f'{P.CREDIT_SQL} AND {P.SHIP_SQL}')}) AS _credit"))
-    u = fm.selectExpr(BUYER, "category", "'h' AS _src", "_fm", "_fd", "CAST(NULL AS INT) AS order_month",
-                      "CAST(NULL AS INT) AS _credit").unionByName(
-        pb.selectExpr(BUYER, "category", "'p' AS _src", "CAST(NULL AS INT) AS _fm", "CAST(NULL AS DATE) AS _fd",
-                      "CAST(order_month AS INT) AS order_month", "CAST(_credit AS INT) AS _credit"))
+        before = str(date.fromisoformat(str(start)[:10]) - timedelta(days=1))
+        since = min(str(state_upto)[:10], before)  # days read twice change no minimum
+    c = F.col("include").isNull() & F.col("order_date").isNotNull() & P.month_prune(since, end) & (F.col("order_date") <= _d(end))
+    if since is not None:
+        c = c & (F.col("order_date") > _d(since))
+    inside = f"(order_date >= DATE {P.sql_lit(start)})"
+    rows = txn.filter(c).selectExpr(
+        BUYER, "category", f"CASE WHEN {inside} THEN 'p' ELSE 'h' END AS _src",
+        f"CASE WHEN {inside} THEN CAST(order_month AS INT) END AS _pm", "order_month AS _m", "order_date AS _d",
+        f"CASE WHEN {inside} THEN {P.sql_flag(f'{P.CREDIT_SQL} AND {P.SHIP_SQL}')} END AS _c")
+    u = rows.groupBy(BUYER, "category", "_src", F.col("_pm").alias("order_month")).agg(
+        F.min("_m").alias("_fm"), F.min("_d").alias("_fd"), F.max("_c").alias("_credit"))
+    if state is not None:
+        u = u.unionByName(state.selectExpr(
+            BUYER, "category", "'h' AS _src", "CAST(NULL AS INT) AS order_month", "first_month AS _fm", "first_date AS _fd",
+            "CAST(NULL AS INT) AS _credit"))
     u = u.join(mp, "category", "left").withColumn("_mapped", F.coalesce(F.col("_mapped"), F.lit(False)))
     u = u.repartition(BUYER)
     wins = [f"min(_fm) OVER (PARTITION BY {BUYER}{', ' + col if col else ''}) AS _first_{seg}"
@@ -176,7 +185,7 @@ def buyer_cuts_raw(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start, en
     ``entity_scorecard``."""
     mp, cn = dims(mapping, cnc)
     lines = period_lines(txn, mp, cn, start, end, codes)
-    cells = first_purchase_cells(txn, mp, lines, end, state, state_upto).filter(F.col("_src") == "p")
+    cells = first_purchase_cells(txn, mp, start, end, state, state_upto).filter(F.col("_src") == "p")
     flags = cells.select(BUYER, "category", "order_month", *[_flag(cells, s).alias(n) for n, s in FLAG_COLUMNS])
     pre = lines.groupBy(BUYER, "category", "order_month", *ATTRS, "order_status", "order_id", "shipment_status",
                         "payment_mode", "fulfillment_type", "cnc_tag").agg(
@@ -247,66 +256,72 @@ def entity_scorecard(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
     run (see ``first_purchase_cells``); the result is identical, the history is not re-read.
     """
     mp, cn = dims(mapping, cnc)
-    lines = period_lines(txn, mp, cn, start, end, codes)
-    cells = first_purchase_cells(txn, mp, lines, end, state, state_upto)
-    sch = lines.schema
-    ok_t, bk_t = sch["order_id"].dataType.simpleString(), sch[BUYER].dataType.simpleString()
+    orders = _order_counts(txn, mp, cn, start, end, codes)
+    buyers = _buyer_counts(first_purchase_cells(txn, mp, start, end, state, state_upto), start, cuts)
+    # two small tables of counts, stacked and added up: their groups meet without a join
+    names = {f.name: f.dataType.simpleString() for df in (orders, buyers) for f in df.schema if f.name not in ("dim", "entity")}
+    stacked = [df.selectExpr("dim", "entity", *[n if n in df.columns else f"CAST(NULL AS {t}) AS {n}" for n, t in names.items()])
+               for df in (orders, buyers)]
+    out = stacked[0].unionByName(stacked[1]).groupBy("dim", "entity").agg(*[F.max(n).alias(n) for n in names])
+    zero = {n: f"coalesce({n}, 0L) AS {n}" for n in BUYER_FLAGS}
+    return out.filter("_has_o > 0").selectExpr(
+        "dim", "entity", *[zero.get(n, n) for n in OUTPUT if n != "past_buyers"],
+        "CASE WHEN _has_h > 0 THEN _past END AS past_buyers")
+
+
+def _order_counts(txn: DataFrame, mp: DataFrame, cn: DataFrame, start, end, codes: C.FulfilmentCodes) -> DataFrame:
+    """(dim, entity, order counts, money) of the period; ``_has_o`` > 0 marks that there are lines."""
+    t = txn.filter(F.col("include").isNull() & P.month_prune(start, end)
+                   & F.col("order_date").between(_d(start), _d(end)))
+    amount = t.schema["total_line_amount"].dataType
+    cents = 10 ** (amount.scale if hasattr(amount, "scale") else 2)
+    lines = t.join(cn, F.col("seller_org_id") == F.col("_cnc_org"), "left").selectExpr(
+        "order_id", "category", f"{BUYER} IS NOT NULL AS _buyer", "order_status", "shipment_status", "payment_mode",
+        f"{_fulfilment_sql(codes)} AS fulfillment_type", "CASE WHEN _cnc_org IS NOT NULL THEN 'CNC' END AS cnc_tag",
+        "CASE WHEN first_shipped IS NOT NULL THEN total_line_amount END AS shipped_gmv", "total_line_amount AS gmv")
+    # money as exact integer cents: bigint sums stay on the fast aggregation path (ANSI mode
+    # raises on overflow instead of wrapping)
+    folded = lines.selectExpr(
+        "order_id", "category", "_buyer", *[f"{P.sql_flag(c)} AS f_{n}" for n, c in _ORDER_FLAG_SQL.items()],
+        *[f"CAST(({_SUM_SQL[n]}) * {cents} AS BIGINT) AS s_{n}" for n in SUMS]).groupBy("order_id", "category", "_buyer")
+
+    def fold() -> list[Column]:
+        return [*[F.max(f"f_{n}").alias(f"f_{n}") for n in ORDER_FLAGS], *[F.sum(f"s_{n}").alias(f"s_{n}") for n in SUMS]]
+
+    values = [*[f"f_{n}" for n in ORDER_FLAGS], *[f"s_{n}" for n in SUMS]]
+    placed = folded.agg(*fold()).repartition("order_id").join(mp, "category", "left").selectExpr(
+        "order_id", "category", *values,
+        # attributes come with the buyer: a line without one belongs to the null entities
+        *[f"CASE WHEN _buyer THEN {a} END AS {a}" for a in ATTRS])
+    o_cuts = ", ".join(f"named_struct('dim', '{d}', 'entity', {_label_sql(d, p, nl)})" for d, p, nl in C.SCORECARD_DIMS)
+    each = (placed.selectExpr("order_id", f"inline(array({o_cuts}))", *values)
+            .groupBy("dim", "entity", "order_id").agg(*fold()))
+    return each.groupBy("dim", "entity").agg(*[F.expr(e) for e in (
+        "count(1) AS _has_o", "count(order_id) AS placed_orders",
+        *[f"count(CASE WHEN f_{n} = 1 THEN order_id END) AS {n}" for n in ORDER_FLAGS],
+        *[f"CAST(sum(CAST(s_{n} AS DECIMAL(28, 0))) / {cents} AS DOUBLE) AS {n}" for n in SUMS])])
+
+
+def _buyer_counts(cells: DataFrame, start, cuts: C.CustomCuts) -> DataFrame:
+    """(dim, entity, buyer counts, ``_past`` and ``_has_h``): New, Repeat and credit buyers from the
+    period's cells, past buyers from the cells before it."""
     flag_seg = {"category": "category", "business_unit": "business_unit", "cust_cat_phones": "cust_cat_phones",
                 "cust_cat_hnk": "cust_cat_hnk" if cuts.hnk_flag == "own" else "cust_cat_phones",
                 "business_group": "business_group", "overall": "overall"}
-    all_flags = (*ORDER_FLAGS, *BUYER_FLAGS)
-    scale = sch["gmv"].dataType.scale if hasattr(sch["gmv"].dataType, "scale") else 2
-    cents = 10 ** scale
-
-    def row(g: str, ok: str, bk: str, flags: dict[str, str], sums: dict[str, str]) -> list[str]:
-        """One level-1 input row: grain, keys, 0/1 flags and money sums, as SQL text."""
-        return [f"{g} AS g", f"CAST({ok} AS {ok_t}) AS ok", f"CAST({bk} AS {bk_t}) AS bk",
-                *[(flags[n] if n in flags else "CAST(NULL AS INT)") + f" AS f_{n}" for n in all_flags],
-                # money as exact integer cents: bigint sums stay on the fast aggregation path
-                # (ANSI mode raises on overflow instead of wrapping)
-                *[f"CAST(({sums[n] if n in sums else 'NULL'}) * {cents} AS BIGINT) AS s_{n}" for n in SUMS]]
-
-    # order grain: every period line in all six cuts
-    o_cuts = ", ".join(f"named_struct('dim', '{d}', 'entity', {_label_sql(d, p, nl)})"
-                       for d, p, nl in C.SCORECARD_DIMS)
-    o_rows = lines.selectExpr(
-        f"inline(array({o_cuts}))",
-        *row("'o'", "order_id", "NULL", {n: P.sql_flag(c) for n, c in _ORDER_FLAG_SQL.items()}, _SUM_SQL))
-
-    # buyer grain and past buyers from ONE pass over the windowed cells (two filtered
-    # consumers would be column-pruned apart and re-scan the history):
-    #   period cell  -> 'b' row: New/Repeat under the cut's own flag segment, credit flag
-    #   history pair -> 'h' row: a buyer who bought in the segment before the period
     bh_cuts = ", ".join(
         f"named_struct('dim', '{d}', "
         f"'entity', CASE WHEN _src = 'p' THEN {_label_sql(d, p, nl)} ELSE {_past_label_sql(d, p)} END, "
-        f"'g', CASE WHEN _src = 'p' THEN 'b' ELSE 'h' END, "
-        f"'_new', _src = 'p' AND _mapped AND order_month = _first_{flag_seg[d]}, "
-        f"'_rep', _src = 'p' AND _mapped AND order_month <> _first_{flag_seg[d]})"
+        f"'f_new_buyers', {P.sql_flag(f'_src = {P.sql_lit("p")} AND _mapped AND order_month = _first_{flag_seg[d]}')}, "
+        f"'f_repeat_buyers', {P.sql_flag(f'_src = {P.sql_lit("p")} AND _mapped AND order_month <> _first_{flag_seg[d]}')})"
         for d, p, nl in C.SCORECARD_DIMS)
-    bh = (cells.filter(f"_src = 'p' OR _fd < DATE {P.sql_lit(start)}")
-          .selectExpr(f"inline(array({bh_cuts}))", BUYER, "_credit")
-          .filter("entity IS NOT NULL"))
-    bh_rows = bh.selectExpr("dim", "entity", *row(
-        "g", "NULL", BUYER, {"new_buyers": P.sql_flag("_new"), "repeat_buyers": P.sql_flag("_rep"),
-                             "credit_buyers": P.sql_flag("g = 'b' AND _credit = 1")}, {}))
-
-    allr = o_rows.unionByName(bh_rows)
-    lvl1 = allr.groupBy("dim", "entity", "g", "ok", "bk").agg(
-        *[F.expr(f"max(f_{n}) AS f_{n}") for n in all_flags], *[F.expr(f"sum(s_{n}) AS s_{n}") for n in SUMS])
-    is_o, is_b = "g = 'o' AND ok IS NOT NULL", "g = 'b' AND bk IS NOT NULL"
-    lvl2 = lvl1.groupBy("dim", "entity").agg(*[F.expr(e) for e in (
-        "count(CASE WHEN g = 'o' THEN 1 END) AS _has_o",
-        "count(CASE WHEN g = 'h' THEN 1 END) AS _has_h",
-        f"count(CASE WHEN {is_o} THEN 1 END) AS placed_orders",
-        *[f"count(CASE WHEN {is_o} AND f_{n} = 1 THEN 1 END) AS {n}" for n in ORDER_FLAGS],
-        *[f"count(CASE WHEN {is_b} AND f_{n} = 1 THEN 1 END) AS {n}" for n in BUYER_FLAGS],
-        "count(CASE WHEN g = 'h' AND bk IS NOT NULL THEN 1 END) AS _past",
-        *[f"CAST(sum(CAST(s_{n} AS DECIMAL(28, 0))) / {cents} AS DOUBLE) AS {n}" for n in SUMS])])
-    out = lvl2.filter("_has_o > 0").selectExpr(
-        "dim", "entity", *[n for n in OUTPUT if n != "past_buyers"],
-        "CASE WHEN _has_h > 0 THEN _past END AS past_buyers")
-    return out.select("dim", "entity", *OUTPUT)
+    flags = {**{f"f_{n}": f"f_{n}" for n in BUYER_FLAGS[:2]}, "f_credit_buyers": P.sql_flag("_src = 'p' AND _credit = 1"),
+             "f_past": P.sql_flag("_src = 'h'")}
+    each = (cells.filter(f"_src = 'p' OR _fd < DATE {P.sql_lit(start)}")
+            .selectExpr(BUYER, f"inline(array({bh_cuts}))", *[f"{e} AS {n}" for n, e in flags.items() if n != e])
+            .filter("entity IS NOT NULL").groupBy("dim", "entity", BUYER).agg(*[F.max(n).alias(n) for n in flags]))
+    return each.groupBy("dim", "entity").agg(
+        *[F.expr(f"count(CASE WHEN f_{n} = 1 THEN {BUYER} END) AS {n}") for n in BUYER_FLAGS],
+        F.expr(f"count(CASE WHEN f_past = 1 THEN {BUYER} END) AS _past"), F.expr("count(CASE WHEN f_past = 1 THEN 1 END) AS _has_h"))
 
 
 def scorecard_long(sc: DataFrame, month_label: str,

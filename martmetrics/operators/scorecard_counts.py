@@ -54,7 +54,7 @@ def scorecard_counts(txn: DataFrame, mapping: DataFrame, cnc: DataFrame, start,
     names = ("placed_orders", *ORDER_FLAGS)
     by_order = bitmaps.counts(orders.selectExpr(f"inline(array({o_cuts}))", bitmaps.CHUNK, *names), ("dim", "entity"), names)
 
-    buyers = buyer_cells(first_purchase_cells(txn, mp, lines, end, state, state_upto), start)
+    buyers = buyer_cells(first_purchase_cells(txn, mp, start, end, state, state_upto), start)
     b_cuts = ", ".join(
         f"named_struct('dim', '{d}', 'entity', CASE WHEN _h THEN {_past_label_sql(d, p)} ELSE {_label_sql(d, p, nl)} END, "
         f"'new_buyers', new_{segments[d]}, 'repeat_buyers', rep_{segments[d]})" for d, p, nl in C.SCORECARD_DIMS)
