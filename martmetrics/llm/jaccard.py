@@ -8,10 +8,11 @@ document whose unshared shingles fill its prefix has no link at all; the others
 their shared shingles, which is all that an intersection needs.
 
 Counting frequencies moves packed arrays: a task turns about ``CHUNK_BYTES`` of text into
-one chunk of (hash, document number) entries, cut by hash range into buckets; a bucket
-counts and answers each chunk with its shared entries. A shingle frequent inside a chunk
-travels as one count, and its entries follow in rows of their own that a bucket streams
-past, so a shingle of a third of all documents does not fill a task.
+one chunk of (hash, document number) entries, cut by hash range into buckets (only those it
+has entries for); a bucket counts and answers each chunk with its shared entries. A shingle
+frequent inside a chunk travels as one count and its frequency comes back; its entries stay
+with the chunk, so a shingle of a third of all documents fills no task. A partition holds
+many buckets one after the other, and there are at most ``PARTITIONS``.
 
 Links are found without listing all pairs of a group. Documents with equal sets are one
 class. Star rounds compare each class with pivots of its prefix shingles (length filter,
@@ -47,6 +48,7 @@ PERCENT = 85
 CHUNK_BYTES = 1_500_000
 CHUNK_DOCS = 60_000
 BUCKET_BYTES = 8_000_000
+PARTITIONS = 8192
 #: Classes of a shingle up to which the last round joins pairs, and the block size beyond.
 FEW = 48
 GROUP_BLOCK = 512
@@ -89,7 +91,15 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
 _MAPPED = "bucket int, kind int, chunk bigint, a binary, b binary, c binary, d binary"
 _MAPPED_NAMES = ["bucket", "kind", "chunk", "a", "b", "c", "d"]
 _MAPPED_TYPES = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
-HEADER, LIGHT, REFS = 0, 1, 2
+HEADER, LIGHT, REFS, HEAVY_KEYS = 0, 1, 2, 3
+
+
+def _runs_of(values: np.ndarray) -> dict[int, tuple[int, int]]:
+    """value -> (start, end) of its run, for sorted values."""
+    if not len(values):
+        return {}
+    at = np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]))
+    return dict(zip(values[at[:-1]].tolist(), zip(at[:-1].tolist(), at[1:].tolist(), strict=True), strict=True))
 
 
 def _mapper(words: int, buckets: int):
@@ -116,18 +126,16 @@ def _mapper(words: int, buckets: int):
         heavy = times >= HEAVY
         is_heavy = np.repeat(heavy, times)
         heavy_key, heavy_times = e_key[new[heavy]], times[heavy]
-        cuts = {k: np.searchsorted(_bucket(v, buckets), np.arange(buckets + 1)) for k, v in (
-            ("light", e_key[~is_heavy]), ("heavy", heavy_key), ("refs", e_key[is_heavy]))}
         light, refs = e[~is_heavy], e[is_heavy]
-        for b in range(buckets):
-            i, j = cuts["light"][b], cuts["light"][b + 1]
-            p, q = cuts["heavy"][b], cuts["heavy"][b + 1]
-            if j > i or q > p:
-                rows.append((b, LIGHT, chunk, light[i:j].astype("<u8").tobytes(), heavy_key[p:q].astype("<u8").tobytes(),
-                             heavy_times[p:q].astype("<i8").tobytes(), None))
-            i, j = cuts["refs"][b], cuts["refs"][b + 1]
-            if j > i:
-                rows.append((b, REFS, chunk, refs[i:j].astype("<u8").tobytes(), None, None, None))
+        if len(refs):  # they wait for their frequencies beside the header
+            rows.append((chunk % buckets, REFS, chunk, refs.astype("<u8").tobytes(), None, None, None))
+        cuts = _runs_of(_bucket(e_key[~is_heavy], buckets))
+        heavy_cuts = _runs_of(_bucket(heavy_key, buckets))
+        for b in sorted(cuts.keys() | heavy_cuts.keys()):
+            i, j = cuts.get(b, (0, 0))
+            p, q = heavy_cuts.get(b, (0, 0))
+            rows.append((b, LIGHT, chunk, light[i:j].astype("<u8").tobytes(), heavy_key[p:q].astype("<u8").tobytes(),
+                         heavy_times[p:q].astype("<i8").tobytes(), None))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _MAPPED_TYPES, strict=True)],
                                           names=_MAPPED_NAMES)
 
@@ -157,46 +165,45 @@ def _classes(df: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows sorted by (bucket, kind): answers each chunk with its shared entries."""
+    """For rows sorted by (bucket, kind): answers each chunk with its shared entries and the
+    frequencies of its heavy shingles; what belongs to the chunk itself passes through."""
     held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-    bucket, uniq, df = None, None, None
-    empty = np.zeros(0, "<u8")
+    bucket = None
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _MAPPED_TYPES[1:], strict=True)],
                                           names=_MAPPED_NAMES[1:])
 
     def settle() -> Iterator[pa.RecordBatch]:
-        nonlocal held, uniq, df
+        nonlocal held
         if not held:
             return
+        lights = sum(len(x[1]) for x in held)
         keys = np.concatenate([x[1] >> _U(16) for x in held] + [x[2] for x in held])
-        weight = np.concatenate([np.ones(sum(len(x[1]) for x in held), np.int64)] + [x[3] for x in held])
+        weight = np.concatenate([np.ones(lights, np.int64)] + [x[3] for x in held])
         uniq, inv = np.unique(keys, return_inverse=True)
         df = np.bincount(inv, weights=weight, minlength=len(uniq)).astype(np.int64)
-        at = 0
-        for chunk, e, _, _ in held:
+        at, heavy_at = 0, lights
+        for chunk, e, heavy, _ in held:
             f = df[inv[at: at + len(e)]]
             at += len(e)
             m = f > 1
             if m.any():
                 yield out([(LIGHT, chunk, e[m].tobytes(), _classes(f[m]).tobytes(), None, None)])
+            if len(heavy):
+                yield out([(HEAVY_KEYS, chunk, heavy.tobytes(), _classes(df[inv[heavy_at: heavy_at + len(heavy)]]).tobytes(), None, None)])
+                heavy_at += len(heavy)
         held = []
 
     for batch in batches:
         for b, kind, chunk, a, bb, c, d in zip(*(x.to_pylist() for x in batch.columns), strict=True):
             if b != bucket:
                 yield from settle()
-                bucket, uniq, df = b, empty, np.zeros(0, np.int64)
-            if kind == HEADER:
-                yield out([(HEADER, chunk, a, bb, c, d)])
-            elif kind == LIGHT:
+                bucket = b
+            if kind == LIGHT:
                 held.append((chunk, np.frombuffer(a, "<u8"), np.frombuffer(bb, "<u8"), np.frombuffer(c, "<i8")))
             else:
-                yield from settle()
-                e = np.frombuffer(a, "<u8")
-                f = df[np.searchsorted(uniq, e >> _U(16))]
-                yield out([(LIGHT, chunk, a, _classes(f).tobytes(), None, None)])
+                yield out([(kind, chunk, a, bb, c, d)])
     yield from settle()
 
 
@@ -204,8 +211,15 @@ _DOCS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, unshared bigint, prefix
 
 
 def _prefixes(percent: int):
-    def finish(header, parts) -> pa.RecordBatch:
+    def finish(header, parts, refs, heavy) -> pa.RecordBatch:
         has, ids, n, sums = header
+        if refs:  # the entries of heavy shingles meet their frequencies here
+            keys = np.concatenate([np.frombuffer(a, "<u8") for a, _ in heavy])
+            by = np.argsort(keys)
+            classes = np.concatenate([np.frombuffer(b, np.uint8) for _, b in heavy])[by]
+            for a in refs:
+                at = np.searchsorted(keys[by], np.frombuffer(a, "<u8") >> _U(16))
+                parts.append((a, classes[at].tobytes()))
         ids, n = np.frombuffer(ids, "<i8"), np.frombuffer(n, "<i4").astype(np.int64)
         d1, d2 = np.frombuffer(sums, "<u8").reshape(2, -1).astype("<u8").view("<i8")
         e = np.concatenate([np.frombuffer(p[0], "<u8") for p in parts]) if parts else np.zeros(0, "<u8")
@@ -227,19 +241,21 @@ def _prefixes(percent: int):
             names=["doc_id", "n", "d1", "d2", "unshared", "prefix", "shared"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, header, parts = None, None, []
+        now, header, parts, refs, heavy = None, None, [], [], []
         for batch in batches:
             for kind, chunk, a, b, c, d in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if chunk != now:
                     if header:
-                        yield finish(header, parts)
-                    now, header, parts = chunk, None, []
+                        yield finish(header, parts, refs, heavy)
+                    now, header, parts, refs, heavy = chunk, None, [], [], []
                 if kind == HEADER:
                     header = (a, b, c, d)
+                elif kind == REFS:
+                    refs.append(a)
                 else:
-                    parts.append((a, b))
+                    (heavy if kind == HEAVY_KEYS else parts).append((a, b))
         if header:
-            yield finish(header, parts)
+            yield finish(header, parts, refs, heavy)
 
     return run
 
@@ -251,10 +267,11 @@ def prefix_table(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_BYTES))
+    parts = min(buckets, PARTITIONS)
     counted = (rows.mapInArrow(_mapper(words, buckets), _MAPPED)
-               .repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+               .repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
                .mapInArrow(_count, ", ".join(_MAPPED.split(", ")[1:])))
-    return stage_table(counted.repartition(buckets, "chunk").sortWithinPartitions("chunk", "kind")
+    return stage_table(counted.repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
                        .mapInArrow(_prefixes(percent), _DOCS), "jaccard-docs")
 
 
