@@ -324,6 +324,14 @@ def _buyer_counts(cells: DataFrame, start, cuts: C.CustomCuts) -> DataFrame:
         F.expr(f"count(CASE WHEN f_past = 1 THEN {BUYER} END) AS _past"), F.expr("count(CASE WHEN f_past = 1 THEN 1 END) AS _has_h"))
 
 
+def with_percentages(sc: DataFrame) -> DataFrame:
+    """The scorecard with ``rto_pct`` and ``credit_gmv_pct``, which the long format's rows named "%"
+    do not hold (they carry the amounts): returned value of all placed, and shipped value on
+    credit of all shipped, in percent; NULL where there is nothing to divide by."""
+    return sc.withColumns({"rto_pct": F.try_divide(F.lit(100.0) * F.col("rto_gmv"), F.col("placed_gmv")),
+                           "credit_gmv_pct": F.try_divide(F.lit(100.0) * F.col("credit_gmv"), F.col("shipped_gmv"))})
+
+
 def scorecard_long(sc: DataFrame, month_label: str,
                    particulars: tuple[tuple[str, str], ...] = C.PARTICULARS) -> DataFrame:
     """Long format: one row per entity and particular (particular, month, category,

@@ -68,6 +68,10 @@ def q_entity_scorecard(spark: SparkSession, sf: str) -> DataFrame:
                                       SC_START, SC_END, CFG.fulfilment, CFG.cuts)
 
 
+def q_scorecard_percentages(spark: SparkSession, sf: str) -> DataFrame:
+    return scorecard.with_percentages(q_entity_scorecard(spark, sf)).select("dim", "entity", "rto_pct", "credit_gmv_pct")
+
+
 def q_scorecard_long(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.scorecard_long(q_entity_scorecard(spark, sf), MONTH_LABEL)
 
@@ -228,6 +232,9 @@ SQL_BUYER_CUTS_RAW = td.with_adapter(
 SQL_PAST_BUYERS = td.with_adapter("SELECT * FROM past", _past_sql())
 _SC_CTES = (newrep_sql(), _cells_sql(), _past_sql(), _scorecard_sql())
 SQL_ENTITY_SCORECARD = td.with_adapter("SELECT * FROM scored", *_SC_CTES)
+SQL_SCORECARD_PERCENTAGES = td.with_adapter(
+    "SELECT dim, entity, CASE WHEN placed_gmv <> 0 THEN 100.0::DOUBLE * rto_gmv / placed_gmv END AS rto_pct, "
+    "CASE WHEN shipped_gmv <> 0 THEN 100.0::DOUBLE * credit_gmv / shipped_gmv END AS credit_gmv_pct FROM scored", *_SC_CTES)
 SQL_SCORECARD_MONTHS = td.with_adapter(" UNION ALL ".join(
     f"SELECT *, '{start[:7]}' AS month FROM (WITH {_cells_sql(start, end)}, {_past_sql(start)}, {_scorecard_sql()} "
     "SELECT * FROM scored)" for start, end in SC_MONTHS), newrep_sql())
@@ -263,6 +270,7 @@ QUERIES = {
     "past_buyers": (q_past_buyers, SQL_PAST_BUYERS),
     "entity_scorecard": (q_entity_scorecard, SQL_ENTITY_SCORECARD),
     "scorecard_long": (q_scorecard_long, SQL_SCORECARD_LONG),
+    "scorecard_percentages": (q_scorecard_percentages, SQL_SCORECARD_PERCENTAGES),
     "scorecard_carried_state": (q_scorecard_carried_state, SQL_SCORECARD_MONTHS),
     "newrep_all_segments": (q_newrep_all_segments, SQL_NEWREP_ALL),
     "newrep_bucketed": (q_newrep_bucketed, SQL_NEWREP_ALL),
