@@ -37,9 +37,9 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
     """Distinct (buyer, month, category + mapping attributes) with the five New/Repeat flags,
     over the whole history of base rows (``include IS NULL``).
 
-    Plan: one partial aggregation to distinct (buyer, category, month), a broadcast of the
-    (size-checked) mapping, one hash exchange on the buyer, then per-segment ``min``
-    windows that all reuse that partitioning. A buyer's rows after de-duplication are
+    Plan: one partial aggregation to distinct (buyer, category, month), the join with the
+    mapping, one hash exchange on the buyer, then per-segment ``min`` windows that all reuse
+    that partitioning. A buyer's rows after de-duplication are
     bounded by categories x months, so a hot buyer cannot swamp a task.
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
