@@ -28,6 +28,11 @@ NEAR_PERCENT = 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text scores at least ``quality.THRESHOLD``, with all their columns.
+
+    Null and empty texts are scored like any text, repeated rows alike; without labelled rows
+    every score is 0.5 and nothing stays; an empty table stays empty.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     names = docs.columns
     renamed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
@@ -38,20 +43,34 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text (white space aside): the longest original, then the smallest id.
+
+    All null and empty texts are one text; of repeated rows one stays.
+    """
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose id is the smallest of its linked group.
+
+    Empty texts and rows without an id are linked with nothing and stay; rows that share an id
+    stay or go together (an id with several texts goes if one of them is linked to a smaller id).
+    """
     linked = jaccard.link_components(jaccard.prefix_table(docs, NEAR_WORDS, NEAR_PERCENT), NEAR_PERCENT)
     gone = stage_table(linked.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows as often as the mixture takes them: not at all, once or twice.
+
+    A null source is a source; rows without words take no part in the targets.
+    """
     return mixing.repeat_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row in sequences of 2048 ids; a null or empty text is its end id."""
     return packing.pack_documents(docs)
 
 
