@@ -19,8 +19,8 @@ integers however large components are; the driver holds clusters x components nu
 Exactness: distances are int64 while components allow it, Python integers beyond that (all
 centroids are then compared). Distances and inertias over 2**63 - 1 are reported as that.
 
-Cases: vectors that are null, hold null or non-finite components or have another number of
-components are left out; a row without an id is clustered, but starts a centroid only
+Cases: vectors that are null, hold null or non-finite components (or such whose ``scale``-fold
+is beyond double range) or have another number of components are left out; a row without an id is clustered, but starts a centroid only
 after all others; repeated rows are vectors of their own; with fewer vectors than clusters
 every vector starts one; an empty table gives an empty result; other columns are ignored.
 """
@@ -42,7 +42,9 @@ CLUSTERS = 40
 ROUNDS = 5
 SCALE = 256
 SEED = 2
-PIVOTS = 24
+#: The closer to ``DIM`` + 1, the less lies above the pivots' span and the tighter the bounds. On vectors
+#: without structure 24 pivots leave 99 % of the exact comparisons, 48 90 %, 56 50 %, 62 8 %.
+PIVOTS = 62
 SAMPLE = 4096
 _LONGEST = (1 << 63) - 1
 #: Largest component for which sums of squared differences stay far below 2**63.
