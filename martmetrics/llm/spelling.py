@@ -206,7 +206,9 @@ def near_words(vocab: DataFrame, block: int = BLOCK) -> DataFrame:
               .withColumn("p", F.explode(F.when(F.col("blocks") == 1, both).otherwise(spread)))
               .select(*group, "p.i", "p.j", "word", "n", "p.role"))
     by = [*group, "i", "j"]
-    found = placed.repartition(*by).sortWithinPartitions(*by).mapInArrow(_near_rows, _NEAR)
+    # by number: few bytes are much work here, so partitions must not be merged by their bytes
+    parts = int(vocab.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = placed.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(_near_rows, _NEAR)
     best = F.min(F.struct((-F.col("form_n")).alias("n"), F.col("form").alias("form")))
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b"))
             .select("word", "n_near", (-F.col("b.n")).alias("form_n"), F.col("b.form").alias("form")))
