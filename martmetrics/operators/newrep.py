@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import unique_by
+from .joins import placed_by, unique_by, with_mapping
 
 # (segment column, output flag column) of the report's table — the HNK flag is computed by the
 # source but not carried into its output table; ``ALL_SEGMENTS`` has it.
@@ -29,8 +29,8 @@ ALL_SEGMENTS = (*SEGMENTS, ("cust_cat_hnk", "buyer_cust_cat_hnk_month_newrep"))
 ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
 
 
-def _newrep(month: Column, first: Column) -> Column:
-    return F.when(month == first, F.lit("New")).otherwise(F.lit("Repeat"))
+def _newrep(new: Column) -> Column:
+    return F.when(new, F.lit("New")).otherwise(F.lit("Repeat"))
 
 
 def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id") -> DataFrame:
@@ -50,7 +50,7 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
     flags = {}
     for seg, name in SEGMENTS:
         w = Window.partitionBy(buyer, seg) if seg else Window.partitionBy(buyer)
-        flags[name] = _newrep(month, F.min(month).over(w))
+        flags[name] = _newrep(month == F.min(month).over(w))
     return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()])
 
 
@@ -73,7 +73,7 @@ def newrep_all_segments(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_
     long = d.select("*", F.inline(values))
     first = F.min("order_month").over(Window.partitionBy(buyer, "_segment", "_value"))
     flagged = long.withColumn("_new", F.col("order_month") == first)
-    flags = [_newrep(F.lit(True), F.max(F.when(F.col("_segment") == i, F.col("_new")))).alias(name)
+    flags = [_newrep(F.max(F.when(F.col("_segment") == i, F.col("_new")))).alias(name)
              for i, (_, name) in enumerate(segments)]
     return (flagged.groupBy(buyer, "order_month", "category", *ATTRS).agg(*flags))
 
@@ -86,33 +86,26 @@ def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buye
     A cell is New when some row in it is ranked first in its month *and* has no earlier
     purchase in the segment; the set of per-row markers is concatenated and searched for
     'NEW', as the source does. All windows partition by the buyer first and the input is
-    exchanged once on the buyer, so they share that partitioning.
+    exchanged once on the buyer, so they share that partitioning. The three windows of a
+    segment also share one sort — buyer, segment, month, day: ``order_month`` rises with
+    ``order_date`` (see above), so the lag may look at both, and a category has one business
+    unit. A segment's markers go before the next one is sorted.
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
-         .join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
-         .select(buyer, "category", *ATTRS, "order_date", "order_month").distinct()
-         .repartition(buyer))
+         .select(buyer, "category", "order_date", "order_month").distinct())
+    d = placed_by(with_mapping(d, mapping, ATTRS), buyer, times=2)
     od = F.col("order_date")
-    rank_parts = {"category": ("order_month", "business_unit", "category"),
-                  "cust_cat_phones": ("order_month", "cust_cat_phones"), "cust_cat_hnk": ("order_month", "cust_cat_hnk"),
-                  "business_unit": ("order_month", "business_unit"),
-                  "business_group": ("order_month", "business_group"), None: ("order_month",)}
-    set_parts = {"category": ("order_month", "category"), "cust_cat_phones": ("order_month", "cust_cat_phones"),
-                 "cust_cat_hnk": ("order_month", "cust_cat_hnk"),
-                 "business_unit": ("order_month", "business_unit"), "business_group": ("order_month", "business_group"),
-                 None: ("order_month",)}
-    cols = {}
-    for seg, name in segments:
-        lag_w = Window.partitionBy(buyer, *([seg] if seg else [])).orderBy(od)
-        gap = F.datediff(od, F.lag(od, 1).over(lag_w))
-        rk = F.rank().over(Window.partitionBy(buyer, *rank_parts[seg]).orderBy(od))
-        cols[f"_m_{name}"] = F.when((rk == 1) & gap.isNull(), F.lit("NEW")).otherwise(F.lit("REPEAT"))
-    d = d.withColumns(cols)
-    flags = {}
-    for seg, name in segments:
-        s = F.concat_ws("+", F.collect_set(f"_m_{name}").over(Window.partitionBy(buyer, *set_parts[seg])))
-        flags[name] = F.when(s.like("%NEW%"), F.lit("New")).otherwise(F.lit("Repeat"))
-    return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()]).distinct()
+    parts = {"category": ("business_unit", "category"), None: ()}
+    for seg, name in sorted(segments, key=lambda s: s[0] is not None):   # the widest partition first
+        keys = (buyer, *parts.get(seg, (seg,)))
+        cell = Window.partitionBy(*keys, "order_month")
+        gap = F.datediff(od, F.lag(od, 1).over(Window.partitionBy(*keys).orderBy("order_month", od)))
+        rk = F.rank().over(cell.orderBy(od))
+        d = d.withColumn("_m", F.when((rk == 1) & gap.isNull(), F.lit("NEW")).otherwise(F.lit("REPEAT")))
+        s = F.concat_ws("+", F.collect_set("_m").over(cell))
+        d = d.withColumn(name, s.like("%NEW%")).drop("_m")
+    return d.select(buyer, "order_month", "category", *ATTRS,
+                    *[_newrep(F.col(name)).alias(name) for _, name in segments]).distinct()
 
 
 def buyer_gaps(txn: DataFrame, buyer: str = "buyer_org_id", segment: str = "category") -> DataFrame:
