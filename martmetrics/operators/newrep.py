@@ -38,20 +38,20 @@ def newrep_flags(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id"
     over the whole history of base rows (``include IS NULL``).
 
     Plan: one partial aggregation to distinct (buyer, category, month), the join with the
-    mapping, one hash exchange on the buyer, then per-segment ``min`` windows that all reuse
-    that partitioning. A buyer's rows after de-duplication are
+    broadcast mapping, one hash exchange on the buyer, then per-segment ``min`` windows that all
+    reuse that partitioning. A category has one business unit, so one sort by buyer, unit and
+    category serves three of them. A buyer's rows after de-duplication are
     bounded by categories x months, so a hot buyer cannot swamp a task.
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
          .select(buyer, "category", "order_month").distinct())
-    d = d.join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
-    d = d.repartition(buyer)
+    d = placed_by(with_mapping(d, mapping, ATTRS), buyer).sortWithinPartitions(buyer, "business_unit", "category")
     month = F.col("order_month")
-    flags = {}
-    for seg, name in SEGMENTS:
-        w = Window.partitionBy(buyer, seg) if seg else Window.partitionBy(buyer)
-        flags[name] = _newrep(month == F.min(month).over(w))
-    return d.select(buyer, "order_month", "category", *ATTRS, *[v.alias(k) for k, v in flags.items()])
+    parts = {"category": ("business_unit", "category"), None: ()}
+    for seg, name in sorted(SEGMENTS, key=lambda s: s[0] in ("cust_cat_phones", "business_group")):
+        w = Window.partitionBy(buyer, *parts.get(seg, (seg,)))
+        d = d.withColumn(name, month == F.min(month).over(w))
+    return d.select(buyer, "order_month", "category", *ATTRS, *[_newrep(F.col(name)).alias(name) for _, name in SEGMENTS])
 
 
 def newrep_all_segments(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id",

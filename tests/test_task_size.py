@@ -37,3 +37,9 @@ def test_windowed_form_sorts_once_a_segment(spark, no_small_side):
     plan = plan_of(newrep.newrep_flags_windowed(t, m, segments=newrep.ALL_SEGMENTS))
     assert plan.count("Window [") == 18
     assert plan.count("Sort [buyer_org_id") == 6
+
+
+def test_flags_share_a_sort_of_unit_and_category(spark, no_small_side):
+    t, m = _random_history(spark, 12)
+    plan = plan_of(newrep.newrep_flags(t, m))
+    assert plan.count("Window [") == 5 and plan.count("Sort [buyer_org_id") == 3
