@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import placed_by, unique_by, with_mapping
+from .joins import placed_by, with_mapping
 
 # (segment column, output flag column) of the report's table — the HNK flag is computed by the
 # source but not carried into its output table; ``ALL_SEGMENTS`` has it.
@@ -60,22 +60,23 @@ def newrep_all_segments(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_
 
     Every (buyer, category, month) becomes one row a segment with that segment's value, so
     one specification — buyer, segment, value — serves all segments with one sort; the rows
-    are then folded back to one a cell, on the same partitioning. ``placed``: the fact is
+    are then folded back to one a cell, on the same partitioning, and get the mapping's
+    attributes again, which the sorted rows do not carry. ``placed``: the fact is
     already partitioned by buyer (a bucketed table), and no exchange is added.
     """
     d = (txn.filter(F.col("include").isNull() & F.col("order_date").isNotNull())
          .select(buyer, "category", "order_month").distinct())
-    d = d.join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
     if not placed:
-        d = d.repartition(buyer)
+        d = placed_by(d, buyer)
     values = F.array(*[F.struct(F.lit(i).alias("_segment"), (F.col(seg) if seg else F.lit("")).cast("string").alias("_value"))
                        for i, (seg, _) in enumerate(segments)])
-    long = d.select("*", F.inline(values))
+    long = with_mapping(d, mapping, ATTRS).select(buyer, "order_month", "category", F.inline(values))
     first = F.min("order_month").over(Window.partitionBy(buyer, "_segment", "_value"))
     flagged = long.withColumn("_new", F.col("order_month") == first)
     flags = [_newrep(F.max(F.when(F.col("_segment") == i, F.col("_new")))).alias(name)
              for i, (_, name) in enumerate(segments)]
-    return (flagged.groupBy(buyer, "order_month", "category", *ATTRS).agg(*flags))
+    cells = flagged.groupBy(buyer, "order_month", "category").agg(*flags)
+    return with_mapping(cells, mapping, ATTRS).select(buyer, "order_month", "category", *ATTRS, *[name for _, name in segments])
 
 
 def newrep_flags_windowed(txn: DataFrame, mapping: DataFrame, buyer: str = "buyer_org_id",

@@ -43,3 +43,14 @@ def test_flags_share_a_sort_of_unit_and_category(spark, no_small_side):
     t, m = _random_history(spark, 12)
     plan = plan_of(newrep.newrep_flags(t, m))
     assert plan.count("Window [") == 5 and plan.count("Sort [buyer_org_id") == 3
+
+
+@pytest.mark.parametrize("form", [newrep.newrep_flags, newrep.newrep_all_segments, newrep.newrep_flags_windowed])
+def test_facts_are_not_exchanged_on_the_category(spark, no_small_side, form):
+    t, m = _random_history(spark, 13)
+    got = form(t, m)
+    # one exchange folds the lines, one places them by buyer; the other is the mapping's own fold
+    assert "SortMergeJoin" not in plan_of(got)
+    assert len(moved_on(got, "buyer_org_id")) == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert same(got, newrep.newrep_all_segments(t, m).select(*got.columns))
