@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import checkpoint_dir, pin
 
 BUYER = "buyer_org_id"
-BUCKETS = 16
+BUCKETS = 16   # at least; a large table has spark.sql.shuffle.partitions
 
 
-def write_bucketed(df: DataFrame, buckets: int = BUCKETS, key: str = BUYER, name: str | None = None,
+def write_bucketed(df: DataFrame, buckets: int | None = None, key: str = BUYER, name: str | None = None,
                    path: str | None = None) -> str:
     """Writes ``df`` as a table bucketed and sorted by ``key``, at ``path`` (by default a folder
-    that stays under the shared folder); returns the table's name."""
+    that stays under the shared folder); returns the table's name. ``buckets``: by default as many
+    as a shuffle has partitions, since a bucket is one task's work in all that follows."""
     spark = df.sparkSession
+    buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = name or f"martmetrics_by_{key}_{uuid.uuid4().hex}"
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/martmetrics/bucketed/{name}"
     (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name))

@@ -54,3 +54,22 @@ def test_facts_are_not_exchanged_on_the_category(spark, no_small_side, form):
     assert len(moved_on(got, "buyer_org_id")) == 2
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert same(got, newrep.newrep_all_segments(t, m).select(*got.columns))
+
+
+def test_buckets_follow_the_shuffle_partitions(spark, tmp_path):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        name = bucketed.write_bucketed(spark.range(50).withColumnRenamed("id", "buyer_org_id"), path=str(tmp_path / "b"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert about["Num Buckets"] == "24" and spark.table(name).count() == 50
+
+
+@pytest.mark.parametrize("name", ["newrep_bucketed", "join_composite_bucketed"])
+def test_bucketed_plans_exchange_nothing_whatever_the_mapping(spark, no_small_side, name):
+    df = catalog.QUERIES[name][0](spark, SF_SMALL)
+    df.collect()
+    assert not moved_on(df, "buyer_org_id") and not moved_on(df, "category, buyer_org_id")
+    assert not [ln for ln in plan_of(df).splitlines() if "Exchange hashpartitioning" in ln and "buyer_org_id" in ln]
