@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import predicates as P
 from ..sources import stage
-from .joins import unique_by
+from .joins import placed_by, unique_by, with_mapping
 
 ATTRS = ("business_unit", "cust_cat_phones", "cust_cat_hnk", "business_group")
 BUYER = "buyer_org_id"
@@ -52,9 +52,10 @@ def _d(x) -> Column:
 
 def dims(mapping: DataFrame, cnc: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The mapping (with a ``_mapped`` marker; a repeated category raises when the plan
-    runs) and the CNC org set, de-duplicated so a repeated org id cannot multiply GMV."""
+    runs) and the CNC org set, de-duplicated so a repeated org id cannot multiply GMV. The mapping
+    is broadcast, as in ``with_mapping``."""
     mp = unique_by(mapping.select("category", *ATTRS), "category").withColumn("_mapped", F.lit(True))
-    return mp, cnc.select(F.col("org_id").alias("_cnc_org")).distinct()
+    return F.broadcast(mp), cnc.select(F.col("org_id").alias("_cnc_org")).distinct()
 
 
 def _fulfilment_sql(codes: C.FulfilmentCodes) -> str:
@@ -218,13 +219,14 @@ def past_buyers(txn: DataFrame, mapping: DataFrame, start) -> DataFrame:
     """Distinct buyers before ``start`` per (dim, entity), six cuts; a NULL segment value
     gives a NULL entity (it never matches a scorecard label), 'Ignore' is left out."""
     h = txn.filter(F.col("include").isNull() & P.month_prune(None, start) & (F.col("order_date") < _d(start)))
-    h = h.select(BUYER, "category").join(unique_by(mapping.select("category", *ATTRS), "category"), "category", "left")
+    # folded to (buyer, category) and placed by buyer: the copies for the cuts stay in their task
+    h = with_mapping(placed_by(h.select(BUYER, "category").distinct(), BUYER), mapping, ATTRS)
     arr = ", ".join(f"named_struct('dim', '{dim}', 'entity', {_past_label_sql(dim, prefix)})"
                     for dim, prefix, _ in C.SCORECARD_DIMS)
     x = h.selectExpr(f"inline(array({arr}))", BUYER)
     # 'Ignore' (and NULL) custom-cut rows are filtered out, not labelled NULL
     x = x.filter("NOT (dim IN ('cust_cat_phones', 'cust_cat_hnk') AND entity IS NULL)")
-    # two-level distinct: (dim, entity, buyer) de-duplicated map-side, then counted
+    # two-level distinct: (dim, entity, buyer) de-duplicated where the buyer lies, then counted
     return x.distinct().groupBy("dim", "entity").agg(F.count(BUYER).alias("past_buyers"))
 
 

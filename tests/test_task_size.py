@@ -73,3 +73,15 @@ def test_bucketed_plans_exchange_nothing_whatever_the_mapping(spark, no_small_si
     df.collect()
     assert not moved_on(df, "buyer_org_id") and not moved_on(df, "category, buyer_org_id")
     assert not [ln for ln in plan_of(df).splitlines() if "Exchange hashpartitioning" in ln and "buyer_org_id" in ln]
+
+
+def test_past_buyers_copies_for_the_cuts_stay_where_the_buyer_is(spark, no_small_side):
+    m = spark.createDataFrame([("c1", "BU", "P", "Ignore", "G")], MAP_DDL)
+    t = txn_rows(spark, [dict(order_id=f"o{i}", buyer_org_id=b, category=c, order_date=D(2020, 1, 1 + i))
+                         for i, (b, c) in enumerate([("b1", "c1"), ("b1", "c1"), ("b2", "c1"), ("b2", None), (None, "c2"), (None, "c2")])])
+    got = scorecard.past_buyers(t, m, "2020-07-01")
+    assert not moved_on(got, "dim") or "buyer_org_id" not in "".join(moved_on(got, "dim"))
+    assert {(r.dim, r.entity): r.past_buyers for r in got.collect()} == {
+        ("category", "category-c1"): 2, ("category", "category-c2"): 0, ("category", None): 1,
+        ("business_unit", "BU-BU"): 2, ("business_unit", None): 1, ("cust_cat_phones", "Custom Category-P"): 2,
+        ("business_group", "Business Group-G"): 2, ("business_group", None): 1, ("overall", "Overall"): 2}
