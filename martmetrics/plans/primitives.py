@@ -139,7 +139,8 @@ def entity_null_label(spark: SparkSession, sf: str) -> DataFrame:
                         "FROM txn t LEFT JOIN cnc_org k ON t.seller_org_id = k.org_id"))
 def tag_from_lookup(spark: SparkSession, sf: str) -> DataFrame:
     k = td.cnc_org(spark, sf).select(F.col("org_id").alias("_org")).distinct()
-    t = td.txn(spark, sf).join(k, F.col("seller_org_id") == F.col("_org"), "left")
+    # one id an organisation: broadcast, so the fact is not exchanged to be tagged
+    t = td.txn(spark, sf).join(F.broadcast(k), F.col("seller_org_id") == F.col("_org"), "left")
     return t.select("order_id", "listing_id", "seller_org_id",
                     F.when(F.col("_org").isNotNull(), F.lit("CNC")).alias("cnc_tag"))
 

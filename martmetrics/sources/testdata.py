@@ -95,38 +95,48 @@ def _fulfillment(suppkey: Column) -> Column:
     return F.when(m == 0, FC_SELLER).when(m == 1, FC_WAREHOUSE)
 
 
-def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain transaction fact joined from the test tables."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with their order and category, columns as they are read: what the joins and the
+    writer's exchange move. The part join comes first, on lines without their order's columns."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus",
         "l_shipdate")
     o = _read(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    p = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-         .join(p, li.l_partkey == p.p_partkey, "left"))
-    order_date = F.to_date("o_orderdate")
+        "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("_date"), "o_orderpriority")
+    p = _read(spark, sf_dir, "part").select("p_partkey", _category(F.col("p_name")).alias("_category"))
+    j = (li.join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+         .join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner"))
+    return (j.withColumn("_month", F.year("_date") * 100 + F.month("_date"))
+            .drop("l_orderkey", "p_partkey"))
+
+
+def _canonical_columns(j: DataFrame) -> DataFrame:
     return j.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("buyer_org_id"),
         F.col("l_suppkey").alias("seller_org_id"),
         F.col("l_partkey").alias("listing_id"),
-        _category(F.col("p_name")).alias("category"),
+        F.col("_category").alias("category"),
         _order_status(F.col("o_orderstatus")).alias("order_status"),
         _shipment_status(F.col("l_linestatus"), F.col("l_returnflag")).alias("shipment_status"),
         _payment_mode(F.col("o_orderpriority")).alias("payment_mode"),
         _fulfillment(F.col("l_suppkey")).alias("fulfillment_center"),
         F.when(F.col("l_linestatus") == "F", F.to_date("l_shipdate")).alias("first_shipped"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("total_line_amount"),
-        order_date.alias("order_date"),
-        (F.year(order_date) * 100 + F.month(order_date)).alias("order_month"),
+        F.col("_date").alias("order_date"),
+        F.col("_month").alias("order_month"),
         # epoch milliseconds of the order's UTC midnight (the period job's clock column)
-        (F.datediff(order_date, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400000)
+        (F.datediff("_date", F.lit("1970-01-01").cast("date")).cast("bigint") * 86400000)
         .alias("order_date_time"),
         F.lit(None).cast("string").alias("include"),
     )
 
 
+def txn_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-grain transaction fact joined from the test tables."""
+    return _canonical_columns(_joined(spark, sf_dir))
+
+
 TXN_SCHEMA = schemas.txn(T.LongType())
 TXN_COLUMNS = ("order_id", "buyer_org_id", "seller_org_id", "listing_id", "category", "order_status",
                "shipment_status", "payment_mode", "fulfillment_center", "first_shipped", "total_line_amount",
@@ -142,7 +152,7 @@ def _fs(spark: SparkSession, path: str):
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Of the source files and of the code that derives the table from them."""
     h = hashlib.sha1(sf_dir.encode())
-    for fn in (txn_from_tables, _category, _order_status, _shipment_status, _payment_mode, _fulfillment):
+    for fn in (_joined, _canonical_columns, _category, _order_status, _shipment_status, _payment_mode, _fulfillment):
         h.update(inspect.getsource(fn).encode())
     for name in ("lineitem", "orders", "part"):
         fs, p = _fs(spark, f"{sf_dir}/{name}.parquet")
@@ -180,7 +190,8 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
         # every writer has a folder of its own, so a crashed or concurrent one is never read
         path = _complete(spark, base)
         if path is None:
-            (txn_from_tables(spark, sf_dir).repartitionByRange("order_month", "order_id")
+            # exchanged as read, the canonical columns (labels in full) are made after that
+            (_canonical_columns(_joined(spark, sf_dir).repartitionByRange("_month", "o_orderkey"))
              .write.partitionBy("order_month").parquet(f"{base}/txn-{uuid.uuid4().hex}"))
             path = _complete(spark, base)
         return spark.read.schema(TXN_SCHEMA).parquet(path)

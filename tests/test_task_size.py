@@ -85,3 +85,16 @@ def test_past_buyers_copies_for_the_cuts_stay_where_the_buyer_is(spark, no_small
         ("category", "category-c1"): 2, ("category", "category-c2"): 0, ("category", None): 1,
         ("business_unit", "BU-BU"): 2, ("business_unit", None): 1, ("cust_cat_phones", "Custom Category-P"): 2,
         ("business_group", "Business Group-G"): 2, ("business_group", None): 1, ("overall", "Overall"): 2}
+
+
+def test_tag_from_lookup_does_not_exchange_the_fact(spark, no_small_side):
+    assert not moved_on(catalog.QUERIES["tag_from_lookup"][0](spark, SF_SMALL), "seller_org_id")
+
+
+def test_the_fact_moves_as_it_is_read(spark):
+    """Labels are made after the writer's exchange; lines meet parts before orders."""
+    j = td._joined(spark, SF_SMALL)
+    assert {"l_returnflag", "o_orderstatus", "o_orderpriority", "_month"} <= set(j.columns)
+    assert not {"order_status", "shipment_status", "fulfillment_center"} & set(j.columns)
+    assert same(td.txn_from_tables(spark, SF_SMALL), td.txn(spark, SF_SMALL))
+    assert td.txn_from_tables(spark, SF_SMALL).filter(F.col("order_date").isNull()).isEmpty()
