@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from martmetrics import session
 from martmetrics.operators import newrep, scorecard
 from martmetrics.operators.joins import placed_by
 from martmetrics.plans import catalog
@@ -98,3 +99,17 @@ def test_the_fact_moves_as_it_is_read(spark):
     assert not {"order_status", "shipment_status", "fulfillment_center"} & set(j.columns)
     assert same(td.txn_from_tables(spark, SF_SMALL), td.txn(spark, SF_SMALL))
     assert td.txn_from_tables(spark, SF_SMALL).filter(F.col("order_date").isNull()).isEmpty()
+
+
+def test_pin_lowers_a_tasks_share_and_keeps_a_smaller_one(spark):
+    keys = list(session.MOST_BYTES)
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for given, want in (("1g", None), ("134217728b", None), ("64MB", None), ("2m", 2 << 20), ("4096", 4096)):
+            for k in keys:
+                spark.conf.set(k, given)
+            session.pin(spark)
+            assert [session._bytes(spark.conf.get(k)) for k in keys] == [want or session.MOST_BYTES[k] for k in keys]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
